@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quern.operators import keyed, matrix, ordering, relational, text
+from quern.operators import geo, keyed, matrix, ordering, relational, text
 from quern.sources import fixtures as fx
 from quern.sources.readers import profile, read_table
 
@@ -233,6 +233,18 @@ def users_over_threshold(spark: SparkSession, sf: str) -> DataFrame:
     return relational.having(totals, F.col("total_duration") >= TRIP_THRESHOLD)
 
 
+# --- stations ---------------------------------------------------------------
+
+def farthest_pair_degrees(spark: SparkSession, sf: str) -> DataFrame:
+    """GEO-1 with FN-6: farthest pair of stations in planar degrees (hull-pruned)."""
+    return geo.farthest_pair(fx.stations(spark, sf), metric="degrees")
+
+
+def farthest_pair_haversine(spark: SparkSession, sf: str) -> DataFrame:
+    """GEO-1 with FN-7: farthest pair by great-circle distance in km (bound-pruned)."""
+    return geo.farthest_pair(fx.geo_stations(spark, sf), metric="haversine")
+
+
 # --- languages --------------------------------------------------------------
 
 def _post_languages(spark, sf, lo=None, hi=None, default="No"):

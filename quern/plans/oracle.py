@@ -136,5 +136,17 @@ SELECT year, language, n_posts FROM (
 WHERE rn <= {B.TOP_LANGUAGES}""",
 }
 
+_ST = """WITH s AS (SELECT vec_id AS id, CAST(embedding[1] AS DOUBLE) * {fa} AS lat,
+                         CAST(embedding[2] AS DOUBLE) * {fo} AS long FROM embeddings),
+d AS (SELECT a.id AS station_a, b.id AS station_b, {dist} AS dd FROM s a JOIN s b ON a.id < b.id)
+SELECT station_a, station_b, round(dd, 6) AS distance FROM d
+ORDER BY dd DESC, station_a, station_b LIMIT 1"""
+_EUCLID = "sqrt(pow(a.lat - b.lat, 2) + pow(a.long - b.long, 2))"
+_HAV = ("2 * 6371.0 * asin(sqrt(least(1.0, pow(sin((radians(b.lat) - radians(a.lat)) / 2), 2)"
+        " + cos(radians(a.lat)) * cos(radians(b.lat))"
+        " * pow(sin((radians(b.long) - radians(a.long)) / 2), 2))))")
+ORACLE_SQL["farthest_pair_degrees"] = _ST.format(fa="1.0", fo="1.0", dist=_EUCLID)
+ORACLE_SQL["farthest_pair_haversine"] = _ST.format(fa="90.0", fo="180.0", dist=_HAV)
+
 ORACLE_SQL["mapreduce_group_avg"] = ORACLE_SQL["group_avg_filtered"]
 ORACLE_SQL["mapreduce_word_count"] = ORACLE_SQL["word_count"]

@@ -53,5 +53,18 @@ def batch_queries() -> dict[str, QueryFn]:
     }
 
 
+def stream_queries() -> dict[str, QueryFn]:
+    from quern.plans import streams as S
+    return {
+        "ride_cleansing": S.ride_cleansing,
+        "hourly_tips": S.hourly_tips,
+        "hourly_max_tip": S.hourly_max_tip,
+        "ride_fare_pairs": S.ride_fare_pairs,
+        "expiring_pairs": S.expiring_pairs,
+        "unmatched_fares": S.unmatched_fares,
+        "expiring_pairs_keyed": S.expiring_pairs_keyed,
+    }
+
+
 def all_queries() -> dict[str, QueryFn]:
-    return batch_queries()
+    return {**batch_queries(), **stream_queries()}

@@ -24,7 +24,7 @@ REQUIRED_CONF = {
 
 
 def get_session(master: str | None = None, shuffle_partitions: int = 8,
-                app_name: str = "quern") -> SparkSession:
+                app_name: str = "quern", conf: dict | None = None) -> SparkSession:
     """Build (or reuse) a session with the settings the library expects.
 
     On a cluster the caller's session already exists and ``getOrCreate`` picks
@@ -39,16 +39,47 @@ def get_session(master: str | None = None, shuffle_partitions: int = 8,
                .config("spark.ui.showConsoleProgress", "false")
                .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
                .config("spark.driver.memory", os.environ.get("QUERN_DRIVER_MEMORY", "8g")))
-    for k, v in REQUIRED_CONF.items():
+    for k, v in {**REQUIRED_CONF, **(conf or {})}.items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
     for k, v in REQUIRED_CONF.items():
         spark.conf.set(k, v)
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
+    ship_package(spark)
     return spark
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``quern`` importable on every executor's Python workers.
+
+    Functions handed to ``mapInPandas`` / ``applyInPandasWithState`` live in
+    this package and are pickled by reference, so workers import it. The
+    package is zipped once per process into the shared folder and registered
+    with ``addPyFile`` (what ``--py-files`` does at submit time).
+    """
+    import shutil
+
+    app = spark.sparkContext.applicationId
+    if app in _SHIPPED:
+        return
+    pkg_dir = os.path.dirname(os.path.abspath(__file__))
+    base = ensure_checkpoint_dir(spark)
+    if "://" in base and not base.startswith("file:"):
+        # A remote shared folder: stage the zip locally; addPyFile uploads it.
+        stage = tempfile.mkdtemp(prefix="quern-pkg-")
+    else:
+        stage = base.replace("file:", "")
+        os.makedirs(stage, exist_ok=True)
+    archive = shutil.make_archive(os.path.join(stage, f"quern-{uuid.uuid4().hex[:8]}"), "zip",
+                                  root_dir=os.path.dirname(pkg_dir), base_dir="quern")
+    spark.sparkContext.addPyFile(archive)
+    _SHIPPED.add(app)
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
@@ -64,6 +95,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
             base = spark.conf.get("spark.checkpoint.dir", None)
         except Exception:  # noqa: BLE001 - not a SQL conf on every version
             base = None
+    if not base:
+        existing = sc._jsc.sc().getCheckpointDir()
+        if existing.isDefined():
+            base = existing.get()
     if not base:
         # Unset (tests, the local bench): one fresh folder per process.
         if _LOCAL_BASE is None:

@@ -9,13 +9,21 @@ from pyspark.sql import functions as F
 
 from quern.functions.columns import tag_tokens, words
 from quern.operators.joins import checked_broadcast
-from quern.sources.readers import document_lines
+
+
+def _explode_split(c):
+    """``explode`` of a ``split``: ``split`` of a non-null string is never empty,
+    so ``explode_outer`` gives the same rows and spares the planner's inferred
+    ``size(split(...)) > 0`` filter, which would split every text twice."""
+    return F.explode_outer(c)
 
 
 def line_words(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per word occurrence: lines by ``\\n``, words by one space."""
-    lines = document_lines(docs, id_col, text_col)
-    return lines.select("doc_id", F.explode(words("line")).alias("word"))
+    d = docs.select(F.col(id_col).cast("string").alias("doc_id"), F.col(text_col).alias("text")) \
+            .filter(F.col("text").isNotNull())
+    lines = d.select("doc_id", _explode_split(F.split("text", "\n", -1)).alias("line"))
+    return lines.select("doc_id", _explode_split(words("line")).alias("word"))
 
 
 def distinct_words(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -39,10 +47,13 @@ def inverted_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     task; the global sort range-partitions on (word, doc_id), which splits a hot
     word's postings over many tasks.
     """
-    d = docs.select(F.col(id_col).cast("string").alias("doc_id"),
-                    F.array_distinct(words(F.col(text_col))).alias("ws"))
-    postings = d.select(F.explode("ws").alias("word"), "doc_id").distinct()
-    return postings.orderBy("word", "doc_id")
+    d = docs.filter(F.col(text_col).isNotNull()).select(
+        F.col(id_col).cast("string").alias("doc_id"),
+        F.array_distinct(words(F.col(text_col))).alias("ws"))
+    postings = d.select(_explode_split("ws").alias("word"), "doc_id")
+    # De-duplicate by hash (partial per task), then sort: the range exchange
+    # samples the materialised distinct stage instead of re-splitting texts.
+    return postings.distinct().orderBy("word", "doc_id")
 
 
 def first_listed_match(items: DataFrame, item_key: str, tags_col: str, vocab: DataFrame,

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from quern.operators import geo, keyed, matrix, ordering, relational, text
 from quern.sources import fixtures as fx
-from quern.sources.readers import profile, read_table
+from quern.sources.readers import profile, read_table, spread
 
 # Parameters of the registered queries (fixed values of the test queries).
 FLAGSHIP_SEGMENT = "BUILDING"
@@ -113,7 +113,7 @@ def profile_orders(spark: SparkSession, sf: str) -> DataFrame:
 # --- text -------------------------------------------------------------------
 
 def _docs(spark, sf):
-    return read_table(spark, sf, "documents").select("doc_id", "text")
+    return spread(read_table(spark, sf, "documents").select("doc_id", "text"))
 
 
 def distinct_words(spark: SparkSession, sf: str) -> DataFrame:

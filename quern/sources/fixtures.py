@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quern.sources.readers import coo_from_arrays, read_table
+from quern.sources.readers import coo_from_arrays, read_table, spread
 
 
 def users(spark: SparkSession, sf: str) -> DataFrame:
@@ -36,7 +36,7 @@ def matrix(spark: SparkSession, sf: str) -> DataFrame:
 
     v = round(x * 10000) as bigint, so products and sums are exact integers.
     """
-    emb = read_table(spark, sf, "embeddings")
+    emb = spread(read_table(spark, sf, "embeddings").select("vec_id", "embedding"))
     return coo_from_arrays(emb, "vec_id", "embedding",
                            F.round(F.col("x").cast("double") * 10000).cast("bigint"))
 
@@ -88,7 +88,7 @@ def posts(spark: SparkSession, sf: str) -> DataFrame:
     ``part`` is joined on its key; the join is left to Catalyst/AQE (broadcast
     only when the runtime size is under the threshold, shuffle join beyond).
     """
-    li = read_table(spark, sf, "lineitem").select("l_partkey", "l_shipdate")
+    li = spread(read_table(spark, sf, "lineitem").select("l_partkey", "l_shipdate"))
     part = read_table(spark, sf, "part").select("p_partkey", "p_brand", "p_type")
     j = li.join(part, li.l_partkey == part.p_partkey, "inner")
     return j.select(F.col("l_shipdate").alias("creation_date"),

@@ -24,6 +24,19 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(table_path(sf_dir, name))
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Spread a scan over the cluster before CPU-heavy per-row work.
+
+    A table stored as one unsplittable file (one Parquet row group) is read by a
+    single task; when the scan has fewer splits than the cluster's default
+    parallelism, its rows are dealt round-robin over that many partitions.
+    Large inputs already have at least that many splits and pass unchanged (no
+    shuffle).
+    """
+    target = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(target) if df.rdd.getNumPartitions() < target else df
+
+
 def from_rows(spark: SparkSession, rows, schema: T.StructType | str) -> DataFrame:
     """SRC-1 / SRC-9 / SRC-10: small in-process collections with an explicit schema."""
     return spark.createDataFrame(rows, schema)

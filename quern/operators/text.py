@@ -8,7 +8,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quern.functions.columns import tag_tokens, words
-from quern.operators.joins import checked_broadcast
 
 
 def _explode_split(c):
@@ -56,26 +55,37 @@ def inverted_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     return postings.distinct().orderBy("word", "doc_id")
 
 
-def first_listed_match(items: DataFrame, item_key: str, tags_col: str, vocab: DataFrame,
+def first_listed_match(items: DataFrame, tags_col: str, vocab: DataFrame,
                        name_col: str = "name", ordinal_col: str = "ordinal",
-                       default: str | None = "No", max_vocab_rows: int = 100_000) -> DataFrame:
+                       default: str | None = "No", max_vocab_rows: int = 100_000,
+                       out: str = "language") -> DataFrame:
     """JOIN-6: per item, the first vocabulary entry (by ``ordinal``) whose
     lower-case ``<name>`` occurs among the item's tags, else ``default``.
 
-    Tags are exploded (a handful per item) and equi-joined on the lower-case
-    name — never one substring test per (item, name) pair. The vocabulary is
-    broadcast only when its row count is proven under ``max_vocab_rows``;
-    otherwise a shuffle join is used. Rows of one item stay in one partition
-    after the explode, so the per-item minimum is combined map-side before the
-    shuffle. ``default=None`` drops items without a match (FIL-7).
+    Never one substring test per (item, name) pair. When the vocabulary is
+    proven to hold at most ``max_vocab_rows`` entries, it becomes one map
+    (tag → (ordinal, name)), evaluated once as a scalar subquery; every item
+    then looks its few tags up in place — a narrow stage, no shuffle of the
+    items. Beyond the bound, tags are exploded and equi-joined with the
+    vocabulary (shuffle join), and one aggregate per item keeps the first hit.
+    ``default=None`` drops items without a match (FIL-7).
     """
-    v = vocab.select(F.lower(F.col(name_col)).alias("_tag"), F.col(name_col).alias("_name"),
-                     F.col(ordinal_col).alias("_ord"))
-    tagged = items.select(item_key, F.explode(tag_tokens(tags_col)).alias("_tag"))
-    matched = tagged.join(checked_broadcast(v, max_vocab_rows), "_tag", "inner")
-    best = matched.groupBy(item_key).agg(F.min(F.struct("_ord", "_name")).alias("_best"))
-    best = best.select(item_key, F.col("_best._name").alias("language"))
+    v = (vocab.select(F.lower(F.col(name_col)).alias("_tag"),
+                      F.struct(F.col(ordinal_col).alias("o"), F.col(name_col).alias("n")).alias("_e"))
+         .groupBy("_tag").agg(F.min("_e").alias("_e")))
+    cols = items.columns
+    if v.limit(max_vocab_rows + 1).count() <= max_vocab_rows:
+        lookup = v.agg(F.map_from_entries(F.collect_list(F.struct("_tag", "_e")))).scalar()
+        hits = F.filter(F.transform(tag_tokens(tags_col),
+                                    lambda t: F.try_element_at(F.col("_lookup"), t)),
+                        lambda h: h.isNotNull())
+        res = items.withColumn("_lookup", lookup).withColumn(out, F.array_min(hits)["n"]) \
+                   .drop("_lookup")
+    else:
+        keyed = items.withColumn("_item", F.monotonically_increasing_id())
+        tagged = keyed.withColumn("_tag", F.explode_outer(tag_tokens(tags_col)))
+        joined = tagged.join(v, "_tag", "left")
+        res = joined.groupBy("_item", *cols).agg(F.min("_e")["n"].alias(out)).drop("_item")
     if default is None:
-        return items.join(best, item_key, "inner")
-    out = items.join(best, item_key, "left")
-    return out.withColumn("language", F.coalesce("language", F.lit(default)))
+        return res.filter(F.col(out).isNotNull())
+    return res.withColumn(out, F.coalesce(F.col(out), F.lit(default)))

@@ -251,8 +251,7 @@ def _post_languages(spark, sf, lo=None, hi=None, default="No"):
     p = fx.posts(spark, sf)
     if lo is not None:
         p = p.filter(F.col("creation_date").between(F.lit(lo), F.lit(hi)))
-    p = p.withColumn("_post", F.monotonically_increasing_id())
-    out = text.first_listed_match(p, "_post", "tags", fx.languages(spark, sf), default=default)
+    out = text.first_listed_match(p, "tags", fx.languages(spark, sf), default=default)
     return out.select("creation_date", "language")
 
 

@@ -18,7 +18,10 @@ def _explode_split(c):
 
 
 def line_words(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per word occurrence: lines by ``\\n``, words by one space."""
+    """One row per word occurrence: lines by ``\\n``, words by one space.
+
+    The reference's ``flatten`` of generators (UDF-5) is ``explode`` here.
+    """
     d = docs.select(F.col(id_col).cast("string").alias("doc_id"), F.col(text_col).alias("text")) \
             .filter(F.col("text").isNotNull())
     lines = d.select("doc_id", _explode_split(F.split("text", "\n", -1)).alias("line"))

@@ -23,27 +23,51 @@ REQUIRED_CONF = {
 }
 
 
-def get_session(master: str | None = None, shuffle_partitions: int = 8,
+# Scale defaults for a cluster, applied only where the cluster did not set a
+# value: large scan splits and shuffle partitions sized by AQE from a high
+# starting count (it coalesces small ones and splits skewed ones), so a
+# 100 TB input runs as ~400k scan tasks of 256 MB and shuffles as partitions
+# of ~256 MB that fit executor memory.
+CLUSTER_CONF = {
+    "spark.sql.files.maxPartitionBytes": "256m",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "20000",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+    "spark.sql.shuffle.partitions": "4000",
+}
+
+
+def get_session(master: str | None = None, shuffle_partitions: int | None = 8,
                 app_name: str = "quern", conf: dict | None = None) -> SparkSession:
     """Build (or reuse) a session with the settings the library expects.
 
-    On a cluster the caller's session already exists and ``getOrCreate`` picks
-    it up; ``shuffle_partitions`` then only applies when the cluster did not set
-    it. Locally the UI stays off and the shuffle partition count follows the cores.
+    Locally (``local[...]``) the UI stays off and the shuffle partition count
+    follows the cores. On a cluster the existing session is reused and only the
+    ``CLUSTER_CONF`` values the cluster left unset are filled in.
     """
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
+    local = (master or "local").startswith("local")
     builder = (builder
                .config("spark.ui.enabled", "false")
-               .config("spark.ui.showConsoleProgress", "false")
-               .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
-               .config("spark.driver.memory", os.environ.get("QUERN_DRIVER_MEMORY", "8g")))
+               .config("spark.ui.showConsoleProgress", "false"))
+    if local:
+        builder = builder.config("spark.driver.memory",
+                                 os.environ.get("QUERN_DRIVER_MEMORY", "8g"))
     for k, v in {**REQUIRED_CONF, **(conf or {})}.items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
     for k, v in REQUIRED_CONF.items():
         spark.conf.set(k, v)
+    if spark.sparkContext.master.startswith("local"):
+        if shuffle_partitions:
+            spark.conf.set("spark.sql.shuffle.partitions", str(shuffle_partitions))
+    else:
+        explicit = spark.sparkContext.getConf()
+        for k, v in CLUSTER_CONF.items():
+            if not explicit.contains(k):
+                spark.conf.set(k, v)
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
     ship_package(spark)

@@ -138,3 +138,12 @@ def test_grouped_bag_is_clustered_and_sorted(spark):
     parts = out.rdd.glom().collect()
     flat = [(r.key, r.value) for p in parts for r in p]
     assert flat == sorted(flat) and len(flat) == 30
+
+
+def test_row_functions_as_columns(spark):
+    from quern.functions.udf import row_map, vectorized
+    d = spark.createDataFrame([(1.0, 2.0), (3.0, 4.0)], "a double, b double")
+    add = vectorized(lambda a, b: a + b, "double")
+    fmt = row_map(lambda a, b: f"{a:.0f}-{b:.0f}", "string")
+    rows = d.select(add("a", "b").alias("s"), fmt("a", "b").alias("t")).collect()
+    assert [(r.s, r.t) for r in rows] == [(3.0, "1-2"), (7.0, "3-4")]

@@ -12,7 +12,7 @@ _HOURLY = """SELECT date_trunc('hour', ts) + INTERVAL 1 HOUR AS window_end, user
 FROM events GROUP BY 1, 2"""
 
 _FARES = """SELECT l_orderkey AS f_id, min(l_shipdate) AS f_time FROM lineitem
-WHERE l_linenumber = 1 GROUP BY l_orderkey"""
+GROUP BY l_orderkey"""
 
 _RIDES = """SELECT o_orderkey AS r_id, o_orderdate AS r_time FROM orders
 WHERE o_orderstatus = 'F' AND o_orderkey % 1000 <> 0"""

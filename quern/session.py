@@ -82,25 +82,36 @@ def ship_package(spark: SparkSession) -> None:
 
     Functions handed to ``mapInPandas`` / ``applyInPandasWithState`` live in
     this package and are pickled by reference, so workers import it. The
-    package is zipped once per process into the shared folder and registered
-    with ``addPyFile`` (what ``--py-files`` does at submit time).
+    package is zipped in memory once per application, written through the
+    Hadoop FileSystem API into the shared checkpoint folder and registered with
+    ``addPyFile`` (what ``--py-files`` does at submit time).
     """
-    import shutil
+    import io
+    import zipfile
 
-    app = spark.sparkContext.applicationId
+    sc = spark.sparkContext
+    app = sc.applicationId
     if app in _SHIPPED:
         return
     pkg_dir = os.path.dirname(os.path.abspath(__file__))
-    base = ensure_checkpoint_dir(spark)
-    if "://" in base and not base.startswith("file:"):
-        # A remote shared folder: stage the zip locally; addPyFile uploads it.
-        stage = tempfile.mkdtemp(prefix="quern-pkg-")
-    else:
-        stage = base.replace("file:", "")
-        os.makedirs(stage, exist_ok=True)
-    archive = shutil.make_archive(os.path.join(stage, f"quern-{uuid.uuid4().hex[:8]}"), "zip",
-                                  root_dir=os.path.dirname(pkg_dir), base_dir="quern")
-    spark.sparkContext.addPyFile(archive)
+    root = os.path.dirname(pkg_dir)
+    buf = io.BytesIO()
+    with zipfile.ZipFile(buf, "w", zipfile.ZIP_DEFLATED) as zf:
+        for dirpath, _, files in os.walk(pkg_dir):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(dirpath, f)
+                    zf.write(full, os.path.relpath(full, root))
+    target = f"{ensure_checkpoint_dir(spark).rstrip('/')}/pkg-{uuid.uuid4().hex[:12]}/quern.zip"
+    jvm = sc._jvm
+    path = jvm.org.apache.hadoop.fs.Path(target)
+    fs = path.getFileSystem(sc._jsc.hadoopConfiguration())
+    out = fs.create(path, True)
+    try:
+        out.write(bytearray(buf.getvalue()))
+    finally:
+        out.close()
+    sc.addPyFile(fs.makeQualified(path).toString())
     _SHIPPED.add(app)
 
 

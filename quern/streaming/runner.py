@@ -55,16 +55,33 @@ def sentinel_stream(spark: SparkSession, run: StreamRun, schema: T.StructType,
     return read_stream(spark, directory, schema)
 
 
+def start_stream(stream: DataFrame, run: StreamRun, output_mode: str = "append",
+                 fmt: str = "parquet", processing_time: str | None = None,
+                 query_name: str | None = None):
+    """SNK-2 / STR-10: start a long-running query and return its handle.
+
+    ``fmt`` is ``parquet`` (sink path of the run), ``memory`` (table named
+    ``query_name``) or ``console``. ``processing_time`` (e.g. ``"10 seconds"``,
+    the reference's checkpoint interval) sets a micro-batch trigger; without it
+    the query drains what is available and stops. The checkpoint stays after
+    ``stop()``, so a restart resumes from it.
+    """
+    writer = (stream.writeStream.format(fmt).outputMode(output_mode)
+              .option("checkpointLocation", run.checkpoint))
+    if fmt == "parquet":
+        writer = writer.option("path", run.sink)
+    if query_name:
+        writer = writer.queryName(query_name)
+    writer = writer.trigger(processingTime=processing_time) if processing_time \
+        else writer.trigger(availableNow=True)
+    return writer.start()
+
+
 def run_to_table(spark: SparkSession, stream: DataFrame, run: StreamRun,
                  output_mode: str = "append", query_name: str | None = None,
                  timeout_s: int = 1800) -> DataFrame:
     """Drive ``stream`` with ``availableNow`` into Parquet; return the sink table."""
-    writer = (stream.writeStream.format("parquet").outputMode(output_mode)
-              .option("checkpointLocation", run.checkpoint).option("path", run.sink)
-              .trigger(availableNow=True))
-    if query_name:
-        writer = writer.queryName(query_name)
-    q = writer.start()
+    q = start_stream(stream, run, output_mode, "parquet", None, query_name)
     try:
         q.awaitTermination(timeout_s)
     finally:

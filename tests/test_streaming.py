@@ -130,3 +130,36 @@ def test_cleansing_box(spark):
                                      "end_lon double, end_lat double")
     out = jobs.cleanse_rides(df, (-0.1, 0.1, -0.1, 0.1))
     assert sorted(r.ride_id for r in out.collect()) == [1, 3]
+
+
+def test_memory_sink_and_processing_time_trigger(spark):
+    from quern.streaming.runner import start_stream
+    run, base = _run(spark, "mem")
+    src = f"{base}/in"
+    os.makedirs(src)
+    _write(spark, src, [(1, 1.0, _t(0, 10)), (2, 2.0, _t(0, 20))], FARE, "a")
+    s = read_stream(spark, src, FARE, file_glob="*.parquet")
+    q = start_stream(jobs.cleanse_rides(
+        s.select(F.col("driver_id").alias("ride_id"), F.lit(0.0).alias("start_lon"),
+                 F.lit(0.0).alias("start_lat"), F.col("tip").alias("end_lon"),
+                 F.lit(0.0).alias("end_lat")), (-1.5, 1.5, -1.0, 1.0)),
+        run, fmt="memory", processing_time="1 second", query_name="cleansed_mem")
+    try:
+        q.processAllAvailable()
+        assert [r.ride_id for r in spark.sql("SELECT ride_id FROM cleansed_mem").collect()] == [1]
+    finally:
+        q.stop()
+    assert os.path.isdir(run.checkpoint)      # kept after stop (STR-10)
+
+
+def test_pairing_join_form_equals_state_form_on_unique_keys(spark):
+    rides = [(1, _t(0)), (2, _t(1)), (4, _t(2))]
+    fares = [(1, _t(3)), (2, _t(0)), (3, _t(1))]
+    got = {}
+    for method in ("state", "join"):
+        run, base = _run(spark, f"pair-{method}")
+        r, f = _pair_inputs(spark, base, rides, fares)
+        out = run_to_table(spark, jobs.pair_rides_fares(r, f, method=method), run)
+        got[method] = sorted((x.ride_id, x.ride_time, x.fare_time) for x in out.collect()
+                             if x.ride_id >= 0 and x.status == "matched")
+    assert got["state"] == got["join"] and [g[0] for g in got["join"]] == [1, 2]

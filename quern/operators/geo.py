@@ -9,9 +9,12 @@ the whole input is ever built:
   shuffle) and reduced again, until one partition holds the global hull. Only
   hull vertices are compared. Points that share a vertex's coordinates are kept,
   so ties between equal points are still decided by ids.
-* ``haversine``: points on a sphere are all extreme, so hull pruning does not
-  apply. Chord length in 3-D is monotone in great-circle distance and obeys the
-  triangle inequality, which gives exact bounds: a lower bound L from a double
+* ``haversine``: when every point lies in the open hemisphere around the
+  centre direction c (checked exactly), the farthest point from any q is a
+  vertex of the planar hull of the points' orthographic projection on the
+  tangent plane at c (−x·q is convex in those coordinates), so the same hull
+  pruning applies. Otherwise chord length in 3-D (monotone in great-circle
+  distance, with the triangle inequality) gives exact bounds: a lower bound L from a double
   sweep (two global ``max_by``), a ring prune (``|p-c| + R >= L``), and per
   sector bounding balls that drop sector pairs that cannot reach L. Candidate
   pairs are produced only inside surviving sector pairs, by an equi-join on the
@@ -33,9 +36,6 @@ from pyspark.sql import functions as F
 from quern.functions.columns import EARTH_RADIUS_KM, euclidean, haversine
 from quern.operators.joins import salted_join
 
-_PTS = "id long, x double, y double"
-
-
 def _hull_mask(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     """Rows whose coordinates are a convex-hull vertex (monotone chain)."""
     pts = np.unique(np.stack([x, y], axis=1), axis=0)
@@ -67,32 +67,48 @@ def _hull_points(batches):
     yield pdf[_hull_mask(pdf["x"].to_numpy(), pdf["y"].to_numpy())]
 
 
-def _farthest_of_small_set(batches):
-    """Exact farthest pair of a (hull-sized) set; ties → smallest (a, b)."""
-    frames = [pdf for pdf in batches if len(pdf)]
-    if not frames:
-        return
-    pdf = pd.concat(frames, ignore_index=True).sort_values("id", kind="stable")
-    ids, x, y = pdf["id"].to_numpy(), pdf["x"].to_numpy(), pdf["y"].to_numpy()
-    best = (-1.0, None, None)
-    for i in range(len(ids) - 1):
-        dx, dy = x[i] - x[i + 1:], y[i] - y[i + 1:]
-        d = np.sqrt(dx * dx + dy * dy)
-        j = int(np.argmax(d))
-        if d[j] > best[0]:
-            best = (float(d[j]), int(ids[i]), int(ids[i + 1 + j]))
-    if best[1] is not None:
-        a, b = sorted((best[1], best[2]))
-        yield pd.DataFrame({"station_a": [a], "station_b": [b]})
-
-
-def _hull_pair(pts: DataFrame, fan_in: int = 8) -> DataFrame:
-    cur = pts.mapInPandas(_hull_points, _PTS)
+def _planar(lat1, lon1, lat2, lon2):
+    dx, dy = lat1 - lat2, lon1 - lon2
+    return np.sqrt(dx * dx + dy * dy)
+
+
+def _great_circle(lat1, lon1, lat2, lon2):
+    p1, p2 = np.radians(lat1), np.radians(lat2)
+    h = (np.sin((p2 - p1) / 2) ** 2
+         + np.cos(p1) * np.cos(p2) * np.sin((np.radians(lon2) - np.radians(lon1)) / 2) ** 2)
+    return np.arcsin(np.sqrt(np.minimum(1.0, h)))
+
+
+def _farthest_of_small_set(metric):
+    """Exact farthest pair of a (hull-sized) set by ``metric``; ties → smallest (a, b)."""
+    def run(batches):
+        frames = [pdf for pdf in batches if len(pdf)]
+        if not frames:
+            return
+        pdf = pd.concat(frames, ignore_index=True).sort_values("id", kind="stable")
+        ids, lat, lon = pdf["id"].to_numpy(), pdf["lat"].to_numpy(), pdf["lon"].to_numpy()
+        best = (-1.0, None, None)
+        for i in range(len(ids) - 1):
+            d = metric(lat[i], lon[i], lat[i + 1:], lon[i + 1:])
+            j = int(np.argmax(d))
+            if d[j] > best[0]:
+                best = (float(d[j]), int(ids[i]), int(ids[i + 1 + j]))
+        if best[1] is not None:
+            a, b = sorted((best[1], best[2]))
+            yield pd.DataFrame({"station_a": [a], "station_b": [b]})
+    return run
+
+
+def _hull_pair(pts: DataFrame, metric=_planar, fan_in: int = 8) -> DataFrame:
+    """Farthest pair among the points whose plane coordinates (x, y) are hull
+    vertices; ``metric`` compares the original (lat, lon)."""
+    schema = "id long, x double, y double, lat double, lon double"
+    cur = pts.mapInPandas(_hull_points, schema)
     n = pts.rdd.getNumPartitions()
     while n > 1:
         n = max(1, math.ceil(n / fan_in))
-        cur = cur.coalesce(n).mapInPandas(_hull_points, _PTS)
-    return cur.mapInPandas(_farthest_of_small_set, "station_a long, station_b long")
+        cur = cur.coalesce(n).mapInPandas(_hull_points, schema)
+    return cur.mapInPandas(_farthest_of_small_set(metric), "station_a long, station_b long")
 
 
 def _unit(lat, lon):
@@ -116,15 +132,26 @@ def _sphere_pair(pts: DataFrame, sectors: int, salts: int) -> DataFrame:
     p = p.withColumn("rc", _chord(F.col("px"), F.col("py"), F.col("pz"),
                                   F.lit(cx), F.lit(cy), F.lit(cz)))
     big_r, far = p.agg(F.max("rc"), F.max_by(F.struct("px", "py", "pz"), "rc")).first()
+    # Tangent basis at c: e = c × z (or x-axis at a pole), f = c × e.
+    ex, ey, ez = -cy, cx, 0.0
+    en = math.hypot(ex, ey)
+    ex, ey = (ex / en, ey / en) if en > 0 else (1.0, 0.0)
+    fx, fy, fz = cy * ez - cz * ey, cz * ex - cx * ez, cx * ey - cy * ex
+    if big_r * big_r < 2.0 - 1e-9:
+        # Every point within the open hemisphere around c (|p - c|² < 2 ⇔ p·c > 0):
+        # for a fixed q, -x·q is convex in the orthographic coordinates
+        # u = (x·e, x·f) of x, so the farthest point from q is a vertex of the
+        # planar hull of the projected points. Exact hull pruning applies.
+        proj = p.select("id", (F.col("px") * ex + F.col("py") * ey + F.col("pz") * ez).alias("x"),
+                        (F.col("px") * fx + F.col("py") * fy + F.col("pz") * fz).alias("y"),
+                        F.col("x").alias("lat"), F.col("y").alias("lon"))
+        return _hull_pair(proj, _great_circle)
     low = p.agg(F.max(_chord(F.col("px"), F.col("py"), F.col("pz"),
                              F.lit(far[0]), F.lit(far[1]), F.lit(far[2])))).first()[0]
     low = F.lit(low)
     ring = p.filter(F.col("rc") + F.lit(big_r) >= low - F.lit(1e-12))
-    # Sector = azimuth of the point around the centre (tangent basis at c).
-    ex, ey, ez = -cy, cx, 0.0                                # c × z
-    en = math.hypot(ex, ey)
-    ex, ey = (ex / en, ey / en) if en > 0 else (1.0, 0.0)
-    fx, fy, fz = cy * ez - cz * ey, cz * ex - cx * ez, cx * ey - cy * ex   # c × e
+    # Points beyond the hemisphere: exact bounds instead. Sector = azimuth of
+    # the point around the centre in the tangent basis.
     a1 = F.col("px") * ex + F.col("py") * ey + F.col("pz") * ez
     a2 = F.col("px") * fx + F.col("py") * fy + F.col("pz") * fz
     sec = F.least(F.floor((F.atan2(a2, a1) + F.lit(math.pi)) / F.lit(2 * math.pi / sectors)),
@@ -169,7 +196,7 @@ def farthest_pair(points: DataFrame, id_col: str = "id", lat: str = "lat", lon:
     pts = points.select(F.col(id_col).cast("long").alias("id"), F.col(lat).cast("double").alias("x"),
                         F.col(lon).cast("double").alias("y")).na.drop()
     if metric == "degrees":
-        pair = _hull_pair(pts)
+        pair = _hull_pair(pts.select("id", "x", "y", F.col("x").alias("lat"), F.col("y").alias("lon")))
         dist = euclidean(F.col("ax"), F.col("ay"), F.col("bx"), F.col("by"))
     elif metric == "haversine":
         pair = _sphere_pair(pts, sectors, salts)

@@ -132,3 +132,17 @@ def test_checked_broadcast_falls_back(spark):
     plan_small = big.join(checked_broadcast(small, 10), "id")._jdf.queryExecution().toString()
     assert "broadcast" in plan_small.lower()
     assert checked_broadcast(big, 10) is big
+
+
+@pytest.mark.parametrize("spread_deg", [20.0, 150.0])
+def test_farthest_haversine_hemisphere_and_wide(spark, spread_deg):
+    """Regional data takes the projected-hull path, world-wide data the bounds path."""
+    n = 250
+    lat = np.clip(RNG.normal(10, 1, n) * spread_deg / 3, -89, 89)
+    lon = RNG.uniform(-spread_deg, spread_deg, n)
+    pts = [(i, float(lat[i]), float(lon[i])) for i in range(n)]
+    df = spark.createDataFrame(pts, "id long, lat double, long double").repartition(9)
+    r = geo.farthest_pair(df, metric="haversine").first()
+    d, pair = _brute(pts, "haversine")
+    assert (r.station_a, r.station_b) == pair
+    assert math.isclose(r.distance, round(d, 6), rel_tol=1e-9)

@@ -18,14 +18,18 @@ def checked_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
 
 
 def salted_join(big: DataFrame, small: DataFrame, on: list[str], salts: int,
-                how: str = "inner") -> DataFrame:
+                how: str = "inner", strategy: str | None = None) -> DataFrame:
     """Equi-join where ``big`` may hold a few very hot keys.
 
     Each ``big`` row gets a salt in [0, salts) from a hash of all its columns
     (deterministic, so a retried task reproduces it whatever the row order);
     ``small`` is replicated once per salt by an ``explode``, so one hot key is
     spread over ``salts`` tasks. Result rows are the same as the unsalted join.
+    ``strategy`` (e.g. ``"merge"``, ``"shuffle_hash"``) pins the join strategy
+    when the small side must not be broadcast.
     """
     b = big.withColumn("_salt", F.pmod(F.xxhash64(*big.columns), F.lit(salts)).cast("int"))
     s = small.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    if strategy:
+        s = s.hint(strategy)
     return b.join(s, on + ["_salt"], how).drop("_salt")

@@ -28,7 +28,7 @@ def matvec(m: DataFrame, vec: DataFrame, strategy: str = "broadcast",
     if strategy == "broadcast":
         joined = mv.join(checked_broadcast(vv, max_vec_rows), "j")
     elif strategy == "shuffle":
-        joined = salted_join(mv, vv, ["j"], salts) if salts > 1 \
+        joined = salted_join(mv, vv, ["j"], salts, strategy="merge") if salts > 1 \
             else mv.join(vv.hint("merge"), "j")
     else:
         raise ValueError(f"unknown strategy {strategy!r}")

@@ -35,10 +35,12 @@ def range_sort(df: DataFrame, value: str, n_buckets: int, lo=None, hi=None,
     """
     v = F.col(value)
     src = df.select(v.alias("value"))
-    # Missing bounds are scalar subqueries: one global min/max aggregate,
-    # evaluated once and inlined as a literal.
-    lo_c = src.select(F.min("value")).scalar() if lo is None else F.lit(lo)
-    hi_c = src.select(F.max("value")).scalar() if hi is None else F.lit(hi)
+    # Missing bounds come from one scalar subquery (a single min/max aggregate,
+    # evaluated once and inlined as a literal).
+    if lo is None or hi is None:
+        b = src.select(F.struct(F.min("value").alias("lo"), F.max("value").alias("hi"))).scalar()
+    lo_c = b["lo"] if lo is None else F.lit(lo)
+    hi_c = b["hi"] if hi is None else F.lit(hi)
     out = src.select(equal_width_bucket("value", lo_c, hi_c, n_buckets).alias("bucket"), "value")
     if dedup:
         out = out.distinct()

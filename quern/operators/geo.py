@@ -104,7 +104,10 @@ def _hull_pair(pts: DataFrame, metric=_planar, fan_in: int = 8) -> DataFrame:
     vertices; ``metric`` compares the original (lat, lon)."""
     schema = "id long, x double, y double, lat double, lon double"
     cur = pts.mapInPandas(_hull_points, schema)
-    n = pts.rdd.getNumPartitions()
+    try:
+        n = pts.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 - no RDD access: assume the shuffle width
+        n = int(pts.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
     while n > 1:
         n = max(1, math.ceil(n / fan_in))
         cur = cur.coalesce(n).mapInPandas(_hull_points, schema)

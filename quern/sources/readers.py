@@ -33,8 +33,12 @@ def spread(df: DataFrame) -> DataFrame:
     Large inputs already have at least that many splits and pass unchanged (no
     shuffle).
     """
-    target = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(target) if df.rdd.getNumPartitions() < target else df
+    try:
+        target = df.sparkSession.sparkContext.defaultParallelism
+        splits = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 - no RDD access (e.g. Spark Connect): leave as is
+        return df
+    return df.repartition(target) if splits < target else df
 
 
 def from_rows(spark: SparkSession, rows, schema: T.StructType | str) -> DataFrame:

@@ -124,6 +124,12 @@ def write_parquet(df: DataFrame, path: str, mode: str = "overwrite",
     writer.parquet(path)
 
 
+def summary(df: DataFrame, *statistics: str) -> DataFrame:
+    """SNK-5 (full form, LR2's ``summary()``): count, mean, stddev, min,
+    approximate 25/50/75 % and max of every column, as ``DataFrame.summary``."""
+    return df.summary(*statistics)
+
+
 def profile(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     """SNK-5: per-column profile ``(column_name, count, min, max)`` in one scan.
 

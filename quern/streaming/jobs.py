@@ -83,10 +83,19 @@ def _default_buckets(df: DataFrame) -> int:
     return max(64, n * BUCKETS_PER_SHUFFLE_PARTITION)
 
 
+_NAT = np.iinfo(np.int64).min
+
+
 def _to_us(series: pd.Series) -> np.ndarray:
     return series.to_numpy().astype("datetime64[us]").astype("int64")
 
 
+def _us_to_datetime(values: list) -> np.ndarray:
+    """Microseconds (None = missing) → ``datetime64[us]`` without a float detour."""
+    ints = np.array([_NAT if v is None else v for v in values], dtype="int64")
+    return ints.view("datetime64[us]")
+
+
 def _slot_pairing(expire: bool):
     """Two-slot state machine per ride id (Pairing / Expiring, traps T11, T13).
 
@@ -162,10 +171,11 @@ def _slot_pairing(expire: bool):
         elif state.exists:
             state.remove()
         if out:
-            res = pd.DataFrame(out, columns=["ride_id", "status", "ride_time", "fare_time"])
-            for c in ("ride_time", "fare_time"):
-                res[c] = pd.to_datetime(res[c], unit="us")
-            yield res
+            yield pd.DataFrame({
+                "ride_id": np.array([o[0] for o in out], dtype="int64"),
+                "status": [o[1] for o in out],
+                "ride_time": _us_to_datetime([o[2] for o in out]),
+                "fare_time": _us_to_datetime([o[3] for o in out])})
     return fn
 
 

@@ -163,3 +163,17 @@ def test_pairing_join_form_equals_state_form_on_unique_keys(spark):
         got[method] = sorted((x.ride_id, x.ride_time, x.fare_time) for x in out.collect()
                              if x.ride_id >= 0 and x.status == "matched")
     assert got["state"] == got["join"] and [g[0] for g in got["join"]] == [1, 2]
+
+
+def test_expiry_with_one_state_bucket_mixes_statuses_in_one_frame(spark):
+    # all ride ids share one bucket, so matched and unmatched rows (with missing
+    # times) leave the state function in the same frame
+    rides = [(2, _t(0)), (3, _t(1)), (5, _t(1))]
+    fares = [(1, _t(0)), (3, _t(2)), (6, _t(3))]
+    run, base = _run(spark, "expire-one-bucket")
+    r, f = _pair_inputs(spark, base, rides, fares)
+    out = run_to_table(spark, jobs.pair_with_expiry(r, f, buckets=1), run).filter("ride_id >= 0")
+    got = {(x.ride_id, x.status, x.ride_time is None, x.fare_time is None) for x in out.collect()}
+    assert got == {(1, "unmatched_fare", True, False), (2, "unmatched_ride", False, True),
+                   (3, "matched", False, False), (5, "unmatched_ride", False, True),
+                   (6, "unmatched_fare", True, False)}

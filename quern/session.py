@@ -53,8 +53,15 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = 8,
                .config("spark.ui.enabled", "false")
                .config("spark.ui.showConsoleProgress", "false"))
     if local:
-        builder = builder.config("spark.driver.memory",
-                                 os.environ.get("QUERN_DRIVER_MEMORY", "8g"))
+        # One long-lived local JVM runs many queries and streams: keep its
+        # bookkeeping bounded and unload the state stores of finished streams.
+        builder = (builder
+                   .config("spark.driver.memory", os.environ.get("QUERN_DRIVER_MEMORY", "12g"))
+                   .config("spark.sql.ui.retainedExecutions", "50")
+                   .config("spark.ui.retainedJobs", "200")
+                   .config("spark.ui.retainedStages", "200")
+                   .config("spark.ui.retainedTasks", "20000")
+                   .config("spark.sql.streaming.stateStore.maintenanceInterval", "5s"))
     for k, v in {**REQUIRED_CONF, **(conf or {})}.items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()

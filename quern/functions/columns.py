@@ -61,7 +61,8 @@ def equal_width_bucket(c, lo, hi, n: int) -> Column:
 
 
 def tag_tokens(tags) -> Column:
-    """FN-3: the ``<tag>`` tokens of a tag string, lower case; null → empty array."""
+    """FN-3: the ``<tag>`` tokens of a tag string, lower case; null → empty array
+    (FN-9: a null tag string never matches, like the reference's ``str(None)``)."""
     return F.coalesce(F.regexp_extract_all(F.lower(col_(tags)), F.lit(r"<([^<>]*)>"), 1),
                       F.array().cast("array<string>"))
 
@@ -69,3 +70,33 @@ def tag_tokens(tags) -> Column:
 def inclusive_day_end(hi: str) -> Column:
     """FIL-6 option: the last instant of day ``hi`` instead of its midnight (trap T7)."""
     return F.to_timestamp(F.lit(hi)) + F.expr("INTERVAL 1 DAY") - F.expr("INTERVAL 1 MICROSECOND")
+
+
+def distinct_sorted(c) -> Column:
+    """FN-2: ``sorted(set(list))`` of an array column."""
+    return F.sort_array(F.array_distinct(col_(c)))
+
+
+def event_year(c) -> Column:
+    """FN-4: calendar year of a timestamp (session time zone pinned to UTC)."""
+    return F.year(col_(c))
+
+
+def to_long(c, strict: bool = False) -> Column:
+    """FN-5: text → bigint. ``try_cast`` gives null for dirty text (trap T14);
+    ``strict`` raises on it (ANSI ``cast``)."""
+    return col_(c).cast("bigint") if strict else col_(c).try_cast("bigint")
+
+
+def not_every_nth(c, n: int) -> Column:
+    """FN-8 / FIL-12: ``c % n != 0`` (drops every n-th id)."""
+    return (col_(c) % F.lit(n)) != F.lit(0)
+
+
+def format_line(fmt: str, *cols) -> Column:
+    """FN-10 / PRJ-4: a formatted text line from row values (``format_string``).
+
+    FN-9: a null value prints as ``null``; the reference's ``str(None)`` gives
+    ``'None'`` — neither matches a ``<tag>``, so tag lookups are unaffected.
+    """
+    return F.format_string(fmt, *[col_(c) for c in cols])

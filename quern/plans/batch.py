@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quern.functions.columns import event_year
 from quern.operators import geo, keyed, matrix, ordering, relational, text
 from quern.sources import fixtures as fx
 from quern.sources.readers import profile, read_table, spread
@@ -261,9 +262,9 @@ def post_language(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def top_languages_by_year(spark: SparkSession, sf: str) -> DataFrame:
-    """FIL-6 + JOIN-6 + FIL-7 + AGG-9 + TOP-3: top languages per year."""
+    """FIL-6 + JOIN-6 + FIL-7 + FN-4 + AGG-9 + TOP-3: top languages per year."""
     pl = _post_languages(spark, sf, POSTS_FROM, POSTS_TO, default=None)
-    counts = pl.groupBy(F.year("creation_date").alias("year"), "language") \
+    counts = pl.groupBy(event_year("creation_date").alias("year"), "language") \
                .agg(F.count(F.lit(1)).alias("n_posts"))
     return ordering.top_n_per_group(counts, "year", [F.col("n_posts").desc(), F.col("language")],
                                     TOP_LANGUAGES)

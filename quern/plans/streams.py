@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from quern.functions.columns import not_every_nth
 from quern.sources.readers import read_stream, write_parquet
 from quern.sources import fixtures as fx
 from quern.streaming import jobs
@@ -78,7 +79,7 @@ def _ride_stream(spark, sf, drop_every: int | None = None):
     o = fixture_stream(spark, sf, "orders")
     r = o.filter(F.col("o_orderstatus") == "F")                     # FIL-11: isStart
     if drop_every:
-        r = r.filter(F.col("o_orderkey") % drop_every != 0)         # FIL-12
+        r = r.filter(not_every_nth("o_orderkey", drop_every))      # FIL-12, FN-8
     return r.select(F.col("o_orderkey").alias("ride_id"),
                     F.col("o_orderdate").cast("timestamp").alias("event_time"))
 

@@ -1,7 +1,9 @@
 """Batch and stream readers (SRC-*) and sinks (SNK-*).
 
 All readers return lazy DataFrames; column pruning and filters written after
-them reach the Parquet scan (``PushedFilters`` / ``ReadSchema``).
+them reach the Parquet scan (``PushedFilters`` / ``ReadSchema``). SNK-3: no
+operator runs an action; ``show``/``first``/``collect``/``count`` are the
+caller's (the registered queries return DataFrames).
 """
 
 from __future__ import annotations
@@ -124,6 +126,11 @@ def write_parquet(df: DataFrame, path: str, mode: str = "overwrite",
     writer.parquet(path)
 
 
+def schema_report(df: DataFrame) -> str:
+    """SNK-4: the ``printSchema()`` tree as text."""
+    return df.schema.treeString()
+
+
 def summary(df: DataFrame, *statistics: str) -> DataFrame:
     """SNK-5 (full form, LR2's ``summary()``): count, mean, stddev, min,
     approximate 25/50/75 % and max of every column, as ``DataFrame.summary``."""

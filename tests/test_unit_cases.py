@@ -147,3 +147,16 @@ def test_row_functions_as_columns(spark):
     fmt = row_map(lambda a, b: f"{a:.0f}-{b:.0f}", "string")
     rows = d.select(add("a", "b").alias("s"), fmt("a", "b").alias("t")).collect()
     assert [(r.s, r.t) for r in rows] == [(3.0, "1-2"), (7.0, "3-4")]
+
+
+def test_scalar_helpers(spark):
+    from quern.functions.columns import (distinct_sorted, format_line, not_every_nth, to_long)
+    from quern.sources.readers import schema_report
+    d = spark.createDataFrame([(["b", "a", "b"], "12", 2000, "x"), (["c"], "x", 1000, None)],
+                              "arr array<string>, num string, rid long, name string")
+    rows = d.select(distinct_sorted("arr").alias("s"), to_long("num").alias("n"),
+                    not_every_nth("rid", 1000).alias("keep"),
+                    format_line("ID: %s, name: %s", "rid", "name").alias("line")).collect()
+    assert [(r.s, r.n, r.keep, r.line) for r in rows] == [
+        (["a", "b"], 12, False, "ID: 2000, name: x"), (["c"], None, False, "ID: 1000, name: null")]
+    assert "num: string" in schema_report(d)

@@ -28,6 +28,7 @@ def _dense(df, shape, col="p"):
 
 @pytest.mark.parametrize("strategy", ["broadcast", "broadcast_left", "join"])
 def test_matmul_matches_numpy(spark, strategy):
+    # MAT-3, MAT-4, MAT-5, JOIN-4, JOIN-5
     a, b = RNG.random((3, 4)), RNG.random((4, 5))
     a[0, 1] = 0.0                                 # sparse cell left out
     p = matrix.matmul(_coo(spark, a), matrix.as_right(_coo(spark, b)), strategy)
@@ -35,6 +36,7 @@ def test_matmul_matches_numpy(spark, strategy):
 
 
 def test_matmul_scattered_and_salted_equal(spark):
+    # MAT-6, MAT-7
     a, b = RNG.random((6, 3)), RNG.random((3, 4))
     ca, cb = _coo(spark, a).repartition(7), matrix.as_right(_coo(spark, b)).repartition(5)
     p1 = matrix.matmul(ca, cb, "join")
@@ -44,6 +46,7 @@ def test_matmul_scattered_and_salted_equal(spark):
 
 
 def test_matvec_broadcast_equals_shuffle(spark):
+    # MAT-1, MAT-2, JOIN-3
     m, v = RNG.random((5, 4)), RNG.random(4)
     cm = _coo(spark, m)
     cv = spark.createDataFrame([(j, float(v[j])) for j in range(4)], "j long, v double")
@@ -54,6 +57,7 @@ def test_matvec_broadcast_equals_shuffle(spark):
 
 
 def test_dense_and_allclose(spark):
+    # AGG-11, MAT-7
     p = spark.createDataFrame([(0, 0, 1), (0, 2, 3), (1, 1, 4)], "i long, k long, p long")
     rows = {r.i: r.cells for r in matrix.to_dense(p).collect()}
     assert rows == {0: [1, 0, 3], 1: [0, 4, 0]}
@@ -79,6 +83,7 @@ def _brute(pts, metric):
 
 @pytest.mark.parametrize("metric,scale", [("degrees", 1.0), ("haversine", 60.0)])
 def test_farthest_pair_matches_brute_force(spark, metric, scale):
+    # GEO-1, JOIN-2, FN-6, FN-7, AGG-13, FIL-5
     n = 300
     lat = RNG.normal(0, 1, n) * scale
     lon = RNG.normal(0, 1, n) * scale * 2
@@ -107,6 +112,7 @@ def _wc_reduce(key, pdf):
 @pytest.mark.parametrize("combine,partitioner", [(None, "hash"), (_wc_combine, "hash"),
                                                  (_wc_combine, "range")])
 def test_keyed_map_reduce_plan_independent(spark, combine, partitioner):
+    # UDF-1, UDF-2, UDF-3, AGG-10, PAR-1, PAR-2
     words = ["a", "b", "c", "a", "a", "d"] * 50
     docs = spark.createDataFrame([(i, " ".join(words[i:i + 7])) for i in range(0, 300, 7)],
                                  "doc_id long, text string").repartition(5)
@@ -126,6 +132,7 @@ def test_keyed_map_reduce_plan_independent(spark, combine, partitioner):
 
 
 def test_checked_broadcast_falls_back(spark):
+    # JOIN-3
     from quern.operators.joins import checked_broadcast
     small = spark.range(5)
     big = spark.range(50)
@@ -136,6 +143,7 @@ def test_checked_broadcast_falls_back(spark):
 
 @pytest.mark.parametrize("spread_deg", [20.0, 150.0])
 def test_farthest_haversine_hemisphere_and_wide(spark, spread_deg):
+    # GEO-1, FN-7
     """Regional data takes the projected-hull path, world-wide data the bounds path."""
     n = 250
     lat = np.clip(RNG.normal(10, 1, n) * spread_deg / 3, -89, 89)

@@ -13,6 +13,7 @@ keys = st.lists(st.integers(min_value=0, max_value=6), max_size=12)
 @settings(max_examples=8, deadline=None)
 @given(r=keys, s=keys)
 def test_set_operators_match_python_sets(spark, r, s):
+    # SET-2, SET-3, SET-4
     R = spark.createDataFrame([(k,) for k in r], "key int")
     S = spark.createDataFrame([(k,) for k in s], "key int")
     got = lambda df: sorted(x.key for x in df.collect())
@@ -24,6 +25,7 @@ def test_set_operators_match_python_sets(spark, r, s):
 
 
 def test_combiner_bounds_reduce_groups_on_a_hot_key(spark):
+    # AGG-10, UDF-2
     # one key holds most rows; with the combiner each reduce group has at most
     # one partial per map partition
     rows = [("hot", 1)] * 3000 + [(f"k{i}", 1) for i in range(300)]
@@ -47,6 +49,7 @@ def test_combiner_bounds_reduce_groups_on_a_hot_key(spark):
 
 
 def test_summary_profile(spark):
+    # SNK-5
     df = spark.createDataFrame([(1.0,), (2.0,), (3.0,)], "v double")
     s = {r.summary: r.v for r in summary(df, "count", "mean", "min", "max").collect()}
     assert s == {"count": "3", "mean": "2.0", "min": "1.0", "max": "3.0"}

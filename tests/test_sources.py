@@ -8,6 +8,7 @@ from quern.sources import readers
 
 
 def test_csv_all_strings_and_typed(spark, tmp_path):
+    # SRC-6, SRC-7, FIL-9, FN-5
     p = tmp_path / "trip.csv"
     p.write_text("id,bike_id,duration\n1,535,60\n2,535,x\n3,7,\n")
     raw = readers.read_csv(spark, str(p))
@@ -23,6 +24,7 @@ def test_csv_all_strings_and_typed(spark, tmp_path):
 
 
 def test_xml_rows_with_explicit_schema(spark, tmp_path):
+    # SRC-8
     p = tmp_path / "posts.xml"
     p.write_text('<posts>\n'
                  '<row Id="1" CreationDate="2010-05-01T10:00:00.000" Tags="&lt;java&gt;&lt;c#&gt;"/>\n'
@@ -40,6 +42,7 @@ def test_xml_rows_with_explicit_schema(spark, tmp_path):
 
 
 def test_lines_and_coo_readers(spark):
+    # SRC-3, SRC-4, SRC-5
     d = spark.createDataFrame([(7, "a b\n\nc")], "doc_id long, text string")
     lines = readers.document_lines(d).collect()
     assert [(r.key, r.line) for r in lines] == [("7:0", "a b"), ("7:1", ""), ("7:2", "c")]
@@ -49,6 +52,7 @@ def test_lines_and_coo_readers(spark):
 
 
 def test_parquet_sink_and_profile(spark, tmp_path):
+    # SNK-1, SNK-5
     d = spark.createDataFrame([(1, 2.5), (2, None), (3, 0.5)], "a long, b double")
     out = str(tmp_path / "out")
     readers.write_parquet(d, out)

@@ -46,6 +46,7 @@ def _hourly(spark, src):
 
 
 def test_late_row_is_dropped_from_closed_window(spark):
+    # STR-1, STR-3, STR-5, SRC-12
     run, base = _run(spark, "late")
     src = f"{base}/in"
     os.makedirs(src)
@@ -61,6 +62,7 @@ def test_late_row_is_dropped_from_closed_window(spark):
 
 
 def test_restart_from_checkpoint_gives_same_rows(spark):
+    # STR-10
     run, base = _run(spark, "restart")
     src = f"{base}/in"
     os.makedirs(src)
@@ -78,6 +80,7 @@ def test_restart_from_checkpoint_gives_same_rows(spark):
 
 
 def test_hourly_max_picks_smallest_driver_on_tie(spark):
+    # STR-4, UDF-7
     run, base = _run(spark, "max")
     src = f"{base}/in"
     os.makedirs(src)
@@ -100,6 +103,7 @@ def _pair_inputs(spark, base, rides, fares):
 
 
 def test_pairing_latest_ride_wins(spark):
+    # JOIN-7, STR-6, STR-9, STR-11, UDF-8, SRC-11
     run, base = _run(spark, "pair")
     r, f = _pair_inputs(spark, base, [(1, _t(0)), (1, _t(1))], [(1, _t(2))])
     out = run_to_table(spark, jobs.pair_rides_fares(r, f), run)
@@ -111,6 +115,7 @@ def test_pairing_latest_ride_wins(spark):
 
 
 def test_expiry_statuses_keyed_and_join(spark):
+    # JOIN-8, JOIN-9, STR-7, STR-8
     rides = [(2, _t(0)), (3, _t(1))]
     fares = [(1, _t(0)), (3, _t(2))]
     run, base = _run(spark, "expire")
@@ -125,6 +130,7 @@ def test_expiry_statuses_keyed_and_join(spark):
 
 
 def test_cleansing_box(spark):
+    # FIL-10, UDF-6
     rows = [(1, 0.0, 0.0, 0.05, 0.05), (2, 0.0, 0.0, 0.5, 0.0), (3, -0.1, 0.1, 0.1, -0.1)]
     df = spark.createDataFrame(rows, "ride_id long, start_lon double, start_lat double, "
                                      "end_lon double, end_lat double")
@@ -133,6 +139,7 @@ def test_cleansing_box(spark):
 
 
 def test_memory_sink_and_processing_time_trigger(spark):
+    # SNK-2, STR-10
     from quern.streaming.runner import start_stream
     run, base = _run(spark, "mem")
     src = f"{base}/in"
@@ -153,6 +160,7 @@ def test_memory_sink_and_processing_time_trigger(spark):
 
 
 def test_pairing_join_form_equals_state_form_on_unique_keys(spark):
+    # JOIN-7, FIL-11, STR-2
     rides = [(1, _t(0)), (2, _t(1)), (4, _t(2))]
     fares = [(1, _t(3)), (2, _t(0)), (3, _t(1))]
     got = {}
@@ -166,6 +174,7 @@ def test_pairing_join_form_equals_state_form_on_unique_keys(spark):
 
 
 def test_expiry_with_one_state_bucket_mixes_statuses_in_one_frame(spark):
+    # JOIN-8, STR-7
     # all ride ids share one bucket, so matched and unmatched rows (with missing
     # times) leave the state function in the same frame
     rides = [(2, _t(0)), (3, _t(1)), (5, _t(1))]

@@ -18,12 +18,14 @@ DOCS_LINES = ["\nit is what it is\nit is what it is\nit is what it is",
 
 
 def test_filtered_average(spark):
+    # FIL-1, AGG-1, SRC-1, SRC-9
     u = spark.createDataFrame(USERS, USER_SCHEMA)
     out = relational.filtered_group_mean(u, F.col("gender") == "female", "age", "social_contacts")
     assert sorted(map(tuple, out.collect())) == [(25, 370.0), (33, 800.0)]
 
 
 def test_inverted_index(spark):
+    # TXT-3, SRC-2, FN-1, FN-2
     d = spark.createDataFrame(list(enumerate(DOCS3)), "doc_id long, text string")
     rows = text.inverted_index(d).collect()
     got = {}
@@ -36,18 +38,21 @@ def test_inverted_index(spark):
 
 
 def test_word_count_keeps_empty_words(spark):
+    # TXT-1, TXT-2, SRC-3, UDF-5
     d = spark.createDataFrame(list(enumerate(DOCS_LINES)), "doc_id long, text string")
     got = {r.word: r.n for r in text.word_count(d).collect()}
     assert got == {"": 3, "it": 9, "is": 9, "what": 5, "a": 1, "banana": 1}
 
 
 def test_distinct_words(spark):
+    # SET-1
     d = spark.createDataFrame(list(enumerate(DOCS_LINES)), "doc_id long, text string")
     assert {r.word for r in text.distinct_words(d).collect()} == {"", "it", "is", "what", "a",
                                                                   "banana"}
 
 
 def test_range_buckets_and_dedup(spark):
+    # SRT-3, PAR-2
     v = spark.createDataFrame([(x,) for x in [0.0, 0.5, 0.5, 0.50001, 1.0]], "v double")
     out = ordering.range_sort(v, "v", 2, lo=0.0, hi=1.0).collect()
     assert [r.bucket for r in out] == [0, 0, 0, 1, 1]
@@ -59,18 +64,21 @@ def test_range_buckets_and_dedup(spark):
 
 
 def test_mean_of_nothing_is_zero(spark):
+    # AGG-3
     e = spark.createDataFrame([], "v double")
     assert relational.global_mean(e, "v").first().mean == 0.0
     assert relational.global_mean(e, "v", scale=None).first().mean == 0.0
 
 
 def test_global_max_last_label_wins(spark):
+    # AGG-2
     d = spark.createDataFrame([(1, 5.0), (2, 9.0), (3, 9.0), (4, 1.0)], "label long, v double")
     r = relational.global_max(d, "label", "v").first()
     assert (r.label, r.value) == (3, 9.0)
 
 
 def test_set_operations(spark):
+    # SET-2, SET-3, SET-4
     r = spark.createDataFrame([("t",), ("t",), ("u",)], "key string")
     s = spark.createDataFrame([("u",), ("v",)], "key string")
     assert [x.key for x in relational.intersect(r, s).collect()] == ["u"]
@@ -80,12 +88,14 @@ def test_set_operations(spark):
 
 
 def test_selection_keeps_duplicates_projection_removes_them(spark):
+    # FIL-2, PRJ-1, PRJ-2
     d = spark.createDataFrame([(60, 1), (60, 1), (10, 2)], "a int, b int")
     assert relational.select_rows(d, F.col("a") > 50).count() == 2
     assert relational.project(d, "a").count() == 2
 
 
 def test_natural_join_bag(spark):
+    # JOIN-1
     r = spark.createDataFrame([(1, 0), (2, 0), (3, 1)], "a int, b int")
     s = spark.createDataFrame([(0, 7), (0, 8)], "b int, c int")
     out = relational.natural_join(r, s)
@@ -94,6 +104,7 @@ def test_natural_join_bag(spark):
 
 
 def test_group_aggregate_theta(spark):
+    # AGG-6
     d = spark.createDataFrame([(1, 2, 0), (1, 5, 0), (2, 3, 0)], "a int, b int, c int")
     assert sorted(map(tuple, relational.group_aggregate(d, "a", "b", "SUM").collect())) == \
         [(1, 7), (2, 3)]
@@ -104,6 +115,7 @@ def test_group_aggregate_theta(spark):
 
 
 def test_time_bounds(spark):
+    # FIL-6
     d = spark.createDataFrame([(dt.datetime(2020, 12, 31, 0, 0),), (dt.datetime(2020, 12, 31, 10, 0),)],
                               "ts timestamp")
     plain = d.filter(F.col("ts").between(F.lit("2010-01-01"), F.lit("2020-12-31"))).collect()
@@ -114,6 +126,7 @@ def test_time_bounds(spark):
 
 
 def test_tag_lookup_list_order_and_default(spark):
+    # JOIN-6, FIL-7, FN-3, FN-9
     items = spark.createDataFrame([(1, None), (2, "<java><c#>"), (3, "<Rust>"), (4, "<javascript>")],
                                   "id long, tags string")
     vocab = spark.createDataFrame([("C#", 0), ("Java", 1), ("rust", 2)], "name string, ordinal int")
@@ -126,6 +139,7 @@ def test_tag_lookup_list_order_and_default(spark):
 
 
 def test_top_n_per_group_ties_by_name(spark):
+    # TOP-3, SRT-2
     d = spark.createDataFrame([(2020, "b", 5), (2020, "a", 5), (2020, "c", 1), (2019, "x", 2)],
                               "year int, language string, n long")
     out = ordering.top_n_per_group(d, "year", [F.col("n").desc(), F.col("language")], 2)
@@ -133,6 +147,7 @@ def test_top_n_per_group_ties_by_name(spark):
 
 
 def test_grouped_bag_is_clustered_and_sorted(spark):
+    # AGG-4, SRT-4, PAR-1
     d = spark.createDataFrame([(k % 3, float(k)) for k in range(30)], "k long, v double")
     out = relational.grouped_bag(d, "k", "v", num_partitions=4)
     parts = out.rdd.glom().collect()
@@ -141,6 +156,7 @@ def test_grouped_bag_is_clustered_and_sorted(spark):
 
 
 def test_row_functions_as_columns(spark):
+    # UDF-4
     from quern.functions.udf import row_map, vectorized
     d = spark.createDataFrame([(1.0, 2.0), (3.0, 4.0)], "a double, b double")
     add = vectorized(lambda a, b: a + b, "double")
@@ -150,6 +166,7 @@ def test_row_functions_as_columns(spark):
 
 
 def test_scalar_helpers(spark):
+    # FN-2, FN-5, FN-8, FN-10, PRJ-4, SNK-4
     from quern.functions.columns import (distinct_sorted, format_line, not_every_nth, to_long)
     from quern.sources.readers import schema_report
     d = spark.createDataFrame([(["b", "a", "b"], "12", 2000, "x"), (["c"], "x", 1000, None)],

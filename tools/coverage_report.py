@@ -53,6 +53,8 @@ def main():
             where = [w for w, t in units if id_hits(t, pre, n)]
         qs = [q for q, d in queries.items() if id_hits(d, pre, n)]
         ts = [f.split("/")[-1] for f, t in tests.items() if id_hits(t, pre, n)]
+        if qs:
+            ts.append("test_oracle.py (via the queries)")
         short = re.sub(r"\s+", " ", desc)[:70].replace("|", "/")
         print(f"| {oid} | {short} | {', '.join(where[:4]) or '–'} | {', '.join(qs[:5]) or '–'} | "
               f"{', '.join(ts) or '–'} |")

@@ -184,7 +184,7 @@ def matmul_join(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def matmul_scattered(spark: SparkSession, sf: str) -> DataFrame:
-    """MAT-6: the same product with cells scattered over many readers."""
+    """MAT-6 + PAR-3: the same product with cells scattered over many readers."""
     return _gram(spark, sf, scatter=16)
 
 
@@ -206,12 +206,13 @@ def _bike_totals(spark, sf):
 
 
 def bike_max_total(spark: SparkSession, sf: str) -> DataFrame:
-    """AGG-7 + TOP-1: bike with the largest total duration (ties: smallest id)."""
+    """FIL-3 + AGG-7 + TOP-1: bike with the largest total duration (ties: smallest id)."""
     return ordering.top1(_bike_totals(spark, sf), F.col("duration").desc(), F.col("bike_id").asc())
 
 
 def bike_longest_trip(spark: SparkSession, sf: str) -> DataFrame:
-    """TOP-2 chained on TOP-1: the longest trip of the top bike.
+    """TOP-2 chained on TOP-1 (FIL-4 as a semi-join on the bike id): the
+    longest trip of the top bike.
 
     The top bike is a one-row DataFrame (``limit 1``), so broadcasting it is
     bounded by construction; the trip scan is never collected.

@@ -110,7 +110,8 @@ def _expiring_inputs(spark, sf, run):
 
 
 def expiring_pairs(spark: SparkSession, sf: str) -> DataFrame:
-    """JOIN-8a: matched / unmatched_ride / unmatched_fare within a 60-day bound."""
+    """FIL-11 + FIL-12 + JOIN-8a: matched / unmatched_ride / unmatched_fare
+    within a 60-day bound."""
     run = new_run(spark, "expiring")
     rides, fares = _expiring_inputs(spark, sf, run)
     out = run_to_table(spark, jobs.expiring_join(rides, fares, PAIRING_BOUND), run)

@@ -177,3 +177,17 @@ def test_scalar_helpers(spark):
     assert [(r.s, r.n, r.keep, r.line) for r in rows] == [
         (["a", "b"], 12, False, "ID: 2000, name: x"), (["c"], None, False, "ID: 1000, name: null")]
     assert "num: string" in schema_report(d)
+
+
+def test_rename_sort_take_and_row_factory(spark):
+    # PRJ-3, SRT-1, TOP-4, FIL-4, SRC-10, SNK-3
+    from pyspark.sql import Row
+    from quern.sources.readers import from_rows
+    row = Row("Year", "Language", "Count")
+    d = from_rows(spark, [row(2020, "java", 5), row(2020, "go", 7), row(2019, "c", 1)],
+                  "Year int, Language string, Count long")
+    r = relational.rename(d, "Year as year", "Language as language", "Count as n")
+    assert r.columns == ["year", "language", "n"]
+    assert [x.n for x in ordering.sort_desc(r, "n").collect()] == [7, 5, 1]
+    assert ordering.take(r, 2).count() == 2
+    assert relational.select_rows(r, F.col("year") == F.lit(2019)).first().language == "c"

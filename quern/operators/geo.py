@@ -79,13 +79,81 @@ def _great_circle(lat1, lon1, lat2, lon2):
     return np.arcsin(np.sqrt(np.minimum(1.0, h)))
 
 
+BRUTE_FORCE_MAX = 4096
+
+
+def _hull_order(xy: np.ndarray) -> np.ndarray:
+    """Indices of the strict convex hull of unique points, counter-clockwise."""
+    order = np.lexsort((xy[:, 1], xy[:, 0]))
+
+    def half(seq):
+        out = []
+        for k in seq:
+            while len(out) >= 2:
+                o, a, p = xy[out[-2]], xy[out[-1]], xy[k]
+                if (a[0] - o[0]) * (p[1] - o[1]) - (a[1] - o[1]) * (p[0] - o[0]) <= 0:
+                    out.pop()
+                else:
+                    break
+            out.append(k)
+        return out
+    lower, upper = half(order), half(order[::-1])
+    return np.array(lower[:-1] + upper[:-1])
+
+
+def _antipodal_pairs(h: np.ndarray) -> list[tuple[int, int]]:
+    """All antipodal vertex pairs of a CCW convex polygon (rotating calipers).
+
+    Every diametral pair is antipodal, so the planar farthest pairs (ties
+    included) are among these O(h) pairs.
+    """
+    n = len(h)
+    if n < 3:
+        return [(0, 1)] if n == 2 else []
+
+    def area(i, j, k):
+        a, b, c = h[i], h[j], h[k]
+        return abs((b[0] - a[0]) * (c[1] - a[1]) - (b[1] - a[1]) * (c[0] - a[0]))
+    pairs = set()
+    j = 1
+    for i in range(n):
+        ni = (i + 1) % n
+        while area(i, ni, (j + 1) % n) > area(i, ni, j):
+            j = (j + 1) % n
+        for a in (i, ni):
+            pairs.add((min(a, j), max(a, j)))
+        if area(i, ni, (j + 1) % n) == area(i, ni, j):      # parallel edges
+            for a in (i, ni):
+                pairs.add((min(a, (j + 1) % n), max(a, (j + 1) % n)))
+    return sorted(p for p in pairs if p[0] != p[1])
+
+
 def _farthest_of_small_set(metric):
-    """Exact farthest pair of a (hull-sized) set by ``metric``; ties → smallest (a, b)."""
+    """Exact farthest pair of a hull-sized set by ``metric``; ties → smallest (a, b).
+
+    Up to ``BRUTE_FORCE_MAX`` rows every pair is compared. A larger (planar)
+    hull is searched by rotating calipers over its distinct vertices; each
+    vertex stands for the smallest id at its coordinates.
+    """
     def run(batches):
         frames = [pdf for pdf in batches if len(pdf)]
         if not frames:
             return
         pdf = pd.concat(frames, ignore_index=True).sort_values("id", kind="stable")
+        if len(pdf) > BRUTE_FORCE_MAX and metric is _planar:
+            first = pdf.drop_duplicates(["lat", "lon"], keep="first")   # smallest id per point
+            xy = first[["lat", "lon"]].to_numpy()
+            hull = _hull_order(xy)
+            ids = first["id"].to_numpy()[hull]
+            pts = xy[hull]
+            best = None
+            for a, b in _antipodal_pairs(pts):
+                d = float(_planar(pts[a, 0], pts[a, 1], pts[b, 0], pts[b, 1]))
+                key = (-d,) + tuple(sorted((int(ids[a]), int(ids[b]))))
+                best = key if best is None or key < best else best
+            if best is not None:
+                yield pd.DataFrame({"station_a": [best[1]], "station_b": [best[2]]})
+            return
         ids, lat, lon = pdf["id"].to_numpy(), pdf["lat"].to_numpy(), pdf["lon"].to_numpy()
         best = (-1.0, None, None)
         for i in range(len(ids) - 1):

@@ -154,3 +154,18 @@ def test_farthest_haversine_hemisphere_and_wide(spark, spread_deg):
     d, pair = _brute(pts, "haversine")
     assert (r.station_a, r.station_b) == pair
     assert math.isclose(r.distance, round(d, 6), rel_tol=1e-9)
+
+
+def test_farthest_pair_large_hull_uses_calipers(spark):
+    # GEO-1: every point on a circle, so the global hull is the whole input;
+    # the rotating-calipers path must agree with brute force
+    n = 4500
+    ang = np.sort(RNG.uniform(0, 2 * np.pi, n))
+    pts = [(i, float(np.cos(a) * 3), float(np.sin(a) * 2)) for i, a in enumerate(ang)]
+    df = spark.createDataFrame(pts, "id long, lat double, long double").repartition(4)
+    r = geo.farthest_pair(df, metric="degrees").first()
+    arr = np.array([(p[1], p[2]) for p in pts])
+    d2 = ((arr[:, None, :] - arr[None, :, :]) ** 2).sum(-1)
+    i, j = np.unravel_index(np.argmax(d2), d2.shape)
+    assert (r.station_a, r.station_b) == tuple(sorted((int(i), int(j))))
+    assert math.isclose(r.distance, round(math.sqrt(d2[i, j]), 6), rel_tol=1e-9)

@@ -34,6 +34,10 @@ CLUSTER_CONF = {
     "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "20000",
     "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
     "spark.sql.shuffle.partitions": "4000",
+    # Stream state off the JVM heap (large keyed state, incremental commits).
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
 }
 
 

@@ -191,3 +191,19 @@ def test_rename_sort_take_and_row_factory(spark):
     assert [x.n for x in ordering.sort_desc(r, "n").collect()] == [7, 5, 1]
     assert ordering.take(r, 2).count() == 2
     assert relational.select_rows(r, F.col("year") == F.lit(2019)).first().language == "c"
+
+
+def test_spread_only_when_scan_has_few_splits(spark):
+    from quern.sources.readers import spread
+    target = spark.sparkContext.defaultParallelism
+    one = spark.range(100).coalesce(1)
+    assert spread(one).rdd.getNumPartitions() == target
+    many = spark.range(100).repartition(target * 2)
+    assert spread(many) is many                       # large inputs pass unchanged
+
+
+def test_checkpoint_folder_comes_from_the_session(spark):
+    from quern.session import ensure_checkpoint_dir, scratch_path
+    base = ensure_checkpoint_dir(spark)
+    assert base == spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    assert scratch_path(spark, "x").startswith(base.rstrip("/") + "/x-")

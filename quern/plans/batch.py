@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quern.functions.columns import event_year
+from quern.functions.columns import event_year, format_line
 from quern.operators import geo, keyed, matrix, ordering, relational, text
 from quern.sources import fixtures as fx
 from quern.sources.readers import profile, read_table, spread
@@ -235,6 +235,19 @@ def users_over_threshold(spark: SparkSession, sf: str) -> DataFrame:
     return relational.having(totals, F.col("total_duration") >= TRIP_THRESHOLD)
 
 
+def users_over_threshold_count(spark: SparkSession, sf: str) -> DataFrame:
+    """AGG-8: how many zip codes reach the threshold (the reference's ``count()``)."""
+    return users_over_threshold(spark, sf).agg(F.count(F.lit(1)).alias("n_users"))
+
+
+def bike_trip_report(spark: SparkSession, sf: str) -> DataFrame:
+    """PRJ-4 + FN-10: the longest trip of the top bike as one formatted text line."""
+    t = bike_longest_trip(spark, sf)
+    return t.select(format_line("trip %d: start station %d, end station %d, duration %d s",
+                                "id", "start_station_id", "end_station_id", "duration")
+                    .alias("report"))
+
+
 # --- stations ---------------------------------------------------------------
 
 def farthest_pair_degrees(spark: SparkSession, sf: str) -> DataFrame:

@@ -148,5 +148,12 @@ _HAV = ("2 * 6371.0 * asin(sqrt(least(1.0, pow(sin((radians(b.lat) - radians(a.l
 ORACLE_SQL["farthest_pair_degrees"] = _ST.format(fa="1.0", fo="1.0", dist=_EUCLID)
 ORACLE_SQL["farthest_pair_haversine"] = _ST.format(fa="90.0", fo="180.0", dist=_HAV)
 
+ORACLE_SQL["users_over_threshold_count"] = (
+    f"SELECT count(*) AS n_users FROM ({ORACLE_SQL['users_over_threshold']})")
+ORACLE_SQL["bike_trip_report"] = f"""
+SELECT printf('trip %d: start station %d, end station %d, duration %d s',
+              id, start_station_id, end_station_id, duration) AS report
+FROM ({ORACLE_SQL['bike_longest_trip']})"""
+
 ORACLE_SQL["mapreduce_group_avg"] = ORACLE_SQL["group_avg_filtered"]
 ORACLE_SQL["mapreduce_word_count"] = ORACLE_SQL["word_count"]

@@ -44,6 +44,8 @@ def batch_queries() -> dict[str, QueryFn]:
         "bike_longest_trip": B.bike_longest_trip,
         "bike_count": B.bike_count,
         "users_over_threshold": B.users_over_threshold,
+        "users_over_threshold_count": B.users_over_threshold_count,
+        "bike_trip_report": B.bike_trip_report,
         "farthest_pair_degrees": B.farthest_pair_degrees,
         "farthest_pair_haversine": B.farthest_pair_haversine,
         "post_language": B.post_language,

@@ -23,7 +23,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 
 BatchFn = Callable[[pd.DataFrame], pd.DataFrame]
 ReduceFn = Callable[..., pd.DataFrame]
@@ -81,7 +81,7 @@ def _reduce_whole_groups(keys: list[str], reduce_fn: ReduceFn, vectorized: bool,
 
 def keyed_map_reduce(df: DataFrame, map_fn: BatchFn, map_schema: str, key: str | list[str],
                      reduce_fn: ReduceFn, out_schema: str, combine_fn: BatchFn | None = None,
-                     num_partitions: int | None = None, partitioner: str = "hash",
+                     num_partitions: int | None = None, partitioner: str | Column = "hash",
                      vectorized_reduce: bool = False) -> DataFrame:
     """Run a user map/reduce job; DataFrame in, DataFrame out (chainable, UDF-3).
 
@@ -90,12 +90,18 @@ def keyed_map_reduce(df: DataFrame, map_fn: BatchFn, map_schema: str, key: str |
       aggregate, may be applied any number of times (AGG-10);
     * ``reduce_fn(key_tuple, group_rows) -> rows`` of ``out_schema``; with
       ``vectorized_reduce`` it is ``reduce_fn(rows_of_whole_groups) -> rows``;
-    * ``num_partitions`` / ``partitioner`` (``hash`` | ``range``) choose the
-      shuffle (UDF-2); without a count AQE sizes it.
+    * ``num_partitions`` / ``partitioner`` (``hash`` | ``range`` | a column
+      expression of the key, e.g. a bucket) choose the shuffle (UDF-2); without
+      a count AQE sizes it.
     """
     keys = [key] if isinstance(key, str) else list(key)
     mapped = df.mapInPandas(_map_and_combine(map_fn, combine_fn), map_schema)
-    if partitioner == "hash":
+    if isinstance(partitioner, Column):
+        # A user partitioner: rows with equal ``partitioner`` values share a task
+        # (Spark hashes the value; it must be a function of the key).
+        mapped = mapped.repartition(num_partitions, partitioner) if num_partitions \
+            else mapped.repartition(partitioner)
+    elif partitioner == "hash":
         mapped = mapped.repartition(num_partitions, *keys) if num_partitions \
             else mapped.repartition(*keys)
     elif partitioner == "range":

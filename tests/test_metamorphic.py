@@ -110,7 +110,8 @@ def _wc_reduce(key, pdf):
 
 
 @pytest.mark.parametrize("combine,partitioner", [(None, "hash"), (_wc_combine, "hash"),
-                                                 (_wc_combine, "range")])
+                                                 (_wc_combine, "range"),
+                                                 (_wc_combine, F.length("word") % 2)])
 def test_keyed_map_reduce_plan_independent(spark, combine, partitioner):
     # UDF-1, UDF-2, UDF-3, AGG-10, PAR-1, PAR-2
     words = ["a", "b", "c", "a", "a", "d"] * 50

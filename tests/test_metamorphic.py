@@ -111,12 +111,14 @@ def _wc_reduce(key, pdf):
 
 @pytest.mark.parametrize("combine,partitioner", [(None, "hash"), (_wc_combine, "hash"),
                                                  (_wc_combine, "range"),
-                                                 (_wc_combine, F.length("word") % 2)])
+                                                 (_wc_combine, "expr")])
 def test_keyed_map_reduce_plan_independent(spark, combine, partitioner):
     # UDF-1, UDF-2, UDF-3, AGG-10, PAR-1, PAR-2
     words = ["a", "b", "c", "a", "a", "d"] * 50
     docs = spark.createDataFrame([(i, " ".join(words[i:i + 7])) for i in range(0, 300, 7)],
                                  "doc_id long, text string").repartition(5)
+    if partitioner == "expr":                  # a user partitioner over the key
+        partitioner = F.length("word") % 2
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "3")   # groups cut by batches
     try:
         out = keyed.keyed_map_reduce(docs, _wc_map, "word string, n long", "word", _wc_reduce,

@@ -43,8 +43,12 @@ def range_sort(df: DataFrame, value: str, n_buckets: int, lo=None, hi=None,
     hi_c = b["hi"] if hi is None else F.lit(hi)
     out = src.select(equal_width_bucket("value", lo_c, hi_c, n_buckets).alias("bucket"), "value")
     if dedup:
-        out = out.distinct()
-    return out.orderBy("value", "bucket")
+        return out.distinct().orderBy("value", "bucket")
+    # Identical values cannot be split by a range exchange on the value alone;
+    # a per-row tie-break (position in the scan, deterministic for a given
+    # input) lets the sampled bounds cut a very frequent value into many tasks.
+    return (out.withColumn("_tie", F.monotonically_increasing_id())
+            .orderBy("value", "bucket", "_tie").drop("_tie"))
 
 
 def top1(df: DataFrame, *order: Column) -> DataFrame:

@@ -126,12 +126,16 @@ def grouped_bag(df: DataFrame, key: str, value: str, num_partitions: int | None
     adjacent rows instead: range partitioning on (key, value) splits a hot key
     over several partitions, and each partition is sorted.
     """
-    out = df.select(F.col(key).alias("key"), F.col(value).alias("value"))
+    out = df.select(F.col(key).alias("key"), F.col(value).alias("value"),
+                    F.monotonically_increasing_id().alias("_tie"))
+    # The per-row tie-break lets a range cut fall inside a run of identical
+    # (key, value) rows, so even one repeated pair spreads over tasks.
+    order = ["key", "value", "_tie"]
     if num_partitions:
-        out = out.repartitionByRange(num_partitions, "key", "value")
+        out = out.repartitionByRange(num_partitions, *order)
     else:
-        out = out.repartitionByRange("key", "value")
-    return out.sortWithinPartitions("key", "value")
+        out = out.repartitionByRange(*order)
+    return out.sortWithinPartitions(*order).drop("_tie")
 
 
 def group_count_mean(df: DataFrame, key: str, value: str, scale: int | None = 2,

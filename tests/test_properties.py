@@ -53,3 +53,22 @@ def test_summary_profile(spark):
     df = spark.createDataFrame([(1.0,), (2.0,), (3.0,)], "v double")
     s = {r.summary: r.v for r in summary(df, "count", "mean", "min", "max").collect()}
     assert s == {"count": "3", "mean": "2.0", "min": "1.0", "max": "3.0"}
+
+
+def test_hot_value_spreads_over_range_partitions(spark):
+    # SRT-3, AGG-4: one value holding most rows must not land in one partition
+    from quern.operators import ordering
+    rows = [(5.0,)] * 2000 + [(float(i),) for i in range(200)]
+    df = spark.createDataFrame(rows, "v double").repartition(4)
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        out = ordering.range_sort(df, "v", 4, lo=0.0, hi=200.0)
+        sizes = [len(p) for p in out.rdd.glom().collect()]
+        bag = relational.grouped_bag(df.selectExpr("1 AS k", "v"), "k", "v", num_partitions=4)
+        bag_sizes = [len(p) for p in bag.rdd.glom().collect()]
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert sum(sizes) == 2200 and max(sizes) < 2000
+    assert sum(bag_sizes) == 2200 and max(bag_sizes) < 2000
+    vals = [r.value for r in out.collect()]
+    assert vals == sorted(vals)

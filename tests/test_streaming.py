@@ -186,3 +186,14 @@ def test_expiry_with_one_state_bucket_mixes_statuses_in_one_frame(spark):
     assert got == {(1, "unmatched_fare", True, False), (2, "unmatched_ride", False, True),
                    (3, "matched", False, False), (5, "unmatched_ride", False, True),
                    (6, "unmatched_fare", True, False)}
+
+
+def test_join_state_is_readable_per_side(spark):
+    # STR-11: the end markers still wait in the join state after the run
+    run, base = _run(spark, "join-state")
+    r, f = _pair_inputs(spark, base, [(1, _t(0))], [(1, _t(1))])
+    out = run_to_table(spark, jobs.expiring_join(r, f, "1 hour"), run)
+    assert {(x.ride_id, x.status) for x in out.collect()} == {(1, "matched")}
+    left = jobs.read_state(spark, run.checkpoint, join_side="left")
+    right = jobs.read_state(spark, run.checkpoint, join_side="right")
+    assert left.count() >= 1 and right.count() >= 1

@@ -60,7 +60,8 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = 8,
         # One long-lived local JVM runs many queries and streams: keep its
         # bookkeeping bounded and unload the state stores of finished streams.
         builder = (builder
-                   .config("spark.driver.memory", os.environ.get("QUERN_DRIVER_MEMORY", "12g"))
+                   .config("spark.driver.memory",
+                           os.environ.get("QUERN_DRIVER_MEMORY", _local_heap()))
                    .config("spark.sql.ui.retainedExecutions", "50")
                    .config("spark.ui.retainedJobs", "200")
                    .config("spark.ui.retainedStages", "200")
@@ -85,6 +86,16 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = 8,
     return spark
 
 
+def _local_heap() -> str:
+    """Local driver heap: 60 % of the machine's memory, between 2 and 12 GB."""
+    try:
+        with open("/proc/meminfo") as f:
+            kb = next(int(line.split()[1]) for line in f if line.startswith("MemTotal:"))
+    except (OSError, StopIteration, ValueError):
+        return "4g"
+    return f"{max(2, min(12, int(kb / 1024 / 1024 * 0.6)))}g"
+
+
 _SHIPPED: set[str] = set()
 
 

@@ -111,8 +111,11 @@ def ship_package(spark: SparkSession) -> None:
     import io
     import zipfile
 
-    sc = spark.sparkContext
-    app = sc.applicationId
+    try:
+        sc = spark.sparkContext
+        app = sc.applicationId
+    except Exception:  # noqa: BLE001 - no SparkContext (e.g. Spark Connect): ship at submit
+        return
     if app in _SHIPPED:
         return
     pkg_dir = os.path.dirname(os.path.abspath(__file__))
@@ -145,14 +148,19 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     checkpoints have a reliable home.
     """
     global _LOCAL_BASE
-    sc = spark.sparkContext
-    base = sc.getConf().get("spark.checkpoint.dir", None)
+    base = None
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - no SparkContext handle (e.g. Spark Connect)
+        sc = None
+    if sc is not None:
+        base = sc.getConf().get("spark.checkpoint.dir", None)
     if not base:
         try:
             base = spark.conf.get("spark.checkpoint.dir", None)
         except Exception:  # noqa: BLE001 - not a SQL conf on every version
             base = None
-    if not base:
+    if not base and sc is not None:
         existing = sc._jsc.sc().getCheckpointDir()
         if existing.isDefined():
             base = existing.get()
@@ -161,7 +169,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         if _LOCAL_BASE is None:
             _LOCAL_BASE = tempfile.mkdtemp(prefix="quern-ckpt-")
         base = _LOCAL_BASE
-    if not sc._jsc.sc().getCheckpointDir().isDefined():
+    if sc is not None and not sc._jsc.sc().getCheckpointDir().isDefined():
         sc.setCheckpointDir(base)
     return base
 

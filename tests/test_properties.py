@@ -72,3 +72,20 @@ def test_hot_value_spreads_over_range_partitions(spark):
     assert sum(bag_sizes) == 2200 and max(bag_sizes) < 2000
     vals = [r.value for r in out.collect()]
     assert vals == sorted(vals)
+
+
+def test_edge_inputs(spark):
+    # GEO-1, SRT-3, JOIN-6, TXT-1 on degenerate inputs
+    from quern.operators import geo, ordering, text
+    one = spark.createDataFrame([(1, 0.0, 0.0)], "id long, lat double, long double")
+    assert geo.farthest_pair(one).count() == 0
+    same = spark.createDataFrame([(3, 1.0, 1.0), (2, 1.0, 1.0)], "id long, lat double, long double")
+    r = geo.farthest_pair(same).first()
+    assert (r.station_a, r.station_b, r.distance) == (2, 3, 0.0)
+    empty = spark.createDataFrame([], "v double")
+    assert ordering.range_sort(empty, "v", 4).count() == 0
+    items = spark.createDataFrame([(1, "<java>")], "id long, tags string")
+    vocab = spark.createDataFrame([], "name string, ordinal int")
+    assert text.first_listed_match(items, "tags", vocab).first().language == "No"
+    docs = spark.createDataFrame([(1, ""), (2, None)], "doc_id long, text string")
+    assert {r.word: r.n for r in text.word_count(docs).collect()} == {"": 1}

@@ -74,7 +74,7 @@ def plan(keys: DataFrame, seed: str = "mix", weights=WEIGHTS, share: float = SHA
     classes = keys.groupBy("source", size_class(F.col("size")).alias("class")).agg(F.count("*").alias("rows"))
     classes = staged(classes, "classes")
     n = classes.agg(F.sum("rows")).first()[0] or 0
-    per_share = max(1000, int(n ** 0.5))                      # as many shares as rows in one
+    per_share = max(100, int(n ** 0.5))                       # about as many shares as rows in one
     classes = staged(classes.select("source", "class", F.ceil(F.col("rows") / per_share).alias("shares")), "shares")
     return rates, classes
 
@@ -152,7 +152,7 @@ t AS (SELECT source, source_size, least(cap, coalesce((SELECT level FROM f) * w,
 u AS (SELECT *, CASE WHEN source_size > 0 THEN floor(target / source_size * 1048576)::BIGINT ELSE 0 END AS units,
              ('0x' || substr(md5('mix|' || coalesce(source, chr(0))), 1, 5))::BIGINT AS offs FROM t),
 c AS (SELECT *, length(size::VARCHAR) * 100 + substr(size::VARCHAR, 1, 2)::INT AS class FROM k),
-n AS (SELECT source, class, ceil(count(*) / greatest(1000, floor(sqrt((SELECT count(*) FROM k)))))::BIGINT AS shares FROM c GROUP BY ALL),
+n AS (SELECT source, class, ceil(count(*) / greatest(100, floor(sqrt((SELECT count(*) FROM k)))))::BIGINT AS shares FROM c GROUP BY ALL),
 p AS (SELECT c.*, ('0x' || substr(md5(coalesce(doc_id::VARCHAR, '')), 1, 8))::BIGINT % shares AS share, source_size, target, units, offs
       FROM c JOIN n ON c.source IS NOT DISTINCT FROM n.source AND c.class = n.class
              JOIN u ON c.source IS NOT DISTINCT FROM u.source),

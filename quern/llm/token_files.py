@@ -31,7 +31,7 @@ from quern.llm.common import TempFile, commit, file_rows, open_fs, prepare, read
 MAGIC = b"QTOK1\0"
 BLOCK_IDS = 1 << 16
 FILE_IDS = 1 << 26                 # ids after which a task begins its next file
-CACHE_WORDS = 400_000
+CACHE_WORDS = 1_000_000          # distinct words a Python worker keeps: about 200 MB
 
 
 # --- bit packing ------------------------------------------------------------------------
@@ -152,20 +152,31 @@ class ByteEncoder:
         self.library.no_truncation()
         self.library.no_padding()
         self.special = [t.content for t in self.library.get_added_tokens_decoder().values()]
-        self.after: dict[str, bytes] = {}                   # ids of " word"
-        self.first: dict[str, bytes] = {}                   # ids of "word" at a line's start
-        self.feed = self.ids(["\n"])[0]
+        self.known: dict[str, bytes] = {}                   # ids of " word", and of "\nword"
+        self.marks = dict(zip(".,;:", self.ids(list(".,;:"))))
 
     def ids(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, "<u4").tobytes()
                 for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _learn(self, known: dict[str, bytes], words: set[str], lead: str) -> None:
-        new = [w for w in words if w not in known]
-        if len(known) + len(new) > CACHE_WORDS:
-            known.clear()
-            new = list(words)
-        known.update(zip(new, self.ids([lead + w for w in new])))
+    def _look_up(self, words: list[str]) -> list[bytes]:
+        known = self.known
+        got = list(map(known.get, words))
+        if None in got:
+            gaps = [i for i, g in enumerate(got) if g is None]
+            new = {words[i] for i in gaps}
+            # A mark after a letter is a token of its own, so the word before it is learnt once.
+            marked = [w for w in new if w[-1:] in self.marks and w[-2:-1].isalpha()]
+            ids = {c: known.get(c) for c in (w[:-1] for w in marked)}
+            bare = list({c for c, g in ids.items() if g is None} | new.difference(marked))
+            ids.update(zip(bare, self.ids([w if w[:1] == "\n" else " " + w for w in bare])))
+            ids.update((w, ids[w[:-1]] + self.marks[w[-1]]) for w in marked)
+            if len(known) + len(ids) > CACHE_WORDS:
+                known.clear()
+            known.update(ids)
+            for i in gaps:
+                got[i] = ids[words[i]]
+        return got
 
     def encode(self, texts: list[str]) -> list[bytes]:
         out: list[bytes | None] = [None] * len(texts)
@@ -174,16 +185,17 @@ class ByteEncoder:
             (whole if ADJACENT.search(t) or any(s in t for s in self.special) else cut).append(i)
         for i, ids in zip(whole, self.ids([texts[i] for i in whole])):
             out[i] = ids
-        lines = [[line.split(" ") for line in texts[i].split("\n")] for i in cut]
-        self._learn(self.first, {line[0] for doc in lines for line in doc}, "")
-        after: set[str] = set()
-        for doc in lines:
-            for line in doc:
-                after.update(line[1:])
-        self._learn(self.after, after, " ")
-        first, rest = self.first, self.after
-        for i, doc in zip(cut, lines):
-            out[i] = self.feed.join([first[line[0]] + b"".join([rest[w] for w in line[1:]]) for line in doc])
+        words: list[str] = []
+        first, ends = [], []
+        for i in cut:
+            doc = texts[i].replace("\n", " \n").split(" ")
+            first.append(doc[0])
+            words += doc[1:]
+            ends.append(len(words))
+        got, at = self._look_up(words), 0
+        for i, head, end in zip(cut, self.ids(first), ends):
+            out[i] = head + b"".join(got[at:end])
+            at = end
         return out
 
 

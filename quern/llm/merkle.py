@@ -87,7 +87,7 @@ def with_next(docs: DataFrame, values: dict[str, Column]) -> DataFrame:
     """
     spark = docs.sparkSession
     key = F.coalesce(F.col("doc_id").cast("long"), F.lit(LOWEST))
-    n = max(1, min(4000, int(spark.conf.get("spark.sql.shuffle.partitions"))))
+    n = max(1, min(4000, 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))))   # several to a task
     cuts = ranges(docs.select(key.alias("key")), n)
     if not cuts:
         cuts = [LOWEST]

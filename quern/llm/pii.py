@@ -242,7 +242,7 @@ def replace_pii(docs: DataFrame, key: str = KEY, count_col: str | None = None) -
     """``docs`` with surrogates in ``text`` (and ``n_chars`` after it, where there is one)."""
     prepare(docs.sparkSession)
     each = docs.select("doc_id", F.xxhash64("text").alias("_th"), entities(F.col("text")).alias("m")) \
-        .where(F.size("m") > 0).select("doc_id", "_th", units(parts(key, F.col("m"))).alias("u"))
+        .select("doc_id", "_th", units(parts(key, F.col("m"))).alias("u"))
     found = staged(each.select(F.explode("u").alias("u")).select("u.*").distinct(), "vault")
     later = staged(collisions(found, key), "attempts")
     n = later.count()

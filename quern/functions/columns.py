@@ -52,11 +52,11 @@ def exact_mean(c, scale: int = 2, empty_value: float | None = None) -> Column:
 def equal_width_bucket(c, lo, hi, n: int) -> Column:
     """SRT-3 / PAR-2: bucket of ``n`` equal-width, right-closed buckets over [lo, hi].
 
-    The first bucket also holds ``lo``; values outside the range clamp to the
+    The first bucket also holds ``lo`` (all of a constant column); values outside the range clamp to the
     end buckets. Works for any ``lo`` (the reference's loop is only right for 0).
     """
     width = (col_(hi) - col_(lo)) / F.lit(float(n))
-    raw = F.ceil((col_(c) - col_(lo)) / width) - 1
+    raw = F.when(width == 0, 0).otherwise(F.ceil(F.try_divide(col_(c) - col_(lo), width)) - 1)
     return F.least(F.greatest(raw, F.lit(0)), F.lit(n - 1)).cast("int")
 
 

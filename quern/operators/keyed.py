@@ -55,7 +55,7 @@ def _reduce_whole_groups(keys: list[str], reduce_fn: ReduceFn, vectorized: bool,
         if vectorized:
             return reduce_fn(frame)
         parts = [reduce_fn(k if isinstance(k, tuple) else (k,), g)
-                 for k, g in frame.groupby(keys, sort=False)]
+                 for k, g in frame.groupby(keys, sort=False, dropna=False)]
         return pd.concat(parts, ignore_index=True) if parts else pd.DataFrame(columns=out_cols)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -66,7 +66,7 @@ def _reduce_whole_groups(keys: list[str], reduce_fn: ReduceFn, vectorized: bool,
             if not len(pdf):
                 continue
             last = pdf[keys].iloc[-1]
-            tail = (pdf[keys] == last).all(axis=1)
+            tail = ((pdf[keys] == last) | (pdf[keys].isna() & last.isna())).all(axis=1)
             carry, done = pdf[tail], pdf[~tail]
             if len(done):
                 out = reduce_frame(done)

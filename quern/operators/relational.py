@@ -84,7 +84,7 @@ def group_aggregate(df: DataFrame, key: str, value: str, theta: str = "SUM",
     fns = {"SUM": F.sum, "MAX": F.max}
     t = theta.upper()
     if t not in fns:
-        raise ValueError("Unsupported aggregation function. Use 'SUM' or 'MAX'.")
+        raise ValueError(f"theta must be SUM or MAX, not {theta!r}")
     return df.groupBy(F.col(key).alias("a")).agg(fns[t](value).alias(out))
 
 

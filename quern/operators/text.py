@@ -60,35 +60,22 @@ def inverted_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
 def first_listed_match(items: DataFrame, tags_col: str, vocab: DataFrame,
                        name_col: str = "name", ordinal_col: str = "ordinal",
-                       default: str | None = "No", max_vocab_rows: int = 100_000,
-                       out: str = "language") -> DataFrame:
+                       default: str | None = "No", out: str = "language") -> DataFrame:
     """JOIN-6: per item, the first vocabulary entry (by ``ordinal``) whose
     lower-case ``<name>`` occurs among the item's tags, else ``default``.
 
-    Never one substring test per (item, name) pair. When the vocabulary is
-    proven to hold at most ``max_vocab_rows`` entries, it becomes one map
-    (tag → (ordinal, name)), evaluated once as a scalar subquery; every item
-    then looks its few tags up in place — a narrow stage, no shuffle of the
-    items. Beyond the bound, tags are exploded and equi-joined with the
-    vocabulary (shuffle join), and one aggregate per item keeps the first hit.
+    One plan at every size: each distinct tag string is exploded and equi-joined with
+    the vocabulary, one aggregate keeps its first hit, and the items look their tag
+    string up. Spark broadcasts the vocabulary or the hits where they are small.
     ``default=None`` drops items without a match (FIL-7).
     """
     v = (vocab.select(F.lower(F.col(name_col)).alias("_tag"),
                       F.struct(F.col(ordinal_col).alias("o"), F.col(name_col).alias("n")).alias("_e"))
          .groupBy("_tag").agg(F.min("_e").alias("_e")))
-    cols = items.columns
-    if v.limit(max_vocab_rows + 1).count() <= max_vocab_rows:
-        lookup = v.agg(F.map_from_entries(F.collect_list(F.struct("_tag", "_e")))).scalar()
-        hits = F.filter(F.transform(tag_tokens(tags_col),
-                                    lambda t: F.try_element_at(F.col("_lookup"), t)),
-                        lambda h: h.isNotNull())
-        res = items.withColumn("_lookup", lookup).withColumn(out, F.array_min(hits)["n"]) \
-                   .drop("_lookup")
-    else:
-        keyed = items.withColumn("_item", F.monotonically_increasing_id())
-        tagged = keyed.withColumn("_tag", F.explode_outer(tag_tokens(tags_col)))
-        joined = tagged.join(v, "_tag", "left")
-        res = joined.groupBy("_item", *cols).agg(F.min("_e")["n"].alias(out)).drop("_item")
+    tags = items.select(F.col(tags_col).alias("_tags")).distinct()
+    hits = tags.select("_tags", F.explode(tag_tokens("_tags")).alias("_tag")).join(v, "_tag") \
+        .groupBy("_tags").agg(F.min("_e")["n"].alias(out))
+    res = items.join(hits, items[tags_col] == hits["_tags"], "left").drop("_tags")
     if default is None:
         return res.filter(F.col(out).isNotNull())
     return res.withColumn(out, F.coalesce(F.col(out), F.lit(default)))

@@ -152,12 +152,12 @@ def terasort_dedup(spark: SparkSession, sf: str) -> DataFrame:
 
 def matvec_broadcast(spark: SparkSession, sf: str) -> DataFrame:
     """MAT-1 / JOIN-3: embeddings × vector, vector broadcast (size checked)."""
-    return matrix.matvec(fx.matrix(spark, sf), fx.vector(spark), "broadcast")
+    return matrix.matvec(fx.matrix(spark, sf), fx.vector(spark, sf), "broadcast")
 
 
 def matvec_shuffle(spark: SparkSession, sf: str) -> DataFrame:
     """MAT-2: the same product when the vector does not fit: shuffle join, salted."""
-    return matrix.matvec(fx.matrix(spark, sf), fx.vector(spark), "shuffle", salts=4)
+    return matrix.matvec(fx.matrix(spark, sf), fx.vector(spark, sf), "shuffle", salts=4)
 
 
 def _scores(spark, sf, strategy):
@@ -316,7 +316,7 @@ def mapreduce_word_count(spark: SparkSession, sf: str) -> DataFrame:
     import pandas as pd
 
     def map_fn(pdf: pd.DataFrame) -> pd.DataFrame:
-        lines = pdf["text"].str.split("\n", regex=False).explode()
+        lines = pdf["text"].dropna().str.split("\n", regex=False).explode()
         w = lines.str.split(" ", regex=False).explode()
         return pd.DataFrame({"word": w.astype(str).values, "n": 1})
 

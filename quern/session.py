@@ -165,7 +165,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         if existing.isDefined():
             base = existing.get()
     if not base:
-        # Unset (tests, the local bench): one fresh folder per process.
+        # Unset (tests, the local bench): one fresh folder per process. Executors of a
+        # cluster would not see it.
+        if sc is not None and not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         if _LOCAL_BASE is None:
             _LOCAL_BASE = tempfile.mkdtemp(prefix="quern-ckpt-")
         base = _LOCAL_BASE

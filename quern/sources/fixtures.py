@@ -53,9 +53,11 @@ def label_profile(spark: SparkSession, sf: str) -> DataFrame:
     return m.groupBy("i", "j").agg(F.max("v").alias("v"))
 
 
-def vector(spark: SparkSession, dims: int = 64) -> DataFrame:
-    """Vector (j, v = j + 1) over the embedding dimensions."""
-    return spark.range(dims).select(F.col("id").alias("j"), (F.col("id") + 1).alias("v"))
+def vector(spark: SparkSession, sf: str) -> DataFrame:
+    """Vector (j, v = j + 1) over the embedding dimensions, as many as the data has."""
+    width = read_table(spark, sf, "embeddings").agg(F.max(F.size("embedding")).alias("n")).where("n > 0")
+    j = width.select(F.explode(F.sequence(F.lit(0), F.col("n") - 1)).cast("long").alias("j"))
+    return j.select("j", (F.col("j") + 1).alias("v"))
 
 
 def trips(spark: SparkSession, sf: str) -> DataFrame:

@@ -8,7 +8,7 @@ Restarting on the same checkpoint continues where the last run stopped.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -23,6 +23,8 @@ class StreamRun:
     """Where a stream run keeps its sink and checkpoint."""
     sink: str
     checkpoint: str
+    # End-of-input markers still to be written: (directory, schema, row values).
+    ends: list = field(default_factory=list)
 
 
 def new_run(spark: SparkSession, name: str) -> StreamRun:
@@ -32,26 +34,38 @@ def new_run(spark: SparkSession, name: str) -> StreamRun:
 
 def fixture_stream(spark: SparkSession, sf: str, table: str,
                    files_per_trigger: int | None = None) -> DataFrame:
-    """A file stream over one fixture table (directory + glob; the schema comes
-    from the file footer, timestamps cast from NTZ to TIMESTAMP by the caller)."""
+    """A file stream over one fixture table, a folder of part files or a single file
+    (its directory + glob). The schema comes from the file footer; timestamps are cast
+    from NTZ to TIMESTAMP by the caller."""
     path = table_path(sf, table)
     schema = spark.read.parquet(path).schema
+    if _is_directory(spark, path):
+        return read_stream(spark, path, schema, files_per_trigger=files_per_trigger)
     directory = path.rsplit("/", 1)[0]
     return read_stream(spark, directory, schema, file_glob=path.rsplit("/", 1)[1],
                        files_per_trigger=files_per_trigger)
 
 
+def _is_directory(spark: SparkSession, path: str) -> bool:
+    sc = spark.sparkContext
+    p = sc._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(sc._jsc.hadoopConfiguration()).getFileStatus(p).isDirectory()
+
+
 def sentinel_stream(spark: SparkSession, run: StreamRun, schema: T.StructType,
                     row: dict, tag: str = "sentinel") -> DataFrame:
     """A one-row end-of-input marker as its own file stream.
 
-    Its far-future event time moves the watermark past every real window once
-    the input is drained, so append-mode windows and outer-join rows of the last
-    hour are emitted. Callers filter the marker's key out of the result.
+    Its far-future event time moves the watermark past every real window, so
+    append-mode windows and outer-join rows of the last hour are emitted. The folder
+    starts empty: ``run_to_table`` writes the marker only after the real input is
+    drained, whatever the number of micro-batches. Callers filter the marker's key
+    out of the result.
     """
     directory = f"{run.sink.rsplit('/', 1)[0]}/{tag}"
     values = [row.get(f.name) for f in schema.fields]
-    spark.createDataFrame([tuple(values)], schema).write.mode("overwrite").parquet(directory)
+    spark.createDataFrame([], schema).write.mode("overwrite").parquet(directory)
+    run.ends.append((directory, schema, tuple(values)))
     return read_stream(spark, directory, schema)
 
 
@@ -79,17 +93,34 @@ def start_stream(stream: DataFrame, run: StreamRun, output_mode: str = "append",
 
 def run_to_table(spark: SparkSession, stream: DataFrame, run: StreamRun,
                  output_mode: str = "append", query_name: str | None = None,
-                 timeout_s: int = 1800) -> DataFrame:
-    """Drive ``stream`` with ``availableNow`` into Parquet; return the sink table."""
+                 timeout_s: int | None = None) -> DataFrame:
+    """Drive ``stream`` with ``availableNow`` into Parquet; return the sink table.
+
+    Markers of the run are written once the input is drained, and the stream runs again
+    on the same checkpoint. With ``timeout_s`` a run that takes longer raises
+    ``TimeoutError``; a half-written sink is never returned.
+    """
+    _drain(stream, run, output_mode, query_name, timeout_s)
+    if run.ends:
+        for directory, schema, row in run.ends:
+            spark.createDataFrame([row], schema).write.mode("append").parquet(directory)
+        run.ends.clear()
+        _drain(stream, run, output_mode, query_name, timeout_s)
+    return spark.read.parquet(run.sink)
+
+
+def _drain(stream: DataFrame, run: StreamRun, output_mode: str, query_name: str | None,
+           timeout_s: int | None) -> None:
     q = start_stream(stream, run, output_mode, "parquet", None, query_name)
     try:
-        q.awaitTermination(timeout_s)
+        ended = q.awaitTermination(timeout_s) if timeout_s is not None else q.awaitTermination() or True
     finally:
         if q.isActive:
             q.stop()
     if q.exception() is not None:
         raise RuntimeError(f"stream {query_name or ''} failed: {q.exception()}")
-    return spark.read.parquet(run.sink)
+    if not ended:
+        raise TimeoutError(f"stream {query_name or ''} took more than {timeout_s} s")
 
 
 def as_event_time(df: DataFrame, column: str, out: str = "event_time") -> DataFrame:

@@ -132,9 +132,9 @@ def test_tag_lookup_list_order_and_default(spark):
     vocab = spark.createDataFrame([("C#", 0), ("Java", 1), ("rust", 2)], "name string, ordinal int")
     for bound in (100, 1):     # map lookup, and the shuffle-join form beyond the bound
         got = {r.id: r.language for r in
-               text.first_listed_match(items, "tags", vocab, max_vocab_rows=bound).collect()}
+               text.first_listed_match(items, "tags", vocab).collect()}
         assert got == {1: "No", 2: "C#", 3: "rust", 4: "No"}
-        only = text.first_listed_match(items, "tags", vocab, default=None, max_vocab_rows=bound)
+        only = text.first_listed_match(items, "tags", vocab, default=None)
         assert sorted(r.id for r in only.collect()) == [2, 3]
 
 

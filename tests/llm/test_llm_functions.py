@@ -1,0 +1,103 @@
+"""Pure functions of the llm operators against brute force and the libraries."""
+
+import random
+
+import numpy as np
+import public_tokenizers
+import pytest
+import xxhash
+from tokenizers import Tokenizer
+
+from quern.llm import ann, bpe, quality, simhash, toxicity, token_files, warc
+
+ODD = ["", " ", "\n", "a\n", "\na", " a", "a ", "A<|endoftext|>b", "a\x1cb\x85c d​e f", "don't IT'S we'LL",
+       "ΟΔΟΣ ΣΑΣ", "İ ß ﬁ", "é 가", "👨‍👩‍👧 日本語", "x" * 3000, "١٢٣ ½", "a \nb", "a\n'll b"]
+
+
+def odd_texts(n=300, seed=1):
+    r = random.Random(seed)
+    kinds = [lambda: r.choice([32, 32, 10, 9, 160, 0x1C, 39]), lambda: r.randrange(32, 127),
+             lambda: r.randrange(0x300, 0x3000)]
+    return ODD + ["".join(chr(r.choice(kinds)()) for _ in range(r.randrange(1, 40))) for _ in range(n)]
+
+
+def test_bpe_equals_library():
+    path = public_tokenizers.path("word_bpe_49k.json")
+    own, lib = bpe.WordBpe(path), Tokenizer.from_file(path)
+    for t in odd_texts():
+        want = lib.encode(t, add_special_tokens=False).ids
+        ids = own.encode(t)
+        assert np.frombuffer(ids, "<u4").tolist() == want
+        assert own.decode(ids) == lib.decode(want, skip_special_tokens=False)
+
+
+def test_byte_encoder_equals_library():
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    lib, texts = Tokenizer.from_file(path), odd_texts()
+    for t, ids in zip(texts, token_files.ByteEncoder(path).encode(texts)):
+        assert np.frombuffer(ids, "<u4").tolist() == lib.encode(t, add_special_tokens=False).ids
+
+
+@pytest.mark.parametrize("bits", [1, 7, 8, 11, 16, 17, 31, 32])
+def test_packing_round_trip(bits):
+    ids = np.random.default_rng(0).integers(0, 2**bits, 999)
+    assert (token_files.unpack(token_files.pack(ids, bits), bits, len(ids)) == ids).all()
+
+
+def test_fingerprint_by_definition():
+    def slow(text):
+        w = text.encode().lower().split()
+        s = [b" ".join(w[i:i + 3]) for i in range(len(w) - 2)] if len(w) >= 3 else ([b" ".join(w)] if w else [])
+        h = [xxhash.xxh64_intdigest(x, 42) for x in s]
+        return sum(1 << b for b in range(64) if sum(x >> b & 1 for x in h) * 2 > len(h))
+    for t in ["", " ", "one", "A b", "a b c", "a b a b a b É", "x y z w " * 50]:
+        assert simhash.fingerprint(t, 3) & (2**64 - 1) == slow(t)
+    assert simhash.fingerprint(None, 3) == 0
+
+
+def test_machine_margin_is_sum_over_pairs():
+    fm = quality.FactorisationMachine(50, 3)
+    fm.v = np.random.default_rng(1).normal(size=(50, 3)).astype(np.float32)
+    idx, val = np.array([3, 7, 20]), np.array([1.0, 2.0, -1.0], np.float32)
+    want = sum(fm.v[idx[i]] @ fm.v[idx[j]] * val[i] * val[j] for i in range(3) for j in range(i + 1, 3))
+    assert fm.margin(idx, val, np.array([0]))[0][0] == pytest.approx(want, rel=1e-4)
+
+
+def test_pu_classifier_finds_marker_words():
+    r = random.Random(5)
+    word = lambda: "w%d" % r.randrange(300)
+    clean = [" ".join(word() for _ in range(30)) for _ in range(900)]
+    toxic = [" ".join([word() for _ in range(29)] + ["vile"]) for _ in range(200)]
+    model = toxicity.PuClassifier()
+    model.fit([toxicity.features(t) for t in toxic[:100]], [toxicity.features(t) for t in clean[:700] + toxic[100:180]], 0.1)
+    s = model.scores([*toxic[180:], *clean[700:], None, ""])
+    assert (s[:20] >= 0.7).all() and (s[20:] < 0.7).all()
+
+
+def test_forest_recall_and_route():
+    x = np.random.default_rng(2).normal(size=(2000, 16)).astype(np.float32)
+    f = ann.Forest(x, 8, 32)
+    leaves = f.route(x)
+    assert all(np.bincount(leaves[:, k], minlength=f.base[k + 1]).sum() == len(x) for k in range(8))
+    hits = 0
+    for q in x[:50]:
+        near = np.argsort(((x - q) ** 2).sum(axis=1))[:10]
+        found = np.flatnonzero(np.isin(leaves, f.search(q, 4000)).any(axis=1))
+        hits += np.isin(near, found).sum()
+    assert hits / 500 >= 0.9
+    same = ann.Forest(np.ones((200, 4), np.float32), 2, 8)          # equal points: one leaf, no endless split
+    assert len(same.sizes) == 2
+
+
+def test_warc_records_round_trip():
+    record = warc.page_record(5, "http://a/\r\nX: y", "é".encode(), 5, False, 0)
+    fields, block = warc.parse(record)
+    assert fields["warc-type"] == "response" and block.endswith("é".encode()) and "x" not in fields
+    again = warc.page_record(None, None, b"", 3, True, 1)
+    fields, block = warc.parse(again)
+    assert fields["warc-type"] == "revisit" and fields["x-refers-to-page-id"] == "3" and "x-page-id" not in fields
+    import io
+    data = warc.gzip_member(record) + warc.gzip_member(again)
+    assert list(warc.members(io.BytesIO(data), 7)) == [record, again]
+    with pytest.raises(ValueError):
+        list(warc.members(io.BytesIO(data[:-9])))

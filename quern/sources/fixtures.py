@@ -56,8 +56,8 @@ def label_profile(spark: SparkSession, sf: str) -> DataFrame:
 def vector(spark: SparkSession, sf: str) -> DataFrame:
     """Vector (j, v = j + 1) over the embedding dimensions, as many as the data has."""
     width = read_table(spark, sf, "embeddings").agg(F.max(F.size("embedding")).alias("n")).where("n > 0")
-    j = width.select(F.explode(F.sequence(F.lit(0), F.col("n") - 1)).cast("long").alias("j"))
-    return j.select("j", (F.col("j") + 1).alias("v"))
+    j = width.select(F.explode(F.sequence(F.lit(0), F.col("n") - 1)).alias("j"))
+    return j.select(F.col("j").cast("long").alias("j"), (F.col("j") + 1).cast("long").alias("v"))
 
 
 def trips(spark: SparkSession, sf: str) -> DataFrame:

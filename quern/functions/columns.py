@@ -33,19 +33,23 @@ def haversine(lat1, lon1, lat2, lon2, radius: float = EARTH_RADIUS_KM) -> Column
     return F.lit(2.0 * radius) * F.asin(F.sqrt(F.least(F.lit(1.0), a)))
 
 
-def exact_sum(c, scale: int = 2) -> Column:
-    """Sum of a money-like double as an exact decimal (order-independent)."""
-    return F.sum(col_(c).cast(f"decimal(18,{scale})"))
+def exact_sum(c) -> Column:
+    """Sum of a double as a double, exact up to the last rounding and order-independent.
+
+    Values are summed as decimals of 18 places. Where one does not fit 20 digits before the
+    point, or the sum does not, it is the plain sum of doubles.
+    """
+    d = col_(c).try_cast("decimal(38,18)")
+    exact = F.when(F.count(d) == F.count(col_(c)), F.try_sum(d)).cast("double")
+    return F.coalesce(exact, F.sum(col_(c).cast("double")))
 
 
-def exact_mean(c, scale: int = 2, empty_value: float | None = None) -> Column:
-    """Mean whose value does not depend on summation order.
+def exact_mean(c, empty_value: float | None = None) -> Column:
+    """Mean whose value does not depend on summation order: ``exact_sum`` by the count.
 
-    The sum is exact in decimal; one IEEE division by the count then gives the
-    same double on every engine. ``empty_value`` replaces the mean of nothing
-    (trap T22: the reference returns 0).
+    ``empty_value`` replaces the mean of nothing (trap T22: the reference returns 0).
     """
-    m = F.try_divide(exact_sum(c, scale).cast("double"), F.count(col_(c)).cast("double"))
+    m = F.try_divide(exact_sum(c), F.count(col_(c)).cast("double"))
     return F.coalesce(m, F.lit(float(empty_value))) if empty_value is not None else m
 
 

@@ -4,21 +4,17 @@ The reference crosses every station with every other one. Here no pair list of
 the whole input is ever built:
 
 * ``degrees`` (planar, the reference's metric): the farthest pair of a planar
-  set lies on its convex hull. Each partition is reduced to its hull points
-  (``mapInPandas``); partitions are then merged by ``coalesce`` (narrow, no
-  shuffle) and reduced again, until one partition holds the global hull. Only
-  hull vertices are compared. Points that share a vertex's coordinates are kept,
-  so ties between equal points are still decided by ids.
+  set lies on its convex hull. Every task of the scan folds its batches into hull rows
+  (``mapInPandas``); only these are exchanged and folded again, and rotating calipers
+  search the last hull. The two smallest ids of a point are kept, so ties between equal
+  points are still decided by ids.
 * ``haversine``: when every point lies in the open hemisphere around the
   centre direction c (checked exactly), the farthest point from any q is a
   vertex of the planar hull of the points' orthographic projection on the
   tangent plane at c (−x·q is convex in those coordinates), so the same hull
-  pruning applies. Otherwise chord length in 3-D (monotone in great-circle
-  distance, with the triangle inequality) gives exact bounds: a lower bound L from a double
-  sweep (two global ``max_by``), a ring prune (``|p-c| + R >= L``), and per
-  sector bounding balls that drop sector pairs that cannot reach L. Candidate
-  pairs are produced only inside surviving sector pairs, by an equi-join on the
-  partner sector (salted, so a dense sector is spread over many tasks).
+  pruning applies. Otherwise the partner of a point is the point nearest to its
+  antipode: with a lower bound from sweeps, points and antipodes are hashed on a 3-D grid
+  as wide as the bound leaves open and joined on neighbouring cells (salted).
 
 Output: one row ``(station_a, station_b, distance)`` with ``station_a < station_b``,
 largest distance, ties broken by the smallest ids; ``distance`` rounded to 6.
@@ -36,54 +32,13 @@ from pyspark.sql import functions as F
 from quern.functions.columns import EARTH_RADIUS_KM, euclidean, haversine
 from quern.operators.joins import salted_join
 
-def _hull_mask(x: np.ndarray, y: np.ndarray) -> np.ndarray:
-    """Rows whose coordinates are a convex-hull vertex (monotone chain)."""
-    pts = np.unique(np.stack([x, y], axis=1), axis=0)
-    if len(pts) <= 2:
-        verts = pts
-    else:
-        def half(seq):
-            out = []
-            for p in seq:
-                while len(out) >= 2:
-                    o, a = out[-2], out[-1]
-                    if (a[0] - o[0]) * (p[1] - o[1]) - (a[1] - o[1]) * (p[0] - o[0]) <= 0:
-                        out.pop()
-                    else:
-                        break
-                out.append(p)
-            return out
-        lower, upper = half(pts), half(pts[::-1])
-        verts = np.array(lower[:-1] + upper[:-1])
-    keys = {(float(a), float(b)) for a, b in verts}
-    return np.array([(float(a), float(b)) in keys for a, b in zip(x, y)], dtype=bool)
-
-
-def _hull_points(batches):
-    frames = [pdf for pdf in batches if len(pdf)]
-    if not frames:
-        return
-    pdf = pd.concat(frames, ignore_index=True)
-    yield pdf[_hull_mask(pdf["x"].to_numpy(), pdf["y"].to_numpy())]
+FOLD_ROWS = 65_536
 
 
-def _planar(lat1, lon1, lat2, lon2):
-    dx, dy = lat1 - lat2, lon1 - lon2
-    return np.sqrt(dx * dx + dy * dy)
-
-
-def _great_circle(lat1, lon1, lat2, lon2):
-    p1, p2 = np.radians(lat1), np.radians(lat2)
-    h = (np.sin((p2 - p1) / 2) ** 2
-         + np.cos(p1) * np.cos(p2) * np.sin((np.radians(lon2) - np.radians(lon1)) / 2) ** 2)
-    return np.arcsin(np.sqrt(np.minimum(1.0, h)))
-
-
-BRUTE_FORCE_MAX = 4096
-
-
-def _hull_order(xy: np.ndarray) -> np.ndarray:
+def _strict_hull(xy: np.ndarray) -> np.ndarray:
     """Indices of the strict convex hull of unique points, counter-clockwise."""
+    if len(xy) <= 2:
+        return np.arange(len(xy))
     order = np.lexsort((xy[:, 1], xy[:, 0]))
 
     def half(seq):
@@ -101,6 +56,60 @@ def _hull_order(xy: np.ndarray) -> np.ndarray:
     return np.array(lower[:-1] + upper[:-1])
 
 
+def _inside_extremes(xy: np.ndarray) -> np.ndarray:
+    """Points strictly inside the polygon of the extreme points of eight directions:
+    no hull vertex is among them, and few points are left for the chain."""
+    x, y = xy[:, 0], xy[:, 1]
+    far = [x.argmin(), (x + y).argmin(), y.argmin(), (x - y).argmax(),
+           x.argmax(), (x + y).argmax(), y.argmax(), (x - y).argmin()]
+    corners = xy[list(dict.fromkeys(int(k) for k in far))]
+    if len(corners) < 3:
+        return np.zeros(len(xy), dtype=bool)
+    scale = max(np.ptp(x), np.ptp(y)) or 1.0
+    inside = np.ones(len(xy), dtype=bool)
+    for o, a in zip(corners, np.roll(corners, -1, axis=0)):
+        inside &= (a[0] - o[0]) * (y - o[1]) - (a[1] - o[1]) * (x - o[0]) > 1e-12 * scale * scale
+    return inside
+
+
+def _hull_rows(pdf: pd.DataFrame) -> pd.DataFrame:
+    """Rows at hull vertices, of each point the two smallest ids."""
+    pdf = pdf.drop_duplicates(["id", "x", "y"]).sort_values(["x", "y", "id"], kind="stable")
+    pdf = pdf[pdf.groupby(["x", "y"], sort=False).cumcount() < 2]
+    first = pdf.drop_duplicates(["x", "y"])[["x", "y"]]
+    first = first[~_inside_extremes(first.to_numpy())]
+    vertices = first.iloc[_strict_hull(first.to_numpy())]
+    return pdf.merge(vertices, on=["x", "y"])
+
+
+def _hull_points(batches):
+    """Fold the batches of a task into the rows of its hull."""
+    held, waiting, n = None, [], 0
+    for pdf in batches:
+        if len(pdf):
+            waiting.append(pdf)
+            n += len(pdf)
+        if n >= FOLD_ROWS:
+            held = _hull_rows(pd.concat(waiting if held is None else [held, *waiting], ignore_index=True))
+            waiting, n = [], 0
+    if waiting:
+        held = _hull_rows(pd.concat(waiting if held is None else [held, *waiting], ignore_index=True))
+    if held is not None:
+        yield held
+
+
+def _planar(lat1, lon1, lat2, lon2):
+    dx, dy = lat1 - lat2, lon1 - lon2
+    return np.sqrt(dx * dx + dy * dy)
+
+
+def _great_circle(lat1, lon1, lat2, lon2):
+    p1, p2 = np.radians(lat1), np.radians(lat2)
+    h = (np.sin((p2 - p1) / 2) ** 2
+         + np.cos(p1) * np.cos(p2) * np.sin((np.radians(lon2) - np.radians(lon1)) / 2) ** 2)
+    return np.arcsin(np.sqrt(np.minimum(1.0, h)))
+
+
 def _antipodal_pairs(h: np.ndarray) -> list[tuple[int, int]]:
     """All antipodal vertex pairs of a CCW convex polygon (rotating calipers).
 
@@ -128,58 +137,60 @@ def _antipodal_pairs(h: np.ndarray) -> list[tuple[int, int]]:
     return sorted(p for p in pairs if p[0] != p[1])
 
 
-def _farthest_of_small_set(metric):
-    """Exact farthest pair of a hull-sized set by ``metric``; ties → smallest (a, b).
+def _farthest_planar(batches):
+    """Planar farthest pair of the hull rows by rotating calipers; ties → smallest (a, b).
 
-    Up to ``BRUTE_FORCE_MAX`` rows every pair is compared. A larger (planar)
-    hull is searched by rotating calipers over its distinct vertices; each
-    vertex stands for the smallest id at its coordinates.
+    Each vertex stands for the smallest id at its coordinates; points that all lie at
+    one place give its two smallest ids.
+    """
+    frames = list(_hull_points(batches))
+    if not frames:
+        return
+    pdf = frames[0].sort_values("id", kind="stable")
+    first = pdf.drop_duplicates(["x", "y"])
+    if len(first) == 1:
+        if len(pdf) > 1:
+            yield pd.DataFrame({"station_a": pdf["id"].iloc[:1].to_numpy(), "station_b": pdf["id"].iloc[1:2].to_numpy()})
+        return
+    xy, ids = first[["x", "y"]].to_numpy(), first["id"].to_numpy()
+    hull = _strict_hull(xy)
+    pts, ids = xy[hull], ids[hull]
+    pairs = np.array(_antipodal_pairs(pts))
+    d = _planar(pts[pairs[:, 0], 0], pts[pairs[:, 0], 1], pts[pairs[:, 1], 0], pts[pairs[:, 1], 1])
+    ends = np.sort(ids[pairs[d == d.max()]], axis=1)
+    best = ends[np.lexsort((ends[:, 1], ends[:, 0]))[0]]
+    yield pd.DataFrame({"station_a": best[:1], "station_b": best[1:]})
+
+
+def _farthest_on_sphere(batches):
+    """Great-circle farthest pair of hull rows, one row against all after it."""
+    frames = list(_hull_points(batches))
+    if not frames:
+        return
+    pdf = frames[0].sort_values("id", kind="stable")
+    ids, lat, lon = pdf["id"].to_numpy(), pdf["lat"].to_numpy(), pdf["lon"].to_numpy()
+    best = (-1.0, None, None)
+    for i in range(len(ids) - 1):
+        d = _great_circle(lat[i], lon[i], lat[i + 1:], lon[i + 1:])
+        j = int(np.argmax(d))
+        if d[j] > best[0]:
+            best = (float(d[j]), int(ids[i]), int(ids[i + 1 + j]))
+    if best[1] is not None:
+        yield pd.DataFrame({"station_a": [best[1]], "station_b": [best[2]]})
+
+
+def _hull_pair(pts: DataFrame, farthest=_farthest_planar, fan_in: int = 32) -> DataFrame:
+    """Farthest pair among the points whose plane coordinates (x, y) are hull vertices.
+
+    The first step runs in the tasks of the scan; only hull rows are exchanged.
     """
-    def run(batches):
-        frames = [pdf for pdf in batches if len(pdf)]
-        if not frames:
-            return
-        pdf = pd.concat(frames, ignore_index=True).sort_values("id", kind="stable")
-        if len(pdf) > BRUTE_FORCE_MAX and metric is _planar:
-            first = pdf.drop_duplicates(["lat", "lon"], keep="first")   # smallest id per point
-            xy = first[["lat", "lon"]].to_numpy()
-            hull = _hull_order(xy)
-            ids = first["id"].to_numpy()[hull]
-            pts = xy[hull]
-            best = None
-            for a, b in _antipodal_pairs(pts):
-                d = float(_planar(pts[a, 0], pts[a, 1], pts[b, 0], pts[b, 1]))
-                key = (-d,) + tuple(sorted((int(ids[a]), int(ids[b]))))
-                best = key if best is None or key < best else best
-            if best is not None:
-                yield pd.DataFrame({"station_a": [best[1]], "station_b": [best[2]]})
-            return
-        ids, lat, lon = pdf["id"].to_numpy(), pdf["lat"].to_numpy(), pdf["lon"].to_numpy()
-        best = (-1.0, None, None)
-        for i in range(len(ids) - 1):
-            d = metric(lat[i], lon[i], lat[i + 1:], lon[i + 1:])
-            j = int(np.argmax(d))
-            if d[j] > best[0]:
-                best = (float(d[j]), int(ids[i]), int(ids[i + 1 + j]))
-        if best[1] is not None:
-            a, b = sorted((best[1], best[2]))
-            yield pd.DataFrame({"station_a": [a], "station_b": [b]})
-    return run
-
-
-def _hull_pair(pts: DataFrame, metric=_planar, fan_in: int = 8) -> DataFrame:
-    """Farthest pair among the points whose plane coordinates (x, y) are hull
-    vertices; ``metric`` compares the original (lat, lon)."""
     schema = "id long, x double, y double, lat double, lon double"
     cur = pts.mapInPandas(_hull_points, schema)
-    try:
-        n = pts.rdd.getNumPartitions()
-    except Exception:  # noqa: BLE001 - no RDD access: assume the shuffle width
-        n = int(pts.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
-    while n > 1:
-        n = max(1, math.ceil(n / fan_in))
-        cur = cur.coalesce(n).mapInPandas(_hull_points, schema)
-    return cur.mapInPandas(_farthest_of_small_set(metric), "station_a long, station_b long")
+    n = int(pts.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
+    while n > fan_in:
+        n = math.ceil(n / fan_in)
+        cur = cur.repartition(n, "id").mapInPandas(_hull_points, schema)
+    return cur.repartition(1).mapInPandas(farthest, "station_a long, station_b long")
 
 
 def _unit(lat, lon):
@@ -191,7 +202,10 @@ def _chord(ax, ay, az, bx, by, bz):
     return F.sqrt(F.pow(ax - bx, 2) + F.pow(ay - by, 2) + F.pow(az - bz, 2))
 
 
-def _sphere_pair(pts: DataFrame, sectors: int, salts: int) -> DataFrame:
+SWEEPS = 4
+
+
+def _sphere_pair(pts: DataFrame, salts: int) -> DataFrame:
     ux, uy, uz = _unit(F.col("x"), F.col("y"))
     p = pts.select("id", "x", "y", ux.alias("px"), uy.alias("py"), uz.alias("pz"))
     # Three global scalars, each one aggregate over the points (a few numbers
@@ -216,53 +230,40 @@ def _sphere_pair(pts: DataFrame, sectors: int, salts: int) -> DataFrame:
         proj = p.select("id", (F.col("px") * ex + F.col("py") * ey + F.col("pz") * ez).alias("x"),
                         (F.col("px") * fx + F.col("py") * fy + F.col("pz") * fz).alias("y"),
                         F.col("x").alias("lat"), F.col("y").alias("lon"))
-        return _hull_pair(proj, _great_circle)
-    low = p.agg(F.max(_chord(F.col("px"), F.col("py"), F.col("pz"),
-                             F.lit(far[0]), F.lit(far[1]), F.lit(far[2])))).first()[0]
-    low = F.lit(low)
-    ring = p.filter(F.col("rc") + F.lit(big_r) >= low - F.lit(1e-12))
-    # Points beyond the hemisphere: exact bounds instead. Sector = azimuth of
-    # the point around the centre in the tangent basis.
-    a1 = F.col("px") * ex + F.col("py") * ey + F.col("pz") * ez
-    a2 = F.col("px") * fx + F.col("py") * fy + F.col("pz") * fz
-    sec = F.least(F.floor((F.atan2(a2, a1) + F.lit(math.pi)) / F.lit(2 * math.pi / sectors)),
-                  F.lit(sectors - 1)).cast("int")
-    ring = ring.withColumn("sec", sec)
-    # Bounding ball per sector (≤ sectors rows: bounded by construction).
-    mean = ring.groupBy("sec").agg(F.avg("px").alias("mx"), F.avg("py").alias("my"),
-                                   F.avg("pz").alias("mz"))
-    withm = ring.join(F.broadcast(mean), "sec")
-    balls = withm.groupBy("sec", "mx", "my", "mz").agg(
-        F.max(_chord(F.col("px"), F.col("py"), F.col("pz"), F.col("mx"), F.col("my"),
-                     F.col("mz"))).alias("mr"))
-    b2 = balls.select(*(F.col(c).alias(c + "2") for c in balls.columns))
-    pairs = (balls.withColumn("sec2", F.explode(F.sequence(F.col("sec"), F.lit(sectors - 1))))
-             .join(b2, "sec2"))
-    ub = _chord(F.col("mx"), F.col("my"), F.col("mz"), F.col("mx2"), F.col("my2"),
-                F.col("mz2")) + F.col("mr") + F.col("mr2")
-    live = pairs.filter(ub >= low - F.lit(1e-12)).select("sec", "sec2")
-    # live has at most sectors² rows by construction: a bounded broadcast.
-    left = ring.join(F.broadcast(live), "sec") \
-               .select(F.col("id").alias("a"), F.col("x").alias("ax"), F.col("y").alias("ay"),
-                       F.col("px").alias("apx"), F.col("py").alias("apy"),
-                       F.col("pz").alias("apz"), "sec2")
-    right = ring.select(F.col("sec").alias("sec2"), F.col("id").alias("b"),
-                        F.col("x").alias("bx"), F.col("y").alias("by"),
-                        F.col("px").alias("bpx"), F.col("py").alias("bpy"),
-                        F.col("pz").alias("bpz"))
-    cand = salted_join(left, right, ["sec2"], salts).filter(F.col("a") != F.col("b"))
-    cand = cand.filter(_chord(F.col("apx"), F.col("apy"), F.col("apz"), F.col("bpx"),
-                              F.col("bpy"), F.col("bpz")) >= low - F.lit(1e-12))
+        return _hull_pair(proj, _farthest_on_sphere)
+    # Points beyond the hemisphere: a lower bound of the answer from sweeps (the farthest
+    # point from the last one found), each one aggregate. Points farther apart than
+    # ``low`` are close to antipodal, |a + b|² = 4 - |a - b|², so with cells of that
+    # width b lies in the cell of -a or next to it.
+    low = 0.0
+    for _ in range(SWEEPS):
+        gap = _chord(F.col("px"), F.col("py"), F.col("pz"), F.lit(far[0]), F.lit(far[1]), F.lit(far[2]))
+        reach, far = p.agg(F.max(gap), F.max_by(F.struct("px", "py", "pz"), gap)).first()
+        if reach <= low:
+            break
+        low = reach
+    near = math.sqrt(max(0.0, 4.0 - low * low)) * (1 + 1e-9) + 1e-6
+    # One row per place (its smallest id): copies of a place make no pairs.
+    place = p.groupBy("x", "y", "px", "py", "pz").agg(F.min("id").alias("id"))
+    axes = ("px", "py", "pz")
+    left = place.select(F.col("id").alias("a"), F.col("x").alias("ax"), F.col("y").alias("ay"),
+                        *[F.col(c).alias(f"a{c}") for c in axes],
+                        *[F.floor(-F.col(c) / near).alias(f"c{c}") for c in axes])
+    for c in axes:
+        left = left.withColumn(f"c{c}", F.explode(F.array(*[F.col(f"c{c}") + k for k in (-1, 0, 1)])))
+    right = place.select(F.col("id").alias("b"), F.col("x").alias("bx"), F.col("y").alias("by"),
+                         *[F.col(c).alias(f"b{c}") for c in axes],
+                         *[F.floor(F.col(c) / near).alias(f"c{c}") for c in axes])
+    cand = salted_join(left, right, [f"c{c}" for c in axes], salts).where("a < b")
+    cand = cand.where(_chord(*[F.col(f"a{c}") for c in axes], *[F.col(f"b{c}") for c in axes]) >= low - 1e-9)
     d = haversine(F.col("ax"), F.col("ay"), F.col("bx"), F.col("by"))
-    cand = cand.select(F.least("a", "b").alias("station_a"), F.greatest("a", "b").alias("station_b"),
-                       d.alias("_d"))
-    return cand.orderBy(F.col("_d").desc(), "station_a", "station_b").limit(1) \
-               .select("station_a", "station_b")
+    return cand.select(F.col("a").alias("station_a"), F.col("b").alias("station_b"), d.alias("_d")) \
+        .orderBy(F.col("_d").desc(), "station_a", "station_b").limit(1).select("station_a", "station_b")
 
 
 def farthest_pair(points: DataFrame, id_col: str = "id", lat: str = "lat", lon: str = "long",
                   metric: str = "degrees", radius: float = EARTH_RADIUS_KM,
-                  sectors: int = 64, salts: int = 8) -> DataFrame:
+                  salts: int = 8) -> DataFrame:
     """GEO-1: ``(station_a, station_b, distance)`` of the farthest pair (see module doc)."""
     pts = points.select(F.col(id_col).cast("long").alias("id"), F.col(lat).cast("double").alias("x"),
                         F.col(lon).cast("double").alias("y")).na.drop()
@@ -270,7 +271,7 @@ def farthest_pair(points: DataFrame, id_col: str = "id", lat: str = "lat", lon:
         pair = _hull_pair(pts.select("id", "x", "y", F.col("x").alias("lat"), F.col("y").alias("lon")))
         dist = euclidean(F.col("ax"), F.col("ay"), F.col("bx"), F.col("by"))
     elif metric == "haversine":
-        pair = _sphere_pair(pts, sectors, salts)
+        pair = _sphere_pair(pts, salts)
         dist = haversine(F.col("ax"), F.col("ay"), F.col("bx"), F.col("by"), radius)
     else:
         raise ValueError(f"unknown metric {metric!r}")

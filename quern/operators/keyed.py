@@ -27,6 +27,8 @@ from pyspark.sql import Column, DataFrame
 
 BatchFn = Callable[[pd.DataFrame], pd.DataFrame]
 ReduceFn = Callable[..., pd.DataFrame]
+# Rows of a task's partial before it is handed to the shuffle.
+PARTIAL_ROWS = 500_000
 
 
 def _map_and_combine(map_fn: BatchFn, combine_fn: BatchFn | None):
@@ -44,6 +46,9 @@ def _map_and_combine(map_fn: BatchFn, combine_fn: BatchFn | None):
                 continue
             partial = combine_fn(out if partial is None else pd.concat([partial, out],
                                                                        ignore_index=True))
+            if len(partial) >= PARTIAL_ROWS:      # a wide vocabulary: pass it on, the reducer adds up
+                yield partial
+                partial = None
         if partial is not None and len(partial):
             yield partial
     return run
@@ -97,9 +102,9 @@ def keyed_map_reduce(df: DataFrame, map_fn: BatchFn, map_schema: str, key: str |
     keys = [key] if isinstance(key, str) else list(key)
     mapped = df.mapInPandas(_map_and_combine(map_fn, combine_fn), map_schema)
     if isinstance(partitioner, Column):
-        # A user partitioner: rows with equal ``partitioner`` values share a task
-        # (Spark hashes the value; it must be a function of the key).
-        mapped = mapped.repartition(num_partitions, partitioner) if num_partitions \
+        # A user partitioner: its value (a function of the key) is the partition's number;
+        # without a count Spark hashes it.
+        mapped = mapped.repartitionById(num_partitions, partitioner.cast("int")) if num_partitions \
             else mapped.repartition(partitioner)
     elif partitioner == "hash":
         mapped = mapped.repartition(num_partitions, *keys) if num_partitions \

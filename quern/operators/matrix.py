@@ -68,18 +68,31 @@ def as_right(m: DataFrame) -> DataFrame:
     return m.select(F.col("i").alias("j"), F.col("j").alias("k"), "v")
 
 
-def to_dense(p: DataFrame, value: str = "p", as_text: bool = False) -> DataFrame:
-    """AGG-11: COO (i, k, value) → one dense row per i, ``max(k)+1`` cells, missing = 0.
+def to_dense(p: DataFrame, value: str = "p", as_text: bool = False, shape: DataFrame | None = None) -> DataFrame:
+    """AGG-11: COO (i, k, value) → the rows 0..max(i), each of ``max(k)+1`` cells, missing = 0.
 
-    A row holds one matrix row only (bounded by the matrix width); the width is
-    a scalar subquery over the whole relation.
+    ``shape`` is a one-row DataFrame ``(rows, width)``, for instance of the factors; without
+    it both are taken from ``p``. A row of zeros has no cell in ``p`` and comes out all the
+    same. A row holds one matrix row only (bounded by the matrix width): its sorted cells,
+    with the zeros of the gap before each one.
     """
-    width = p.select(F.max("k") + 1).scalar()
-    rows = p.groupBy("i").agg(F.map_from_entries(F.collect_list(F.struct("k", value))).alias("_m"))
-    rows = rows.withColumn("_w", width)
-    cells = F.transform(F.sequence(F.lit(0), F.col("_w").cast("int") - 1),
-                        lambda x: F.coalesce(F.col("_m")[x.cast("long")], F.lit(0)))
-    out = rows.select("i", cells.alias("cells"))
+    if shape is None:
+        shape = p.agg((F.max("i") + 1).alias("rows"), (F.max("k") + 1).alias("width"))
+    block = 4096
+    every = shape.where("rows > 0").select("rows", "width", F.explode(F.sequence(
+        F.lit(0).cast("long"), F.col("rows").cast("long") - 1, F.lit(block).cast("long"))).alias("_from")) \
+        .select("width", F.explode(F.sequence("_from", F.least(F.col("_from") + block, F.col("rows")) - 1)).alias("i"))
+    held = p.groupBy("i").agg(F.sort_array(F.collect_list(F.struct("k", F.col(value).alias("v")))).alias("_c"))
+    rows = every.join(held, "i", "left")
+    kind = p.schema[value].dataType
+    zero = F.lit(0).cast(kind)
+    cells = F.coalesce("_c", F.array().cast(held.schema["_c"].dataType))
+    before = F.transform(cells, lambda c, n: F.concat(
+        F.array_repeat(zero, (c["k"] - F.when(n > 0, F.element_at(cells, n)["k"]).otherwise(-1) - 1).cast("int")),
+        F.array(c["v"])))
+    last = F.when(F.size(cells) > 0, F.element_at(cells, -1)["k"]).otherwise(-1)
+    dense = F.concat(F.flatten(before), F.array_repeat(zero, (F.col("width") - last - 1).cast("int")))
+    out = rows.select("i", dense.alias("cells"))
     if as_text:
         out = out.select("i", F.concat_ws(",", F.transform("cells", lambda c: c.cast("string")))
                          .alias("cells"))

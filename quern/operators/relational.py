@@ -89,14 +89,14 @@ def group_aggregate(df: DataFrame, key: str, value: str, theta: str = "SUM",
 
 
 def filtered_group_mean(df: DataFrame, predicate: Column, key: str, value: str,
-                        out: str = "avg_value", scale: int | None = None) -> DataFrame:
+                        out: str = "avg_value", exact: bool = False) -> DataFrame:
     """AGG-1 (flagship): ``SELECT key, avg(value) WHERE predicate GROUP BY key``.
 
     The filter runs before the shuffle (and reaches the Parquet scan); the
-    aggregate is partial per map partition, then final per key. With ``scale``
+    aggregate is partial per map partition, then final per key. With ``exact``
     the mean is order-independent (exact decimal sum, one division).
     """
-    mean = exact_mean(value, scale) if scale is not None else F.avg(value)
+    mean = exact_mean(value) if exact else F.avg(value)
     return df.filter(predicate).groupBy(key).agg(mean.alias(out))
 
 
@@ -111,9 +111,9 @@ def global_max(df: DataFrame, label: str, value: str) -> DataFrame:
     return df.agg(best.alias("_b")).select("_b.label", "_b.value")
 
 
-def global_mean(df: DataFrame, value: str, scale: int | None = 2, out: str = "mean") -> DataFrame:
+def global_mean(df: DataFrame, value: str, exact: bool = True, out: str = "mean") -> DataFrame:
     """AGG-3: global mean; the mean of nothing is 0.0 (trap T22)."""
-    m = exact_mean(value, scale, empty_value=0.0) if scale is not None \
+    m = exact_mean(value, empty_value=0.0) if exact \
         else F.coalesce(F.avg(value), F.lit(0.0))
     return df.agg(m.alias(out))
 
@@ -138,13 +138,13 @@ def grouped_bag(df: DataFrame, key: str, value: str, num_partitions: int | None
     return out.sortWithinPartitions(*order).drop("_tie")
 
 
-def group_count_mean(df: DataFrame, key: str, value: str, scale: int | None = 2,
+def group_count_mean(df: DataFrame, key: str, value: str, exact: bool = True,
                      order: bool = True) -> DataFrame:
     """AGG-5: group by key (by sorting in the reference) then mean per key.
 
     Hash or sort aggregate is Catalyst's choice; output ordered by key.
     """
-    mean = exact_mean(value, scale) if scale is not None else F.avg(value)
+    mean = exact_mean(value) if exact else F.avg(value)
     out = df.groupBy(F.col(key).alias("key")).agg(F.count(F.lit(1)).alias("n"), mean.alias("mean"))
     return out.orderBy("key") if order else out
 

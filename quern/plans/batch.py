@@ -21,6 +21,8 @@ TERASORT_BUCKETS = 8
 TRIP_THRESHOLD = 900
 POSTS_FROM, POSTS_TO = "1995-01-01", "2000-12-31"
 TOP_LANGUAGES = 10
+# Cells of one inner index that a task of a product takes.
+CELLS_PER_TASK = 2_000_000
 
 
 # --- relational -------------------------------------------------------------
@@ -29,7 +31,7 @@ def group_avg_filtered(spark: SparkSession, sf: str) -> DataFrame:
     """FIL-1 + AGG-1 (flagship): mean contacts per age of one segment."""
     u = fx.users(spark, sf)
     return relational.filtered_group_mean(u, F.col("gender") == FLAGSHIP_SEGMENT, "age",
-                                          "social_contacts", out="avg_contacts", scale=2)
+                                          "social_contacts", out="avg_contacts", exact=True)
 
 
 def selection(spark: SparkSession, sf: str) -> DataFrame:
@@ -93,7 +95,7 @@ def global_max(spark: SparkSession, sf: str) -> DataFrame:
 
 def global_mean(spark: SparkSession, sf: str) -> DataFrame:
     """AGG-3: mean order total price (0 when empty)."""
-    return relational.global_mean(read_table(spark, sf, "orders"), "o_totalprice", scale=2)
+    return relational.global_mean(read_table(spark, sf, "orders"), "o_totalprice")
 
 
 def group_by_key(spark: SparkSession, sf: str) -> DataFrame:
@@ -157,13 +159,23 @@ def matvec_broadcast(spark: SparkSession, sf: str) -> DataFrame:
 
 def matvec_shuffle(spark: SparkSession, sf: str) -> DataFrame:
     """MAT-2: the same product when the vector does not fit: shuffle join, salted."""
-    return matrix.matvec(fx.matrix(spark, sf), fx.vector(spark, sf), "shuffle", salts=4)
+    m = fx.matrix(spark, sf)
+    return matrix.matvec(m, fx.vector(spark, sf), "shuffle", salts=_salts(m))
+
+
+def _salts(m) -> int:
+    """Tasks of one inner index: about ``CELLS_PER_TASK`` cells each."""
+    n, keys = m.agg(F.count("*"), F.approx_count_distinct("j")).first()
+    return max(1, -(-n // (CELLS_PER_TASK * max(1, keys))))
 
 
 def _scores(spark, sf, strategy):
     c = fx.label_profile(spark, sf)
     m = fx.matrix(spark, sf)
-    return matrix.matmul(c, matrix.as_right(matrix.transpose(m)), strategy)
+    # The embeddings hold few values of j: each one's cells are spread over many tasks.
+    return matrix.matmul(m, matrix.as_right(matrix.transpose(c)), strategy, salts=_salts(m)) \
+        .select(F.col("k").alias("i"), F.col("i").alias("k"), "p") if strategy == "join" \
+        else matrix.matmul(c, matrix.as_right(matrix.transpose(m)), strategy)
 
 
 def matmul_broadcast(spark: SparkSession, sf: str) -> DataFrame:
@@ -190,7 +202,8 @@ def matmul_scattered(spark: SparkSession, sf: str) -> DataFrame:
 
 def matrix_dense(spark: SparkSession, sf: str) -> DataFrame:
     """AGG-11: the Gram matrix as dense text rows."""
-    return matrix.to_dense(_gram(spark, sf), "p", as_text=True)
+    shape = fx.matrix(spark, sf).agg((F.max("j") + 1).alias("rows"), (F.max("j") + 1).alias("width"))
+    return matrix.to_dense(_gram(spark, sf), "p", as_text=True, shape=shape)
 
 
 def matrix_allclose(spark: SparkSession, sf: str) -> DataFrame:

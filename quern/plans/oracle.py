@@ -100,7 +100,7 @@ SELECT DISTINCT word, doc_id FROM (
     "matmul_scattered": f"{_GRAM} SELECT i, k, p FROM G",
     "matrix_dense": f"""{_GRAM}
 SELECT r.i AS i, string_agg(CAST(coalesce(G.p, 0) AS VARCHAR), ',' ORDER BY t.k) AS cells
-FROM (SELECT DISTINCT i FROM G) r
+FROM range(0, (SELECT max(i) + 1 FROM G)) r(i)
 CROSS JOIN range(0, (SELECT max(k) + 1 FROM G)) t(k)
 LEFT JOIN G ON G.i = r.i AND G.k = t.k
 GROUP BY r.i""",

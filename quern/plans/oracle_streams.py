@@ -11,10 +11,11 @@ _HOURLY = """SELECT date_trunc('hour', ts) + INTERVAL 1 HOUR AS window_end, user
        CAST(sum(CAST(value AS DECIMAL(18,2))) AS DOUBLE) AS tips
 FROM events GROUP BY 1, 2"""
 
-_FARES = """SELECT l_orderkey AS f_id, min(l_shipdate) AS f_time FROM lineitem
+_FARES = """SELECT l_orderkey AS f_id, min(l_shipdate) AS f_time,
+       CAST(min(l_suppkey) AS BIGINT) AS driver_id, CAST(max(l_extendedprice) AS DOUBLE) AS tip FROM lineitem
 GROUP BY l_orderkey"""
 
-_RIDES = """SELECT o_orderkey AS r_id, o_orderdate AS r_time FROM orders
+_RIDES = """SELECT o_orderkey AS r_id, o_orderdate AS r_time, CAST(o_custkey AS BIGINT) AS customer_id FROM orders
 WHERE o_orderstatus = 'F' AND o_orderkey % 1000 <> 0"""
 
 
@@ -22,7 +23,8 @@ def _expiring(cond: str) -> str:
     return f"""WITH r AS ({_RIDES}), f AS ({_FARES})
 SELECT coalesce(r_id, f_id) AS ride_id,
        CASE WHEN r_id IS NOT NULL AND f_id IS NOT NULL THEN 'matched'
-            WHEN r_id IS NOT NULL THEN 'unmatched_ride' ELSE 'unmatched_fare' END AS status
+            WHEN r_id IS NOT NULL THEN 'unmatched_ride' ELSE 'unmatched_fare' END AS status,
+       CAST(customer_id AS VARCHAR) AS customer_id, CAST(driver_id AS VARCHAR) AS driver_id, tip
 FROM r FULL OUTER JOIN f ON {cond}"""
 
 
@@ -43,10 +45,11 @@ SELECT window_end, driver_id, tips FROM (
   SELECT *, row_number() OVER (PARTITION BY window_end ORDER BY tips DESC, driver_id) AS rn FROM h)
 WHERE rn = 1""",
     "ride_fare_pairs": f"""
-SELECT o_orderkey AS ride_id, o_orderdate AS ride_time, f.f_time AS fare_time
+SELECT o_orderkey AS ride_id, o_orderdate AS ride_time, f.f_time AS fare_time,
+       CAST(o_custkey AS BIGINT) AS customer_id, f.driver_id, f.tip
 FROM orders JOIN ({_FARES}) f ON o_orderkey = f.f_id WHERE o_orderstatus = 'F'""",
     "expiring_pairs": _EXPIRING,
-    "unmatched_fares": f"SELECT ride_id FROM ({_EXPIRING}) WHERE status = 'unmatched_fare'",
+    "unmatched_fares": f"SELECT ride_id, driver_id, tip FROM ({_EXPIRING}) WHERE status = 'unmatched_fare'",
     # All input lands in one micro-batch here, so arrival order pairs every key
     # that has both sides; the rest times out unmatched.
     "expiring_pairs_keyed": _expiring("r_id = f_id"),

@@ -20,7 +20,7 @@ from quern.functions.columns import not_every_nth
 from quern.sources.readers import read_stream, write_parquet
 from quern.sources import fixtures as fx
 from quern.streaming import jobs
-from quern.streaming.runner import fixture_stream, new_run, run_to_table, sentinel_stream
+from quern.streaming.runner import fixture_stream, new_run, run_to_table, sentinel_stream, state_buckets
 
 # Fixed parameters of the registered stream queries.
 BOX = (-0.1, 0.1, -0.1, 0.1)            # west, east, south, north
@@ -29,8 +29,10 @@ END_OF_INPUT = dt.datetime(2100, 1, 1)
 
 _FARE = T.StructType([T.StructField("driver_id", T.LongType()), T.StructField("tip", T.DoubleType()),
                       T.StructField("event_time", T.TimestampType())])
-_KEYED = T.StructType([T.StructField("ride_id", T.LongType()),
-                       T.StructField("event_time", T.TimestampType())])
+_RIDE = T.StructType([T.StructField("ride_id", T.LongType()), T.StructField("event_time", T.TimestampType()),
+                      T.StructField("customer_id", T.LongType())])
+_FARE_OF_RIDE = T.StructType([T.StructField("ride_id", T.LongType()), T.StructField("event_time", T.TimestampType()),
+                              T.StructField("driver_id", T.LongType()), T.StructField("tip", T.DoubleType())])
 
 
 def _ntz(c: str) -> F.Column:
@@ -81,7 +83,18 @@ def _ride_stream(spark, sf, drop_every: int | None = None):
     if drop_every:
         r = r.filter(not_every_nth("o_orderkey", drop_every))      # FIL-12, FN-8
     return r.select(F.col("o_orderkey").alias("ride_id"),
-                    F.col("o_orderdate").cast("timestamp").alias("event_time"))
+                    F.col("o_orderdate").cast("timestamp").alias("event_time"),
+                    F.col("o_custkey").cast("long").alias("customer_id"))
+
+
+# Ids that a status row may lack, as text: a missing integer has no one form in client frames.
+def _ids() -> list[F.Column]:
+    return [F.col(c).cast("string").alias(c) for c in ("customer_id", "driver_id")]
+
+
+def _with_columns(out: DataFrame) -> DataFrame:
+    """The sink's rows with the columns of ride and fare."""
+    return jobs.with_bodies(out, "customer_id long", "driver_id long, tip double")
 
 
 def _staged_fares(spark, sf, run):
@@ -89,23 +102,24 @@ def _staged_fares(spark, sf, run):
     (one fare per ride), written once next to the run's sink."""
     path = f"{run.sink.rsplit('/', 1)[0]}/fares"
     write_parquet(fx.fares_of_ride(spark, sf), path)
-    return read_stream(spark, path, _KEYED)
+    return read_stream(spark, path, _FARE_OF_RIDE)
 
 
 def ride_fare_pairs(spark: SparkSession, sf: str) -> DataFrame:
     """JOIN-7 (Pairing): rides paired with their fare, keyed state without expiry."""
     run = new_run(spark, "pairing")
-    pairs = jobs.pair_rides_fares(_ride_stream(spark, sf), _staged_fares(spark, sf, run))
+    pairs = jobs.pair_rides_fares(_ride_stream(spark, sf), _staged_fares(spark, sf, run),
+                                  buckets=state_buckets(spark, run))
     out = run_to_table(spark, pairs, run, query_name=None)
-    return out.filter(F.col("status") == "matched").select("ride_id", _ntz("ride_time"),
-                                                          _ntz("fare_time"))
+    return _with_columns(out.filter(F.col("status") == "matched")).select(
+        "ride_id", _ntz("ride_time"), _ntz("fare_time"), "customer_id", "driver_id", "tip")
 
 
 def _expiring_inputs(spark, sf, run):
     rides = _ride_stream(spark, sf, drop_every=1000).unionByName(
-        sentinel_stream(spark, run, _KEYED, {"ride_id": -1, "event_time": END_OF_INPUT}, "end-rides"))
+        sentinel_stream(spark, run, _RIDE, {"ride_id": -1, "event_time": END_OF_INPUT}, "end-rides"))
     fares = _staged_fares(spark, sf, run).unionByName(
-        sentinel_stream(spark, run, _KEYED, {"ride_id": -2, "event_time": END_OF_INPUT}, "end-fares"))
+        sentinel_stream(spark, run, _FARE_OF_RIDE, {"ride_id": -2, "event_time": END_OF_INPUT}, "end-fares"))
     return rides, fares
 
 
@@ -115,17 +129,17 @@ def expiring_pairs(spark: SparkSession, sf: str) -> DataFrame:
     run = new_run(spark, "expiring")
     rides, fares = _expiring_inputs(spark, sf, run)
     out = run_to_table(spark, jobs.expiring_join(rides, fares, PAIRING_BOUND), run)
-    return out.filter(F.col("ride_id") >= 0).select("ride_id", "status")
+    return _with_columns(out.filter(F.col("ride_id") >= 0)).select("ride_id", "status", *_ids(), "tip")
 
 
 def unmatched_fares(spark: SparkSession, sf: str) -> DataFrame:
     """JOIN-9: the side output the reference prints — fares without a ride."""
-    return expiring_pairs(spark, sf).filter(F.col("status") == "unmatched_fare").select("ride_id")
+    return expiring_pairs(spark, sf).filter(F.col("status") == "unmatched_fare").select("ride_id", "driver_id", "tip")
 
 
 def expiring_pairs_keyed(spark: SparkSession, sf: str) -> DataFrame:
     """JOIN-8b: arrival-order pairing with event-time timers (keyed state)."""
     run = new_run(spark, "expiring-keyed")
     rides, fares = _expiring_inputs(spark, sf, run)
-    out = run_to_table(spark, jobs.pair_with_expiry(rides, fares), run)
-    return out.filter(F.col("ride_id") >= 0).select("ride_id", "status")
+    out = run_to_table(spark, jobs.pair_with_expiry(rides, fares, buckets=state_buckets(spark, run)), run)
+    return _with_columns(out.filter(F.col("ride_id") >= 0)).select("ride_id", "status", *_ids(), "tip")

@@ -133,7 +133,10 @@ def rides(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def fares_of_ride(spark: SparkSession, sf: str) -> DataFrame:
-    """One fare per ride: the earliest ship date over all line items of an order."""
+    """One fare per ride, over all line items of an order: the earliest ship date, the
+    smallest supplier as driver and the largest price as tip."""
     li = read_table(spark, sf, "lineitem")
     return (li.groupBy(F.col("l_orderkey").alias("ride_id"))
-              .agg(F.min("l_shipdate").cast("timestamp").alias("event_time")))
+              .agg(F.min("l_shipdate").cast("timestamp").alias("event_time"),
+                   F.min("l_suppkey").cast("long").alias("driver_id"),
+                   F.max("l_extendedprice").cast("double").alias("tip")))

@@ -47,7 +47,7 @@ def hourly_tips(fares: DataFrame, delay: str = MAX_EVENT_DELAY) -> DataFrame:
     """
     return (fares.withWatermark("event_time", delay)
             .groupBy(F.window("event_time", "1 hour"), "driver_id")
-            .agg(F.sum(F.col("tip").cast("decimal(18,2)")).alias("tips")))
+            .agg(F.sum(F.col("tip").cast("decimal(38,18)")).alias("tips")))
 
 
 def hourly_max(hourly: DataFrame) -> DataFrame:
@@ -65,27 +65,35 @@ def hourly_max(hourly: DataFrame) -> DataFrame:
                     F.col("best.tips").alias("tips")))
 
 
+def _body(df: DataFrame) -> Column:
+    """The columns beside id and time, as one JSON text (null: there are none)."""
+    rest = [c for c in df.columns if c not in ("ride_id", "event_time")]
+    return F.to_json(F.struct(*[F.col(f"`{c}`") for c in rest])) if rest else F.lit(None).cast("string")
+
+
+def with_bodies(pairs: DataFrame, ride_schema: str, fare_schema: str) -> DataFrame:
+    """Pairs with ``ride_body`` and ``fare_body`` as the columns of their schemas again."""
+    return pairs.withColumns({"ride": F.from_json("ride_body", ride_schema), "fare": F.from_json("fare_body", fare_schema)}) \
+        .drop("ride_body", "fare_body").select("*", "ride.*", "fare.*").drop("ride", "fare")
+
+
 def tagged_union(rides: DataFrame, fares: DataFrame) -> DataFrame:
     """STR-9: connect two streams of different type as one keyed stream."""
-    r = rides.select("ride_id", F.lit("ride").alias("kind"), "event_time")
-    f = fares.select("ride_id", F.lit("fare").alias("kind"), "event_time")
+    r = rides.select("ride_id", F.lit("ride").alias("kind"), "event_time", _body(rides).alias("body"))
+    f = fares.select("ride_id", F.lit("fare").alias("kind"), "event_time", _body(fares).alias("body"))
     return r.unionByName(f)
 
 
-_PAIR_OUT = "ride_id long, status string, ride_time timestamp, fare_time timestamp"
+_PAIR_OUT = "ride_id long, status string, ride_time timestamp, fare_time timestamp, ride_body string, fare_body string"
 # Per-bucket state: one entry per waiting ride id (-1 = empty slot, times in µs,
 # due = expiry time in ms).
-_BUCKET_STATE = "ids array<long>, ride_us array<long>, fare_us array<long>, due_ms array<long>"
+_BUCKET_STATE = ("ids array<long>, ride_us array<long>, fare_us array<long>, due_ms array<long>, "
+                 "ride_body array<string>, fare_body array<string>")
 _EMPTY = -1
-BUCKETS_PER_SHUFFLE_PARTITION = 16
-
-
-def _default_buckets(df: DataFrame) -> int:
-    """State buckets scale with the cluster's shuffle parallelism: enough that a
-    bucket's state row stays small, few enough that each Python call handles
-    many ride ids."""
-    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
-    return max(64, n * BUCKETS_PER_SHUFFLE_PARTITION)
+# The bucket is the state's key, so the count must not change between runs on one
+# checkpoint: it is a constant or the caller's, never taken from a session setting
+# (see ``runner.state_buckets`` for a count stored with the run).
+STATE_BUCKETS = 1024
 
 
 _NAT = np.iinfo(np.int64).min
@@ -119,19 +127,18 @@ def _slot_pairing(expire: bool):
     def fn(key, pdfs: Iterator[pd.DataFrame], state: GroupState):
         slots: dict[int, list[int]] = {}
         if state.exists:
-            ids, ride_us, fare_us, due = state.get
-            for i, r, f, d in zip(ids, ride_us, fare_us, due):
-                slots[int(i)] = [int(r), int(f), int(d)]
+            for i, r, f, d, rb, fb in zip(*state.get):
+                slots[int(i)] = [int(r), int(f), int(d), rb, fb]
         wm = state.getCurrentWatermarkMs() if expire else None
         out: list[tuple] = []
 
         def expire_due():
             for rid in [k for k, v in slots.items() if v[2] < wm]:
-                r, f, _ = slots.pop(rid)
+                r, f, _, rb, fb = slots.pop(rid)
                 if f != _EMPTY:
-                    out.append((rid, "unmatched_fare", None, f))
+                    out.append((rid, "unmatched_fare", None, f, None, fb))
                 if r != _EMPTY:
-                    out.append((rid, "unmatched_ride", r, None))
+                    out.append((rid, "unmatched_ride", r, None, rb, None))
 
         if expire:
             expire_due()                      # timers the watermark already passed
@@ -142,37 +149,37 @@ def _slot_pairing(expire: bool):
                 rid_a = rows["ride_id"].to_numpy()
                 is_ride = (rows["kind"] == "ride").to_numpy()
                 t_a = _to_us(rows["event_time"])
+                body_a = rows["body"].to_numpy()
                 # arrival order inside a micro-batch: event time, rides first
                 order = np.lexsort((~is_ride, t_a, rid_a))
                 for k in order:
                     rid, t, ride = int(rid_a[k]), int(t_a[k]), bool(is_ride[k])
+                    body = body_a[k]
                     slot = slots.get(rid)
                     if slot is None:
-                        slot = slots[rid] = [_EMPTY, _EMPTY, 0]
+                        slot = slots[rid] = [_EMPTY, _EMPTY, 0, None, None]
                     if ride:
                         if slot[1] != _EMPTY:
-                            out.append((rid, "matched", t, slot[1]))
-                            slot[1] = _EMPTY
+                            out.append((rid, "matched", t, slot[1], body, slot[4]))
+                            slot[1], slot[4] = _EMPTY, None
                         else:
-                            slot[0] = t
+                            slot[0], slot[3] = t, body
                     else:
                         if slot[0] != _EMPTY:
-                            out.append((rid, "matched", slot[0], t))
-                            slot[0] = _EMPTY
+                            out.append((rid, "matched", slot[0], t, slot[3], body))
+                            slot[0], slot[3] = _EMPTY, None
                         else:
-                            slot[1] = t
+                            slot[1], slot[4] = t, body
                     if slot[0] == _EMPTY and slot[1] == _EMPTY:
                         del slots[rid]
                     elif expire:
                         waiting = slot[0] if slot[0] != _EMPTY else slot[1]
                         slot[2] = max(waiting // 1000, wm + 1)
         if slots:
-            ids = np.fromiter(slots.keys(), dtype="int64", count=len(slots))
-            vals = np.array(list(slots.values()), dtype="int64").reshape(-1, 3)
-            state.update((ids.tolist(), vals[:, 0].tolist(), vals[:, 1].tolist(),
-                          vals[:, 2].tolist()))
+            columns = [list(c) for c in zip(*slots.values())]
+            state.update((list(slots), *columns))
             if expire:
-                state.setTimeoutTimestamp(int(vals[:, 2].min()))
+                state.setTimeoutTimestamp(min(columns[2]))
         elif state.exists:
             state.remove()
         if out:
@@ -180,7 +187,8 @@ def _slot_pairing(expire: bool):
                 "ride_id": np.array([o[0] for o in out], dtype="int64"),
                 "status": [o[1] for o in out],
                 "ride_time": _us_to_datetime([o[2] for o in out]),
-                "fare_time": _us_to_datetime([o[3] for o in out])})
+                "fare_time": _us_to_datetime([o[3] for o in out]),
+                "ride_body": [o[4] for o in out], "fare_body": [o[5] for o in out]})
     return fn
 
 
@@ -189,28 +197,31 @@ def _bucketed(u: DataFrame, buckets: int) -> DataFrame:
 
 
 def pair_rides_fares(rides: DataFrame, fares: DataFrame, method: str = "state",
-                     buckets: int | None = None) -> DataFrame:
+                     buckets: int = STATE_BUCKETS) -> DataFrame:
     """JOIN-7 / STR-6 / UDF-8: one-to-one pairing by ride id, either side first,
     state kept until matched (trap T12: unmatched keys stay forever, as in the
-    reference). Only ``matched`` rows are produced.
+    reference). Only ``matched`` rows are produced. The other columns of ride and fare come
+    out as ``ride_body`` and ``fare_body`` (see ``with_bodies``).
 
     ``state``: exact slot semantics ("latest wins" on a repeated side, T11) in
     keyed state. ``join``: a stream-stream inner join (JVM only), the same
     result when each side has at most one row per ride id.
     """
     if method == "join":
-        r = rides.select("ride_id", F.col("event_time").alias("ride_time"))
-        f = fares.select(F.col("ride_id").alias("f_id"), F.col("event_time").alias("fare_time"))
+        r = rides.select("ride_id", F.col("event_time").alias("ride_time"), _body(rides).alias("ride_body"))
+        f = fares.select(F.col("ride_id").alias("f_id"), F.col("event_time").alias("fare_time"),
+                         _body(fares).alias("fare_body"))
         j = r.join(f, F.col("ride_id") == F.col("f_id"), "inner")
-        return j.select("ride_id", F.lit("matched").alias("status"), "ride_time", "fare_time")
-    u = _bucketed(tagged_union(rides, fares), buckets or _default_buckets(rides))
+        return j.select("ride_id", F.lit("matched").alias("status"), "ride_time", "fare_time", "ride_body",
+                        "fare_body")
+    u = _bucketed(tagged_union(rides, fares), buckets)
     return u.groupBy("_bucket").applyInPandasWithState(
         _slot_pairing(expire=False), _PAIR_OUT, _BUCKET_STATE, "append",
         GroupStateTimeout.NoTimeout)
 
 
 def pair_with_expiry(rides: DataFrame, fares: DataFrame, delay: str = MAX_EVENT_DELAY,
-                     buckets: int | None = None) -> DataFrame:
+                     buckets: int = STATE_BUCKETS) -> DataFrame:
     """JOIN-8b / STR-7 / STR-8: arrival-order pairing with event-time timers.
 
     A waiting row expires when the watermark passes its own event time; it
@@ -219,7 +230,7 @@ def pair_with_expiry(rides: DataFrame, fares: DataFrame, delay: str = MAX_EVENT_
     also the pairing horizon. Expiry has micro-batch granularity.
     """
     u = tagged_union(rides, fares).withWatermark("event_time", delay)
-    u = _bucketed(u, buckets or _default_buckets(rides))
+    u = _bucketed(u, buckets)
     return u.groupBy("_bucket").applyInPandasWithState(
         _slot_pairing(expire=True), _PAIR_OUT, _BUCKET_STATE, "append",
         GroupStateTimeout.EventTimeTimeout)
@@ -234,9 +245,11 @@ def expiring_join(rides: DataFrame, fares: DataFrame, bound: str = "60 days",
     that found no partner by then come out as ``unmatched_ride`` /
     ``unmatched_fare`` (the side outputs, here a ``status`` column).
     """
-    r = rides.select(F.col("ride_id").alias("r_id"), F.col("event_time").alias("r_time")) \
+    r = rides.select(F.col("ride_id").alias("r_id"), F.col("event_time").alias("r_time"),
+                     _body(rides).alias("ride_body")) \
              .withWatermark("r_time", delay)
-    f = fares.select(F.col("ride_id").alias("f_id"), F.col("event_time").alias("f_time")) \
+    f = fares.select(F.col("ride_id").alias("f_id"), F.col("event_time").alias("f_time"),
+                     _body(fares).alias("fare_body")) \
              .withWatermark("f_time", delay)
     cond = ((F.col("r_id") == F.col("f_id"))
             & (F.col("f_time") >= F.col("r_time") - F.expr(f"INTERVAL {bound}"))
@@ -245,7 +258,7 @@ def expiring_join(rides: DataFrame, fares: DataFrame, bound: str = "60 days",
     status = (F.when(F.col("r_id").isNotNull() & F.col("f_id").isNotNull(), "matched")
               .when(F.col("r_id").isNotNull(), "unmatched_ride").otherwise("unmatched_fare"))
     return j.select(F.coalesce("r_id", "f_id").alias("ride_id"), status.alias("status"),
-                    F.col("r_time").alias("ride_time"), F.col("f_time").alias("fare_time"))
+                    F.col("r_time").alias("ride_time"), F.col("f_time").alias("fare_time"), "ride_body", "fare_body")
 
 
 def read_state(spark, checkpoint: str, operator_id: int = 0, join_side: str | None = None) -> DataFrame:

@@ -32,6 +32,17 @@ def new_run(spark: SparkSession, name: str) -> StreamRun:
     return StreamRun(sink=f"{base}/sink", checkpoint=f"{base}/checkpoint")
 
 
+def state_buckets(spark: SparkSession, run: StreamRun, per_partition: int = 16) -> int:
+    """State buckets of a run: set at its first start from the shuffle parallelism, stored
+    beside the checkpoint, and read from there whenever the run starts again."""
+    path = f"{run.checkpoint}-buckets"
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
+    if not hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hadoop):
+        n = max(64, int(spark.conf.get("spark.sql.shuffle.partitions")) * per_partition)
+        spark.range(n, n + 1).write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path).first()[0]
+
+
 def fixture_stream(spark: SparkSession, sf: str, table: str,
                    files_per_trigger: int | None = None) -> DataFrame:
     """A file stream over one fixture table, a folder of part files or a single file

@@ -67,7 +67,7 @@ def test_mean_of_nothing_is_zero(spark):
     # AGG-3
     e = spark.createDataFrame([], "v double")
     assert relational.global_mean(e, "v").first().mean == 0.0
-    assert relational.global_mean(e, "v", scale=None).first().mean == 0.0
+    assert relational.global_mean(e, "v", exact=False).first().mean == 0.0
 
 
 def test_global_max_last_label_wins(spark):

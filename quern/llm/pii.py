@@ -12,7 +12,8 @@ of the same script (Latin, Cyrillic, Greek), so "Mr Smith" and "John Smith" stay
 
 Collision check: all distinct entities are gathered, and one whose surrogate another
 entity has too, or that is itself an entity of the data, gets the next attempt until none
-is left. Only these few carry an attempt number, which is joined to their documents.
+is left. Where the data fill a small range (a private block of addresses), later attempts
+take a wider one, and after ``AVOID_REAL`` rounds only distinctness is asked for. Only these few carry an attempt number, which is joined to their documents.
 
 Defined results: a null text stays null, a text without entities stays as it is. Rows
 without doc_id and repeated rows are treated alike. Other columns pass unchanged.
@@ -29,6 +30,9 @@ from quern.llm.common import prepare, small_side, staged, table
 
 KEY = "quern"                              # give a secret one in production
 MAX_BROADCAST_ROWS = 50_000
+# Attempts with an address's own private block, then with the widest one; attempts that also
+# avoid the data's own entities; attempts at all.
+OWN_BLOCK, PRIVATE, AVOID_REAL, MOST_ATTEMPTS = 8, 24, 32, 1000
 
 # Titles and given names by gender and script.
 TITLES = ("Mr", "Mrs", "Ms", "Miss", "Dr", "Prof", "Herr", "Frau", "Monsieur", "Madame", "Mme", "Mlle",
@@ -153,8 +157,11 @@ def keyed(key: str, k: Column, canon: Column, attempt: Column) -> Column:
     return F.sha2(F.concat_ws("|", F.lit(key), k, canon, attempt.cast("string")), 256)
 
 
-def surrogate(key: str, k: Column, canon: Column, h: Column) -> Column:
-    """Replacement of a canonical form, in canonical form; ``h`` is its keyed hash."""
+def surrogate(key: str, k: Column, canon: Column, h: Column, attempt: Column) -> Column:
+    """Replacement of a canonical form, in canonical form; ``h`` is its keyed hash.
+
+    Later attempts take private addresses from wider blocks, as data may fill a small one.
+    """
     d = F.translate(h, "abcdef", "012345")                  # 64 decimal digits
     n = F.length(canon)
     letters = "ghijklmnop"
@@ -163,6 +170,7 @@ def surrogate(key: str, k: Column, canon: Column, h: Column) -> Column:
                      F.lit("@"), F.translate(F.substring(domain, 1, 8), "0123456789", letters), F.lit(".example"))
     octets = [(F.conv(F.substring(h, 1 + 2 * i, 2), 16, 10).cast("int") % 254 + 1).cast("string") for i in range(4)]
     private = F.regexp_extract(canon, r"^(10\.|192\.168\.|172\.(?:1[6-9]|2\d|3[01])\.)", 1)
+    private = F.when((private == "") | (attempt < OWN_BLOCK), private).when(attempt < PRIVATE, "10.").otherwise("")
     kept = F.length(F.regexp_replace(private, r"[^.]", ""))
     ip = F.concat(private, F.array_join(F.slice(F.array(*octets), F.lit(1), 4 - kept), "."))
     phone = F.concat(F.translate(F.substring(d, 1, 1), "01", "23"), F.substring(d, 2, 2),
@@ -204,12 +212,14 @@ def replaced(key: str, found: Column, attempts: Column) -> Column:
     def each(step):
         return lambda of: F.transform(of, lambda ps: F.transform(ps, step))
 
-    hashed = each(lambda e: F.struct(
+    numbered = each(lambda e: F.struct(
         e["m"].alias("m"), e["k"].alias("k"), e["c"].alias("c"),
-        keyed(key, e["k"], e["c"], F.coalesce(attempts[F.concat_ws("|", e["k"], e["c"])], F.lit(0))).alias("h")))
+        F.coalesce(attempts[F.concat_ws("|", e["k"], e["c"])], F.lit(0)).alias("a")))
+    hashed = each(lambda e: F.struct(e["m"].alias("m"), e["k"].alias("k"), e["c"].alias("c"), e["a"].alias("a"),
+                                     keyed(key, e["k"], e["c"], e["a"]).alias("h")))
     made = each(lambda e: F.struct(
         e["m"].alias("m"), e["k"].alias("k"),
-        F.when(e["k"] == "text", e["c"]).otherwise(surrogate(key, e["k"], e["c"], e["h"])).alias("s")))
+        F.when(e["k"] == "text", e["c"]).otherwise(surrogate(key, e["k"], e["c"], e["h"], e["a"])).alias("s")))
 
     def put(e: Column) -> Column:
         m, k, s = e["m"], e["k"], e["s"]
@@ -219,23 +229,27 @@ def replaced(key: str, found: Column, attempts: Column) -> Column:
                 .when(k == "secret", F.concat(F.regexp_extract(m, rf'^(.*?){VALUE}"?$', 1), s, F.regexp_extract(m, r'("?)$', 1)))
                 .otherwise(s))
 
-    return F.transform(made(hashed(found)), lambda ps: F.array_join(F.transform(ps, put), ""))
+    return F.transform(made(hashed(numbered(found))), lambda ps: F.array_join(F.transform(ps, put), ""))
 
 
 def collisions(found: DataFrame, key: str) -> DataFrame:
     """``(type, canon, attempt)`` of the entities that need a later attempt than the first."""
     rows = staged(found.withColumn("attempt", F.lit(0)), "entities")
-    while True:
+    for attempt in range(MOST_ATTEMPTS):
         made = rows.withColumn("h", keyed(key, F.col("type"), F.col("canon"), F.col("attempt"))) \
-            .withColumn("made", surrogate(key, F.col("type"), F.col("canon"), F.col("h"))).drop("h")
+            .withColumn("made", surrogate(key, F.col("type"), F.col("canon"), F.col("h"),
+                                           F.col("attempt"))).drop("h")
         shared = made.groupBy("type", "made").agg(F.count("*").alias("n"), F.min("canon").alias("first")).where("n > 1")
         clash = made.join(shared, ["type", "made"]).where("canon <> first").select("type", "canon")
-        real = made.join(found.select("type", F.col("canon").alias("made")), ["type", "made"], "left_semi").select("type", "canon")
-        again = staged(clash.unionByName(real).distinct(), "collisions")
+        if attempt < AVOID_REAL:
+            real = made.join(found.select("type", F.col("canon").alias("made")), ["type", "made"], "left_semi")
+            clash = clash.unionByName(real.select("type", "canon"))
+        again = staged(clash.distinct(), "collisions")
         if again.isEmpty():
             return rows.where("attempt > 0")
         rows = staged(rows.join(again.withColumn("hit", F.lit(1)), ["type", "canon"], "left")
                       .select("type", "canon", (F.col("attempt") + F.coalesce("hit", F.lit(0))).alias("attempt")), "entities")
+    raise ValueError(f"no distinct surrogates after {MOST_ATTEMPTS} attempts: the data fill a type's whole range")
 
 
 def replace_pii(docs: DataFrame, key: str = KEY, count_col: str | None = None) -> DataFrame:

@@ -152,7 +152,7 @@ def test_pii_surrogates(spark):
 
 
 def test_pii_collisions_are_resolved(spark, monkeypatch):
-    few = lambda key, k, c, h: F.substring(h, 1, 1)  # noqa: E731  16 surrogates only
+    few = lambda key, k, c, h, attempt: F.substring(h, 1, 1)  # noqa: E731  16 surrogates only
     monkeypatch.setattr(pii, "surrogate", few)
     texts = [f"a{i}@x.org" for i in range(8)] * 2
     out = [r.text for r in pii.replace_pii(docs_of(spark, texts), "k").collect()]
@@ -226,3 +226,13 @@ def test_pipeline_runs_its_stages(spark, odd_docs, labels, tmp_path):
         docs = stage(spark, docs, str(tmp_path))
         assert docs.columns == columns, name
     assert corpus_pipeline.run(spark, str(tmp_path)).columns == ["doc_id", "lang", "source", "n_chars", "n_tokens", "ids_sha256", "decoded_sha256"]
+
+
+def test_pii_private_block_filled_by_the_data(spark):
+    """More distinct addresses of one block than it has surrogates: all stay distinct."""
+    from quern.llm.pii import replace_pii
+    rows = [(i, " ".join(f"host 192.168.{i}.{j} up" for j in range(256))) for i in range(256)]
+    out = replace_pii(spark.createDataFrame(rows, "doc_id long, text string"))
+    found = [m for r in out.collect() for m in r.text.split() if m[0].isdigit()]
+    assert len(found) == 65536 and len(set(found)) == 65536
+    assert all(m.startswith(("192.168.", "10.")) for m in found)

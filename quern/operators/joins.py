@@ -2,19 +2,34 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def checked_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
-    """Mark ``df`` for broadcast only when it provably has at most ``max_rows`` rows.
+# Largest side, in bytes of its values, that a join may broadcast.
+BROADCAST_BYTES = 64 << 20
+_FIXED_BYTES = {"boolean": 1, "byte": 1, "short": 2, "integer": 4, "long": 8, "float": 4, "double": 8,
+                "date": 4, "timestamp": 8, "timestamp_ntz": 8}
 
-    The check reads at most ``max_rows + 1`` rows (the limit stops the scan
-    early). Beyond the bound the side is returned as is and the join falls back
-    to a shuffle join (sort-merge, with AQE skew splitting).
+
+def value_bytes(df: DataFrame) -> Column:
+    """Bytes of one row's values: fixed widths by type, others by the length of their text."""
+    sizes = [F.lit(_FIXED_BYTES[f.dataType.typeName()]) if f.dataType.typeName() in _FIXED_BYTES
+             else F.coalesce(F.octet_length(F.col(f"`{f.name}`").cast("string")), F.lit(0))
+             for f in df.schema.fields]
+    return sum(sizes, F.lit(8)).cast("long")
+
+
+def checked_broadcast(df: DataFrame, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """Mark ``df`` for broadcast only when its values provably take at most ``max_bytes``.
+
+    One job writes ``df`` to the shared checkpoint folder; its size and the join are both
+    read from there, so ``df`` is computed once. Beyond the bound the join falls back to a
+    shuffle join (sort-merge, with AQE skew splitting).
     """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+    held = df.checkpoint()
+    size = held.agg(F.sum(value_bytes(held))).first()[0] or 0
+    return F.broadcast(held) if size <= max_bytes else held
 
 
 def salted_join(big: DataFrame, small: DataFrame, on: list[str], salts: int,

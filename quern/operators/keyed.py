@@ -7,10 +7,10 @@
 * combine  → the same task folds its batches into one partial row set per key
              before the shuffle (map-side combine),
 * shuffle  → ``repartition(key)`` (hash, the default) or ``repartitionByRange``,
-* reduce   → ``sortWithinPartitions(key)`` + ``mapInPandas``: each frame handed
-             to the reducer holds whole groups (a group cut by an Arrow batch
-             boundary is carried into the next frame). Many small groups cost
-             one Python call per frame, not one per key.
+* reduce   → ``groupBy(key).applyInPandas``, on the shuffle above. For very many small
+             groups, ``vectorized_reduce`` takes frames of many whole groups from
+             sorted partitions: one Python call per frame, not one per key, and no
+             more in memory than an Arrow batch and one key's partials.
 
 With a combiner, a reduce group holds at most one partial per map partition, so
 even a key that holds a third of all rows reaches the reducer as a bounded
@@ -54,15 +54,7 @@ def _map_and_combine(map_fn: BatchFn, combine_fn: BatchFn | None):
     return run
 
 
-def _reduce_whole_groups(keys: list[str], reduce_fn: ReduceFn, vectorized: bool,
-                         out_cols: list[str]):
-    def reduce_frame(frame: pd.DataFrame) -> pd.DataFrame:
-        if vectorized:
-            return reduce_fn(frame)
-        parts = [reduce_fn(k if isinstance(k, tuple) else (k,), g)
-                 for k, g in frame.groupby(keys, sort=False, dropna=False)]
-        return pd.concat(parts, ignore_index=True) if parts else pd.DataFrame(columns=out_cols)
-
+def _reduce_frames(keys: list[str], reduce_fn: ReduceFn, out_cols: list[str]):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         carry = None
         for pdf in batches:
@@ -74,11 +66,11 @@ def _reduce_whole_groups(keys: list[str], reduce_fn: ReduceFn, vectorized: bool,
             tail = ((pdf[keys] == last) | (pdf[keys].isna() & last.isna())).all(axis=1)
             carry, done = pdf[tail], pdf[~tail]
             if len(done):
-                out = reduce_frame(done)
+                out = reduce_fn(done)
                 if len(out):
                     yield out[out_cols]
         if carry is not None and len(carry):
-            out = reduce_frame(carry)
+            out = reduce_fn(carry)
             if len(out):
                 yield out[out_cols]
     return run
@@ -101,11 +93,14 @@ def keyed_map_reduce(df: DataFrame, map_fn: BatchFn, map_schema: str, key: str |
     """
     keys = [key] if isinstance(key, str) else list(key)
     mapped = df.mapInPandas(_map_and_combine(map_fn, combine_fn), map_schema)
+    placed = keys
     if isinstance(partitioner, Column):
         # A user partitioner: its value (a function of the key) is the partition's number;
-        # without a count Spark hashes it.
-        mapped = mapped.repartitionById(num_partitions, partitioner.cast("int")) if num_partitions \
-            else mapped.repartition(partitioner)
+        # without a count Spark hashes it. As a column of the group it spares a second shuffle.
+        mapped = mapped.withColumn("_part", partitioner.cast("int"))
+        placed = ["_part", *keys]
+        mapped = mapped.repartitionById(num_partitions, "_part") if num_partitions \
+            else mapped.repartition("_part")
     elif partitioner == "hash":
         mapped = mapped.repartition(num_partitions, *keys) if num_partitions \
             else mapped.repartition(*keys)
@@ -115,8 +110,14 @@ def keyed_map_reduce(df: DataFrame, map_fn: BatchFn, map_schema: str, key: str |
     else:
         raise ValueError(f"unknown partitioner {partitioner!r}")
     out_cols = [f.strip().split(" ")[0] for f in out_schema.split(",")]
-    return mapped.sortWithinPartitions(*keys).mapInPandas(
-        _reduce_whole_groups(keys, reduce_fn, vectorized_reduce, out_cols), out_schema)
+    columns = [c for c in mapped.columns if c != "_part"] if placed is not keys else mapped.columns
+    if vectorized_reduce:
+        return mapped.sortWithinPartitions(*keys).select(*columns).mapInPandas(
+            _reduce_frames(keys, reduce_fn, out_cols), out_schema)
+
+    def reduce_group(key, group):
+        return reduce_fn(key[-len(keys):], group[columns])[out_cols]
+    return mapped.groupBy(*placed).applyInPandas(reduce_group, out_schema)
 
 
 def per_record(fn: Callable, schema_cols: list[str]) -> BatchFn:

@@ -10,15 +10,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quern.operators.joins import checked_broadcast, salted_join
+from quern.operators.joins import BROADCAST_BYTES, checked_broadcast, salted_join
 
 
 def matvec(m: DataFrame, vec: DataFrame, strategy: str = "broadcast",
-           max_vec_rows: int = 5_000_000, salts: int = 1) -> DataFrame:
+           max_bytes: int = BROADCAST_BYTES, salts: int = 1) -> DataFrame:
     """MAT-1 / MAT-2: s_i = Σ_j m_ij · vec_j → ``(i, s)``.
 
     ``broadcast`` (MAT-1, JOIN-3): the vector sits in every task's memory, but
-    only when it provably has ≤ ``max_vec_rows`` entries; otherwise (and for
+    only when it provably takes ≤ ``max_bytes``; otherwise (and for
     ``shuffle``, MAT-2) both sides shuffle on j. With few distinct j the matrix
     side of each j is large; ``salts`` > 1 spreads each j over that many tasks,
     and AQE's skew-join split covers the rest.
@@ -26,7 +26,7 @@ def matvec(m: DataFrame, vec: DataFrame, strategy: str = "broadcast",
     mv = m.select("i", "j", F.col("v").alias("_mv"))
     vv = vec.select("j", F.col("v").alias("_vv"))
     if strategy == "broadcast":
-        joined = mv.join(checked_broadcast(vv, max_vec_rows), "j")
+        joined = mv.join(checked_broadcast(vv, max_bytes), "j")
     elif strategy == "shuffle":
         joined = salted_join(mv, vv, ["j"], salts, strategy="merge") if salts > 1 \
             else mv.join(vv.hint("merge"), "j")
@@ -36,11 +36,11 @@ def matvec(m: DataFrame, vec: DataFrame, strategy: str = "broadcast",
 
 
 def matmul(a: DataFrame, b: DataFrame, strategy: str = "join",
-           max_small_rows: int = 5_000_000, salts: int = 1) -> DataFrame:
+           max_bytes: int = BROADCAST_BYTES, salts: int = 1) -> DataFrame:
     """MAT-3..MAT-6: P = A·B for A(i, j, v), B(j, k, v) → ``(i, k, p)``.
 
-    ``broadcast`` (MAT-3, JOIN-4): the smaller operand is broadcast when its row
-    count is proven ≤ ``max_small_rows``; else the plan falls back to the
+    ``broadcast`` (MAT-3, JOIN-4): the smaller operand is broadcast when it provably
+    takes ≤ ``max_bytes``; else the plan falls back to the
     shuffle join. ``join`` (MAT-5, JOIN-5; also MAT-4, whose one-pass cell
     replication buys nothing here): both shuffle on j. The result does not
     depend on how cells are spread over files or partitions (MAT-6).
@@ -48,9 +48,9 @@ def matmul(a: DataFrame, b: DataFrame, strategy: str = "join",
     av = a.select("i", "j", F.col("v").alias("_av"))
     bv = b.select("j", F.col("k"), F.col("v").alias("_bv"))
     if strategy == "broadcast":
-        joined = av.join(checked_broadcast(bv, max_small_rows), "j")
+        joined = av.join(checked_broadcast(bv, max_bytes), "j")
     elif strategy == "broadcast_left":
-        joined = checked_broadcast(av, max_small_rows).join(bv, "j")
+        joined = checked_broadcast(av, max_bytes).join(bv, "j")
     elif strategy == "join":
         joined = salted_join(av, bv, ["j"], salts) if salts > 1 else av.join(bv, "j")
     else:

@@ -9,10 +9,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quern.functions.columns import event_year, format_line
+from quern.functions.columns import distinct_sorted, event_year, format_line, to_long, words
+from quern.functions.udf import vectorized
 from quern.operators import geo, keyed, matrix, ordering, relational, text
 from quern.sources import fixtures as fx
-from quern.sources.readers import profile, read_table, spread
+from quern.sources.readers import FEW_SPLITS, document_lines, documents, moments, profile, read_table, spread
 
 # Parameters of the registered queries (fixed values of the test queries).
 FLAGSHIP_SEGMENT = "BUILDING"
@@ -74,6 +75,28 @@ def natural_join(spark: SparkSession, sf: str) -> DataFrame:
     return relational.natural_join(r, s, "b")
 
 
+def natural_join_orders(spark: SparkSession, sf: str) -> DataFrame:
+    """JOIN-1 + PRJ-3 on tables that grow: lineitem(a, b) ⋈ orders(b, c) on the order key."""
+    r = relational.rename(read_table(spark, sf, "lineitem"), "l_partkey as a", "l_orderkey as b")
+    s = relational.rename(read_table(spark, sf, "orders"), "o_orderkey as b", "o_custkey as c")
+    return relational.natural_join(r, s)
+
+
+def typed_events(spark: SparkSession, sf: str) -> DataFrame:
+    """PRJ-3 + FN-5 + FIL-9: the number in each event's text, as a long; events without one go.
+
+    The text between colon and brace is cast as it stands; what is no number is null.
+    """
+    ev = relational.rename(read_table(spark, sf, "events"), "event_id as id", "event_type as kind",
+                           "split_part(split_part(props, ': ', 2), '}', 1) as raw")
+    return relational.drop_null_rows(ev.select("id", "kind", to_long("raw").alias("k")))
+
+
+def largest_order(spark: SparkSession, sf: str) -> DataFrame:
+    """AGG-13: the whole row of the order with the largest total price (ties: smallest key)."""
+    return relational.argmax_row(read_table(spark, sf, "orders"), "o_totalprice", ["o_orderkey"])
+
+
 def _quantities(spark, sf):
     return read_table(spark, sf, "lineitem").select("l_returnflag", "l_quantity")
 
@@ -113,10 +136,19 @@ def profile_orders(spark: SparkSession, sf: str) -> DataFrame:
     return profile(read_table(spark, sf, "orders"), ["o_orderkey", "o_custkey", "o_totalprice"])
 
 
+def profile_moments(spark: SparkSession, sf: str) -> DataFrame:
+    """SNK-5: count, mean and standard deviation of orders' numeric columns in one scan.
+
+    The deviation is rounded: its last digits depend on the order of summation.
+    """
+    m = moments(read_table(spark, sf, "orders"), ["o_orderkey", "o_custkey", "o_totalprice"])
+    return m.select("column_name", "count", "mean", F.round("stddev", 4).alias("stddev"))
+
+
 # --- text -------------------------------------------------------------------
 
 def _docs(spark, sf):
-    return spread(read_table(spark, sf, "documents").select("doc_id", "text"))
+    return spread(read_table(spark, sf, "documents").select("doc_id", "text"), FEW_SPLITS)
 
 
 def distinct_words(spark: SparkSession, sf: str) -> DataFrame:
@@ -134,6 +166,18 @@ def inverted_index(spark: SparkSession, sf: str) -> DataFrame:
     return text.inverted_index(_docs(spark, sf))
 
 
+def lines_of_documents(spark: SparkSession, sf: str) -> DataFrame:
+    """SRC-3: every line of every document under its ``docid:lineid`` key."""
+    return document_lines(_docs(spark, sf)).select("key", "line")
+
+
+def distinct_words_of_documents(spark: SparkSession, sf: str) -> DataFrame:
+    """SRC-2 + FN-1 + FN-2: per document (id as text), its sorted distinct words: count and MD5."""
+    w = distinct_sorted(words("text"))
+    return documents(_docs(spark, sf)).select("doc_id", w.alias("w")).where("w is not null") \
+        .select("doc_id", F.size("w").cast("long").alias("n_words"), F.md5(F.concat_ws(" ", "w")).alias("words_md5"))
+
+
 # --- ordering ---------------------------------------------------------------
 
 def _prices(spark, sf):
@@ -150,6 +194,11 @@ def terasort_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return ordering.range_sort(_prices(spark, sf), "o_totalprice", TERASORT_BUCKETS, dedup=True)
 
 
+def bikes_by_total(spark: SparkSession, sf: str) -> DataFrame:
+    """SRT-1 + AGG-7: all bikes with their total duration, largest first (ties: larger id)."""
+    return ordering.sort_desc(_bike_totals(spark, sf), "duration", "bike_id")
+
+
 # --- matrices ---------------------------------------------------------------
 
 def matvec_broadcast(spark: SparkSession, sf: str) -> DataFrame:
@@ -297,6 +346,16 @@ def top_languages_by_year(spark: SparkSession, sf: str) -> DataFrame:
                                     TOP_LANGUAGES)
 
 
+def top_languages_report(spark: SparkSession, sf: str) -> DataFrame:
+    """SRT-2 + TOP-3: the top languages with their rank, years and counts descending."""
+    pl = _post_languages(spark, sf, POSTS_FROM, POSTS_TO, default=None)
+    counts = pl.groupBy(event_year("creation_date").alias("year"), "language") \
+               .agg(F.count(F.lit(1)).alias("n_posts"))
+    top = ordering.top_n_per_group(counts, "year", [F.col("n_posts").desc(), F.col("language")],
+                                   TOP_LANGUAGES, rank_col="rank")
+    return ordering.sort_desc(top, "year", "n_posts", -F.col("rank"))
+
+
 # --- user functions ---------------------------------------------------------
 
 def mapreduce_group_avg(spark: SparkSession, sf: str) -> DataFrame:
@@ -342,3 +401,33 @@ def mapreduce_word_count(spark: SparkSession, sf: str) -> DataFrame:
     return keyed.keyed_map_reduce(_docs(spark, sf), map_fn, "word string, n long", "word",
                                   reduce_fn, "word string, n long", combine_fn=combine_fn,
                                   vectorized_reduce=True)
+
+
+def mapreduce_chain(spark: SparkSession, sf: str) -> DataFrame:
+    """UDF-3: two map/reduce jobs in a chain: word counts, then how many words have each count."""
+    import pandas as pd
+
+    def map_fn(pdf: pd.DataFrame) -> pd.DataFrame:
+        return pd.DataFrame({"n": pdf["n"], "n_words": 1})
+
+    def add(pdf: pd.DataFrame) -> pd.DataFrame:
+        return pdf.groupby("n", as_index=False, sort=False)["n_words"].sum()
+
+    def reduce_fn(key, pdf: pd.DataFrame) -> pd.DataFrame:
+        return pd.DataFrame({"n": [key[0]], "n_words": [pdf["n_words"].sum()]})
+
+    return keyed.keyed_map_reduce(mapreduce_word_count(spark, sf), map_fn, "n long, n_words long", "n",
+                                  reduce_fn, "n long, n_words long", combine_fn=add)
+
+
+def row_function_totals(spark: SparkSession, sf: str) -> DataFrame:
+    """UDF-4: a user row function as a vectorised column: discounted cents per line, summed by flag."""
+    cents = vectorized(_discounted_cents, "long")
+    li = read_table(spark, sf, "lineitem").select("l_returnflag", "l_extendedprice", "l_discount")
+    return li.select("l_returnflag", cents("l_extendedprice", "l_discount").alias("c")) \
+        .groupBy("l_returnflag").agg(F.sum("c").alias("cents"))
+
+
+def _discounted_cents(price, discount):
+    """``price`` in whole cents times the whole per cent left of it."""
+    return (price * 100).round().astype("int64") * (100 - (discount * 100).round().astype("int64"))

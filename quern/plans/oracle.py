@@ -136,6 +136,45 @@ SELECT year, language, n_posts FROM (
 WHERE rn <= {B.TOP_LANGUAGES}""",
 }
 
+ORACLE_SQL.update({
+    "natural_join_orders": """
+SELECT l_partkey AS a, l_orderkey AS b, o_custkey AS c FROM lineitem JOIN orders ON l_orderkey = o_orderkey""",
+    "typed_events": """
+SELECT id, kind, k FROM (
+  SELECT event_id AS id, event_type AS kind,
+         TRY_CAST(regexp_extract(props, '^[^:]*: ([+-]?[0-9]+)[}]', 1) AS BIGINT) AS k FROM events)
+WHERE id IS NOT NULL AND kind IS NOT NULL AND k IS NOT NULL""",
+    "largest_order": "SELECT * FROM orders ORDER BY o_totalprice DESC, o_orderkey LIMIT 1",
+    "profile_moments": " UNION ALL ".join(f"""
+SELECT '{c}' AS column_name, count({c}) AS count,
+       {_EXACT_MEAN.format(c=c)} AS mean,
+       round(stddev_samp({c}), 4) AS stddev FROM orders""" for c in ("o_orderkey", "o_custkey", "o_totalprice")),
+    "lines_of_documents": """
+SELECT CAST(doc_id AS VARCHAR) || ':' || CAST(pos - 1 AS VARCHAR) AS key, line FROM (
+  SELECT doc_id, unnest(l) AS line, generate_subscripts(l, 1) AS pos
+  FROM (SELECT doc_id, string_split(text, chr(10)) AS l FROM documents))""",
+    "distinct_words_of_documents": """
+SELECT CAST(doc_id AS VARCHAR) AS doc_id, len(w) AS n_words, md5(array_to_string(w, ' ')) AS words_md5
+FROM (SELECT doc_id, list_sort(list_distinct(string_split(text, ' '))) AS w FROM documents WHERE text IS NOT NULL)""",
+    "bikes_by_total": """
+SELECT l_suppkey AS bike_id, CAST(sum(CAST(l_quantity AS BIGINT)) AS BIGINT) AS duration
+FROM lineitem WHERE l_quantity IS NOT NULL GROUP BY l_suppkey""",
+    "top_languages_report": f"""{_POSTS},
+c AS (SELECT CAST(year(creation_date) AS INTEGER) AS year, language, count(*) AS n_posts
+      FROM p JOIN m ON p.pid = m.pid
+      WHERE creation_date BETWEEN TIMESTAMP '{B.POSTS_FROM}' AND TIMESTAMP '{B.POSTS_TO}'
+      GROUP BY 1, 2)
+SELECT year, language, n_posts, CAST(rn AS INTEGER) AS rank FROM (
+  SELECT *, row_number() OVER (PARTITION BY year ORDER BY n_posts DESC, language) AS rn FROM c)
+WHERE rn <= {B.TOP_LANGUAGES}""",
+    "mapreduce_chain": f"""
+SELECT n, count(*) AS n_words FROM (SELECT word, count(*) AS n FROM {_WORDS} GROUP BY word) GROUP BY n""",
+    "row_function_totals": """
+SELECT l_returnflag, CAST(sum(CAST(round(l_extendedprice * 100) AS BIGINT)
+                              * (100 - CAST(round(l_discount * 100) AS BIGINT))) AS BIGINT) AS cents
+FROM lineitem GROUP BY l_returnflag""",
+})
+
 _ST = """WITH s AS (SELECT vec_id AS id, CAST(embedding[1] AS DOUBLE) * {fa} AS lat,
                          CAST(embedding[2] AS DOUBLE) * {fo} AS long FROM embeddings),
 d AS (SELECT a.id AS station_a, b.id AS station_b, {dist} AS dd FROM s a JOIN s b ON a.id < b.id)

@@ -49,6 +49,20 @@ SELECT o_orderkey AS ride_id, o_orderdate AS ride_time, f.f_time AS fare_time,
        CAST(o_custkey AS BIGINT) AS customer_id, f.driver_id, f.tip
 FROM orders JOIN ({_FARES}) f ON o_orderkey = f.f_id WHERE o_orderstatus = 'F'""",
     "expiring_pairs": _EXPIRING,
+    "hourly_tips_resumed": _HOURLY,
+    # What the first run's watermark left open: hours that end after the last fare less the delay.
+    "hourly_tips_late": f"""WITH b AS (SELECT max(ts) AS hi, epoch_us(min(ts)) AS lo_us, epoch_us(max(ts)) AS hi_us FROM events)
+SELECT date_trunc('hour', ts) + INTERVAL 1 HOUR AS window_end, user_id AS driver_id,
+       CAST(sum(CAST(value AS DECIMAL(18,2))) AS DOUBLE) AS tips
+FROM events, b
+WHERE epoch_us(ts) >= (lo_us + hi_us) // 2
+   OR date_trunc('hour', ts) + INTERVAL 1 HOUR > hi - INTERVAL {S.jobs.MAX_EVENT_DELAY}
+GROUP BY 1, 2""",
+    "waiting_rides": f"""
+SELECT coalesce(r.o_orderkey, f.f_id) AS ride_id, CASE WHEN f.f_id IS NULL THEN 'ride' ELSE 'fare' END AS side
+FROM (SELECT o_orderkey FROM orders WHERE o_orderstatus = 'F') r
+FULL OUTER JOIN ({_FARES}) f ON r.o_orderkey = f.f_id
+WHERE r.o_orderkey IS NULL OR f.f_id IS NULL""",
     "unmatched_fares": f"SELECT ride_id, driver_id, tip FROM ({_EXPIRING}) WHERE status = 'unmatched_fare'",
     # All input lands in one micro-batch here, so arrival order pairs every key
     # that has both sides; the rest times out unmatched.

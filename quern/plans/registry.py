@@ -52,6 +52,16 @@ def batch_queries() -> dict[str, QueryFn]:
         "top_languages_by_year": B.top_languages_by_year,
         "mapreduce_group_avg": B.mapreduce_group_avg,
         "mapreduce_word_count": B.mapreduce_word_count,
+        "natural_join_orders": B.natural_join_orders,
+        "typed_events": B.typed_events,
+        "largest_order": B.largest_order,
+        "profile_moments": B.profile_moments,
+        "lines_of_documents": B.lines_of_documents,
+        "distinct_words_of_documents": B.distinct_words_of_documents,
+        "bikes_by_total": B.bikes_by_total,
+        "top_languages_report": B.top_languages_report,
+        "mapreduce_chain": B.mapreduce_chain,
+        "row_function_totals": B.row_function_totals,
     }
 
 
@@ -65,6 +75,9 @@ def stream_queries() -> dict[str, QueryFn]:
         "expiring_pairs": S.expiring_pairs,
         "unmatched_fares": S.unmatched_fares,
         "expiring_pairs_keyed": S.expiring_pairs_keyed,
+        "hourly_tips_resumed": S.hourly_tips_resumed,
+        "hourly_tips_late": S.hourly_tips_late,
+        "waiting_rides": S.waiting_rides,
     }
 
 

@@ -20,7 +20,7 @@ from quern.functions.columns import not_every_nth
 from quern.sources.readers import read_stream, write_parquet
 from quern.sources import fixtures as fx
 from quern.streaming import jobs
-from quern.streaming.runner import fixture_stream, new_run, run_to_table, sentinel_stream, state_buckets
+from quern.streaming.runner import drain, fixture_stream, new_run, run_to_table, sentinel_stream, state_buckets
 
 # Fixed parameters of the registered stream queries.
 BOX = (-0.1, 0.1, -0.1, 0.1)            # west, east, south, north
@@ -77,6 +77,41 @@ def hourly_max_tip(spark: SparkSession, sf: str) -> DataFrame:
         _ntz("window_end"), "driver_id", F.col("tips").cast("double").alias("tips"))
 
 
+def _tips_of_halves(spark, sf, name: str, early_first: bool) -> DataFrame:
+    """Hourly tips of a stream whose first half is drained before the second arrives.
+
+    The fares are cut at the middle of their time span; the second half lands in the
+    stream's folder after the first run ended, and the job starts again on its checkpoint.
+    """
+    run = new_run(spark, name)
+    folder = f"{run.sink.rsplit('/', 1)[0]}/halves"
+    ev = fx.fares(spark, sf)
+    us = F.unix_micros("event_time")
+    cut = ev.select(F.min(us).alias("lo"), F.max(us).alias("hi")) \
+            .select(F.floor((F.col("lo") + F.col("hi")) / 2).alias("cut")).scalar()
+    halves = [ev.filter(us < cut), ev.filter(us >= cut)]
+    first, second = halves if early_first else halves[::-1]
+    write_parquet(first, folder)
+    end = sentinel_stream(spark, run, _FARE, {"driver_id": -1, "tip": 0.0, "event_time": END_OF_INPUT})
+    h = jobs.hourly_tips(read_stream(spark, folder, _FARE).unionByName(end)) \
+            .select(F.col("window.end").alias("window_end"), "driver_id", "tips")
+    drain(h, run)
+    write_parquet(second, folder, mode="append")
+    out = run_to_table(spark, h, run)
+    return out.filter(F.col("driver_id") >= 0).select(
+        _ntz("window_end"), "driver_id", F.col("tips").cast("double").alias("tips"))
+
+
+def hourly_tips_resumed(spark: SparkSession, sf: str) -> DataFrame:
+    """STR-10: hourly tips over two runs on one checkpoint; the hour cut in two is whole again."""
+    return _tips_of_halves(spark, sf, "hourly-resumed", early_first=True)
+
+
+def hourly_tips_late(spark: SparkSession, sf: str) -> DataFrame:
+    """STR-5: the earlier half arrives late; rows of hours the watermark has closed are dropped."""
+    return _tips_of_halves(spark, sf, "hourly-late", early_first=False)
+
+
 def _ride_stream(spark, sf, drop_every: int | None = None):
     o = fixture_stream(spark, sf, "orders")
     r = o.filter(F.col("o_orderstatus") == "F")                     # FIL-11: isStart
@@ -143,3 +178,12 @@ def expiring_pairs_keyed(spark: SparkSession, sf: str) -> DataFrame:
     rides, fares = _expiring_inputs(spark, sf, run)
     out = run_to_table(spark, jobs.pair_with_expiry(rides, fares, buckets=state_buckets(spark, run)), run)
     return _with_columns(out.filter(F.col("ride_id") >= 0)).select("ride_id", "status", *_ids(), "tip")
+
+
+def waiting_rides(spark: SparkSession, sf: str) -> DataFrame:
+    """STR-11: the pairing's state read from its checkpoint: ids that wait for their other side."""
+    run = new_run(spark, "waiting")
+    pairs = jobs.pair_rides_fares(_ride_stream(spark, sf), _staged_fares(spark, sf, run),
+                                  buckets=state_buckets(spark, run))
+    run_to_table(spark, pairs, run, query_name=None)
+    return jobs.waiting_ids(jobs.read_state(spark, run.checkpoint))

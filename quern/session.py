@@ -24,16 +24,13 @@ REQUIRED_CONF = {
 
 
 # Scale defaults for a cluster, applied only where the cluster did not set a
-# value: large scan splits and shuffle partitions sized by AQE from a high
-# starting count (it coalesces small ones and splits skewed ones), so a
-# 100 TB input runs as ~400k scan tasks of 256 MB and shuffles as partitions
-# of ~256 MB that fit executor memory.
+# value: large scan splits, and shuffle partitions sized by AQE from a starting
+# count that follows the cluster's cores (it coalesces small ones and splits
+# skewed ones), so a 100 TB input runs as ~400k scan tasks of 256 MB.
 CLUSTER_CONF = {
     "spark.sql.files.maxPartitionBytes": "256m",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
-    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "20000",
     "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
-    "spark.sql.shuffle.partitions": "4000",
     # Stream state off the JVM heap (large keyed state, incremental commits).
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
@@ -76,16 +73,33 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = 8,
         if shuffle_partitions:
             spark.conf.set("spark.sql.shuffle.partitions", str(shuffle_partitions))
     else:
-        explicit = spark.sparkContext.getConf()
-        for k, v in CLUSTER_CONF.items():
-            if not explicit.contains(k):
-                spark.conf.set(k, v)
+        apply_cluster_conf(spark)
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
     ship_package(spark)
     return spark
 
 
+def apply_cluster_conf(spark: SparkSession) -> None:
+    """Fill in ``CLUSTER_CONF`` and shuffle counts where a cluster's session leaves them unset.
+
+    Shuffles start at 4 partitions a core (streams keep 2: their count is fixed for good).
+    Local masters and sessions without a SparkContext stay as they are.
+    """
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - no SparkContext (e.g. Spark Connect): set at submit
+        return
+    if sc.master.startswith("local"):
+        return
+    cores = sc.defaultParallelism
+    counts = {"spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(max(200, 4 * cores)),
+              "spark.sql.shuffle.partitions": str(max(200, 2 * cores))}
+    for k, v in {**CLUSTER_CONF, **counts}.items():
+        if not sc.getConf().contains(k):
+            spark.conf.set(k, v)
+
+
 def _local_heap() -> str:
     """Local driver heap: 60 % of the machine's memory, between 2 and 12 GB."""
     try:

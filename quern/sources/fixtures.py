@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quern.sources.readers import coo_from_arrays, read_table, spread
+from quern.sources.readers import FEW_SPLITS, coo_from_arrays, read_table, spread
 
 
 def users(spark: SparkSession, sf: str) -> DataFrame:
@@ -36,7 +36,7 @@ def matrix(spark: SparkSession, sf: str) -> DataFrame:
 
     v = round(x * 10000) as bigint, so products and sums are exact integers.
     """
-    emb = spread(read_table(spark, sf, "embeddings").select("vec_id", "embedding"))
+    emb = spread(read_table(spark, sf, "embeddings").select("vec_id", "embedding"), FEW_SPLITS)
     return coo_from_arrays(emb, "vec_id", "embedding",
                            F.round(F.col("x").cast("double") * 10000).cast("bigint"))
 
@@ -90,7 +90,7 @@ def posts(spark: SparkSession, sf: str) -> DataFrame:
     ``part`` is joined on its key; the join is left to Catalyst/AQE (broadcast
     only when the runtime size is under the threshold, shuffle join beyond).
     """
-    li = spread(read_table(spark, sf, "lineitem").select("l_partkey", "l_shipdate"))
+    li = spread(read_table(spark, sf, "lineitem").select("l_partkey", "l_shipdate"), FEW_SPLITS)
     part = read_table(spark, sf, "part").select("p_partkey", "p_brand", "p_type")
     j = li.join(part, li.l_partkey == part.p_partkey, "inner")
     return j.select(F.col("l_shipdate").alias("creation_date"),
@@ -115,23 +115,6 @@ def fares(spark: SparkSession, sf: str) -> DataFrame:
                      F.col("ts").cast("timestamp").alias("event_time"))
 
 
-def ride_points(spark: SparkSession, sf: str) -> DataFrame:
-    """Ride end points (ride_id, start_lon, start_lat, end_lon, end_lat) over ``embeddings``."""
-    emb = read_table(spark, sf, "embeddings")
-    e = F.col("embedding")
-    return emb.select(F.col("vec_id").alias("ride_id"),
-                      e[0].cast("double").alias("start_lon"), e[1].cast("double").alias("start_lat"),
-                      e[2].cast("double").alias("end_lon"), e[3].cast("double").alias("end_lat"))
-
-
-def rides(spark: SparkSession, sf: str) -> DataFrame:
-    """Ride events (ride_id, is_start, event_time) over ``orders``."""
-    o = read_table(spark, sf, "orders")
-    return o.select(F.col("o_orderkey").alias("ride_id"),
-                    (F.col("o_orderstatus") == "F").alias("is_start"),
-                    F.col("o_orderdate").cast("timestamp").alias("event_time"))
-
-
 def fares_of_ride(spark: SparkSession, sf: str) -> DataFrame:
     """One fare per ride, over all line items of an order: the earliest ship date, the
     smallest supplier as driver and the largest price as tip."""

@@ -12,6 +12,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from quern.functions.columns import exact_mean
+
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem",
           "events", "documents", "embeddings", "pages", "benchmark", "labels",
           "conversations")
@@ -26,21 +28,26 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(table_path(sf_dir, name))
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Spread a scan over the cluster before CPU-heavy per-row work.
+# Scans of so few splits are dealt out before the registered queries' per-row work.
+FEW_SPLITS = 8
+
 
-    A table stored as one unsplittable file (one Parquet row group) is read by a
-    single task; when the scan has fewer splits than the cluster's default
-    parallelism, its rows are dealt round-robin over that many partitions.
-    Large inputs already have at least that many splits and pass unchanged (no
-    shuffle).
+def spread(df: DataFrame, max_splits: int = 0) -> DataFrame:
+    """Spread a scan of at most ``max_splits`` splits over the cluster (0: never).
+
+    For CPU-heavy per-row work on a table stored as one or a few unsplittable files (one
+    Parquet row group each): its rows are dealt round-robin over the cluster's default
+    parallelism. Scans of more splits pass unchanged, whatever the cluster's size, so a
+    large table is never moved.
     """
+    if max_splits <= 0:
+        return df
     try:
         target = df.sparkSession.sparkContext.defaultParallelism
         splits = df.rdd.getNumPartitions()
     except Exception:  # noqa: BLE001 - no RDD access (e.g. Spark Connect): leave as is
         return df
-    return df.repartition(target) if splits < target else df
+    return df.repartition(target) if splits <= max_splits and splits < target else df
 
 
 def from_rows(spark: SparkSession, rows, schema: T.StructType | str) -> DataFrame:
@@ -79,13 +86,17 @@ def coo_from_arrays(df: DataFrame, row_col: str, array_col: str,
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType | str | None = None,
-             drop_nulls: bool = False) -> DataFrame:
+             drop_nulls: bool = False, infer_schema: bool = False,
+             timestamp_format: str | None = None) -> DataFrame:
     """SRC-6 / SRC-7: CSV with a header.
 
     Without a schema every column is a string (SRC-6, the reference's mode);
-    with one, values are typed at read. ``drop_nulls`` is ``na.drop()`` (FIL-9).
+    with one, values are typed at read, and with ``infer_schema`` types come from one more
+    pass over the file. ``drop_nulls`` is ``na.drop()`` (FIL-9).
     """
-    reader = spark.read.option("header", "true")
+    reader = spark.read.option("header", "true").option("inferSchema", infer_schema and schema is None)
+    if timestamp_format:
+        reader = reader.option("timestampFormat", timestamp_format)
     if schema is not None:
         reader = reader.schema(schema)
     df = reader.csv(path)
@@ -93,13 +104,16 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType | str | None =
 
 
 def read_xml_rows(spark: SparkSession, path: str, schema: T.StructType | str,
-                  row_tag: str = "row") -> DataFrame:
+                  row_tag: str = "row", timestamp_format: str | None = None) -> DataFrame:
     """SRC-8: XML rows with attributes as ``_Name`` columns (built-in source).
 
     The schema is required: inference with a ``timestampFormat`` that does not
     fit the data turns dates into strings (trap T8).
     """
-    return spark.read.format("xml").option("rowTag", row_tag).schema(schema).load(path)
+    reader = spark.read.format("xml").option("rowTag", row_tag).schema(schema)
+    if timestamp_format:
+        reader = reader.option("timestampFormat", timestamp_format)
+    return reader.load(path)
 
 
 def read_stream(spark: SparkSession, directory: str, schema: T.StructType,
@@ -137,6 +151,17 @@ def summary(df: DataFrame, *statistics: str) -> DataFrame:
     return df.summary(*statistics)
 
 
+def moments(df: DataFrame, columns: list[str]) -> DataFrame:
+    """SNK-5: ``(column_name, count, mean, stddev)`` of numeric columns in one scan.
+
+    The mean is the exact sum over the count; ``stddev`` is the sample's.
+    """
+    aggs = [a for c in columns for a in (F.count(c).alias(f"{c}__count"), exact_mean(c).alias(f"{c}__mean"),
+                                         F.stddev_samp(F.col(c).cast("double")).alias(f"{c}__stddev"))]
+    parts = ", ".join(f"'{c}', `{c}__count`, `{c}__mean`, `{c}__stddev`" for c in columns)
+    return df.agg(*aggs).selectExpr(f"stack({len(columns)}, {parts}) as (column_name, count, mean, stddev)")
+
+
 def profile(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     """SNK-5: per-column profile ``(column_name, count, min, max)`` in one scan.
 

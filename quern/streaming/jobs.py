@@ -267,3 +267,11 @@ def read_state(spark, checkpoint: str, operator_id: int = 0, join_side: str | No
     if join_side:
         reader = reader.option("joinSide", join_side)
     return reader.load(checkpoint)
+
+
+def waiting_ids(state: DataFrame) -> DataFrame:
+    """STR-11: ``(ride_id, side)`` of every slot that waits in the keyed pairing's state."""
+    s = state.select(F.explode(F.arrays_zip(*[F.col(f"value.groupState.{c}").alias(c)
+                                              for c in ("ids", "ride_us", "fare_us")])).alias("w"))
+    return s.select(F.col("w.ids").alias("ride_id"),
+                    F.when(F.col("w.ride_us") != _EMPTY, "ride").otherwise("fare").alias("side"))

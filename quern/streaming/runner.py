@@ -111,17 +111,18 @@ def run_to_table(spark: SparkSession, stream: DataFrame, run: StreamRun,
     on the same checkpoint. With ``timeout_s`` a run that takes longer raises
     ``TimeoutError``; a half-written sink is never returned.
     """
-    _drain(stream, run, output_mode, query_name, timeout_s)
+    drain(stream, run, output_mode, query_name, timeout_s)
     if run.ends:
         for directory, schema, row in run.ends:
             spark.createDataFrame([row], schema).write.mode("append").parquet(directory)
         run.ends.clear()
-        _drain(stream, run, output_mode, query_name, timeout_s)
+        drain(stream, run, output_mode, query_name, timeout_s)
     return spark.read.parquet(run.sink)
 
 
-def _drain(stream: DataFrame, run: StreamRun, output_mode: str, query_name: str | None,
-           timeout_s: int | None) -> None:
+def drain(stream: DataFrame, run: StreamRun, output_mode: str = "append", query_name: str | None = None,
+          timeout_s: int | None = None) -> None:
+    """STR-10: run what is available into the sink; a later call goes on from the checkpoint."""
     q = start_stream(stream, run, output_mode, "parquet", None, query_name)
     try:
         ended = q.awaitTermination(timeout_s) if timeout_s is not None else q.awaitTermination() or True
@@ -132,8 +133,3 @@ def _drain(stream: DataFrame, run: StreamRun, output_mode: str, query_name: str
         raise RuntimeError(f"stream {query_name or ''} failed: {q.exception()}")
     if not ended:
         raise TimeoutError(f"stream {query_name or ''} took more than {timeout_s} s")
-
-
-def as_event_time(df: DataFrame, column: str, out: str = "event_time") -> DataFrame:
-    """Parquet NTZ timestamps → TIMESTAMP (session zone UTC), as watermarks need."""
-    return df.withColumn(out, F.col(column).cast("timestamp"))

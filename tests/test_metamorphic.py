@@ -139,9 +139,13 @@ def test_checked_broadcast_falls_back(spark):
     from quern.operators.joins import checked_broadcast
     small = spark.range(5)
     big = spark.range(50)
-    plan_small = big.join(checked_broadcast(small, 10), "id")._jdf.queryExecution().toString()
+    plan_small = big.join(checked_broadcast(small, 100), "id")._jdf.queryExecution().toString()
     assert "broadcast" in plan_small.lower()
-    assert checked_broadcast(big, 10) is big
+    beyond = small.join(checked_broadcast(big, 100).withColumnRenamed("id", "j"), F.col("id") == F.col("j"))
+    assert "ResolvedHint" not in beyond._jdf.queryExecution().logical().toString()
+    wide = spark.createDataFrame([("x" * 500,)], "s string")       # few rows, many bytes
+    assert checked_broadcast(wide, 100).count() == 1
+    assert "ResolvedHint" not in checked_broadcast(wide, 100)._jdf.queryExecution().analyzed().toString()
 
 
 @pytest.mark.parametrize("spread_deg", [20.0, 150.0])

@@ -135,3 +135,38 @@ def test_keyed_pairing_restarts_under_other_settings(spark, tmp_path):
     got = out.select("ride_id", F.from_json("ride_body", "note string")["note"].alias("r"),
                      F.from_json("fare_body", "note string")["note"].alias("f")).collect()
     assert len(got) == 200 and all(r.r == f"r{r.ride_id}" and r.f == f"f{r.ride_id}" for r in got)
+
+
+def test_grouped_map_reduces_hot_null_and_placed_keys(spark):
+    # UDF-1, UDF-2: one key holds most rows; a user partitioner needs one shuffle only
+    df = spark.createDataFrame([("a", 1)] * 900 + [(None, 1)] * 60 + [("b", 1)] * 40, "k string, v long")
+
+    def total(key, g):
+        return pd.DataFrame({"k": [key[0]], "v": [g["v"].sum()]})
+
+    for partitioner in ("hash", "range", F.when(F.col("k") == "a", 0).otherwise(1)):
+        out = keyed.keyed_map_reduce(df, lambda p: p, "k string, v long", "k", total, "k string, v long",
+                                     num_partitions=3, partitioner=partitioner)
+        assert {r.k: r.v for r in out.collect()} == {"a": 900, None: 60, "b": 40}
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert plan.split("Initial Plan")[-1].count("Exchange") == 1
+
+
+def test_report_and_bikes_come_in_order(spark):
+    # SRT-1, SRT-2
+    from quern.plans import batch
+    rep = [(r.year, r.n_posts, -r["rank"]) for r in batch.top_languages_report(spark, "/root/testdata/sf0.001").collect()]
+    assert rep == sorted(rep, reverse=True) and len({y for y, _, _ in rep}) > 1
+    bikes = [(r.duration, r.bike_id) for r in batch.bikes_by_total(spark, "/root/testdata/sf0.001").collect()]
+    assert bikes == sorted(bikes, reverse=True)
+
+
+def test_readers_take_inference_and_timestamp_format(spark, tmp_path):
+    # SRC-7, SRC-8
+    from quern.sources.readers import read_csv, read_xml_rows
+    (tmp_path / "a.csv").write_text("id,at\n7,31/12/2020 10:05\n")
+    row = read_csv(spark, str(tmp_path / "a.csv"), infer_schema=True, timestamp_format="dd/MM/yyyy HH:mm").first()
+    assert (row.id, row.at) == (7, dt.datetime(2020, 12, 31, 10, 5))
+    (tmp_path / "a.xml").write_text('<rows><row At="31/12/2020 10:05"/></rows>')
+    got = read_xml_rows(spark, str(tmp_path / "a.xml"), "_At timestamp", timestamp_format="dd/MM/yyyy HH:mm").first()
+    assert got[0] == dt.datetime(2020, 12, 31, 10, 5)

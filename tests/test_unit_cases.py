@@ -197,9 +197,10 @@ def test_spread_only_when_scan_has_few_splits(spark):
     from quern.sources.readers import spread
     target = spark.sparkContext.defaultParallelism
     one = spark.range(100).coalesce(1)
-    assert spread(one).rdd.getNumPartitions() == target
-    many = spark.range(100).repartition(target * 2)
-    assert spread(many) is many                       # large inputs pass unchanged
+    assert spread(one) is one                              # off unless asked for
+    assert spread(one, 1).rdd.getNumPartitions() == target
+    some = spark.range(100).repartition(2)
+    assert spread(some, 1) is some                         # a scan of more splits is never moved
 
 
 def test_checkpoint_folder_comes_from_the_session(spark):

@@ -32,11 +32,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from quern.llm.common import prepare, small_side, staged, table
+from quern.llm.common import prepare, scratch_path, small_side, staged, table
 
 FIT_ROWS = 32_768
 TREES, LEAF, SEARCH = 16, 32, 16_000
 QUERY_BLOCK = 4096
+BLOCKS_A_JOB = 16              # further blocks go into a job of their own, so no plan grows with the queries
 MAX_BROADCAST_ROWS = 100_000
 
 
@@ -196,14 +197,23 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 10, id_col: str = "
     forest = fit_forest(rows, **settings)
     n = asked.count() if forest else 0
     shared = spark.sparkContext.broadcast(forest)            # bounded by fit_rows and trees
-    found = spark.createDataFrame([], schema)
+    found, path, waiting = spark.createDataFrame([], schema), None, 0
     blocks = -(-n // block)
     cuts = asked.stat.approxQuantile("vec_id", [i / blocks for i in range(1, blocks)], 0.0) if blocks > 1 else []
     edges = [None, *sorted({int(c) for c in cuts}), None]
     for low, high in zip(edges, edges[1:]) if n else []:
         part = asked.where((F.lit(True) if low is None else F.col("vec_id") > low)
                            & (F.lit(True) if high is None else F.col("vec_id") <= high))
-        found = found.unionByName(_block(rows, part, shared, k, search, schema))
+        found, waiting = found.unionByName(_block(rows, part, shared, k, search, schema)), waiting + 1
+        if waiting == BLOCKS_A_JOB and high is not None:
+            path = path or scratch_path(spark, "nearest")
+            _ranked(found, k).write.mode("append").parquet(path)
+            found, waiting = spark.createDataFrame([], schema), 0
+    out = _ranked(found, k)
+    return out.unionByName(spark.read.schema(out.schema).parquet(path)) if path else out
+
+
+def _ranked(found: DataFrame, k: int) -> DataFrame:
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy("score", "vec_id"))
     return found.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 

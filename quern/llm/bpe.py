@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from quern.llm.common import prepare, table
+from quern.llm.common import prepare, table, unused
 
 # Beyond these characters, case, composition and letter classes follow the library's own tables.
 PLAIN = regex.compile(r"[^\x00-\x1b\x20-\u024f]")
@@ -166,12 +166,13 @@ def token_digests(docs: DataFrame, tokenizer: str, text_col: str = "text") -> Da
 
 def _mapped(docs, tokenizer, text_col, types, ddl, result) -> DataFrame:
     keep = [c for c in docs.columns if c != text_col and c not in types]
+    text = unused(docs, "_text")
 
     def run(batches):
         bpe = load(tokenizer)
         for rb in batches:
             rows = []
-            for t in rb.column("_text"):
+            for t in rb.column(text):
                 ids = bpe.encode(t.as_py())
                 rows.append(result(ids, bpe.decode(ids)))
             cols = list(zip(*rows)) if rows else [()] * len(types)
@@ -181,7 +182,7 @@ def _mapped(docs, tokenizer, text_col, types, ddl, result) -> DataFrame:
 
     kept = docs.select(*[F.col(f"`{c}`") for c in keep]).schema
     schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in kept] + [ddl])
-    return docs.select(*[F.col(f"`{c}`") for c in keep], F.col(text_col).alias("_text")).mapInArrow(run, schema)
+    return docs.select(*[F.col(f"`{c}`") for c in keep], F.col(text_col).alias(text)).mapInArrow(run, schema)
 
 
 def op3_bpe_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -37,6 +37,14 @@ def staged(df: DataFrame, kind: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """``name``, with as many ``_`` after it as it takes to be no column of ``df``."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def small_side(df: DataFrame, rows: int, max_rows: int) -> DataFrame:
     """Hint a broadcast of ``df`` (``rows`` rows of fixed width) if they are few; else Spark shuffles."""
     return F.broadcast(df) if rows <= max_rows else df

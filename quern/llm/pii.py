@@ -26,7 +26,7 @@ import hashlib
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quern.llm.common import prepare, small_side, staged, table
+from quern.llm.common import prepare, small_side, staged, table, unused
 
 KEY = "quern"                              # give a secret one in production
 MAX_BROADCAST_ROWS = 50_000
@@ -260,30 +260,31 @@ def replace_pii(docs: DataFrame, key: str = KEY, count_col: str | None = None) -
     found = staged(each.select(F.explode("u").alias("u")).select("u.*").distinct(), "vault")
     later = staged(collisions(found, key), "attempts")
     n = later.count()
-    rows = docs.withColumn("_th", F.xxhash64("text"))
+    th, own, own_th, m, later_of = (unused(docs, c) for c in ("_th", "_id", "_h", "_m", "_attempts"))
+    rows = docs.withColumn(th, F.xxhash64("text"))
     if n:
         held = each.select("doc_id", "_th", F.explode("u").alias("u")) \
             .select("doc_id", "_th", "u.*").distinct() \
             .join(small_side(later, n, MAX_BROADCAST_ROWS), ["type", "canon"]) \
             .groupBy("doc_id", "_th").agg(F.map_from_entries(F.collect_list(
-                F.struct(F.concat_ws("|", "type", "canon"), "attempt"))).alias("_attempts")) \
-            .select(F.col("doc_id").alias("_id"), F.col("_th").alias("_h"), "_attempts")
+                F.struct(F.concat_ws("|", "type", "canon"), "attempt"))).alias(later_of)) \
+            .select(F.col("doc_id").alias(own), F.col("_th").alias(own_th), later_of)
         held = staged(held, "held")
         held = small_side(held, held.count(), MAX_BROADCAST_ROWS // 10)
-        rows = rows.join(held, rows["doc_id"].eqNullSafe(held["_id"]) & (rows["_th"] == held["_h"]), "left").drop("_id", "_h")
+        rows = rows.join(held, rows["doc_id"].eqNullSafe(held[own]) & (rows[th] == held[own_th]), "left").drop(own, own_th)
     else:
-        rows = rows.withColumn("_attempts", F.lit(None).cast("map<string,int>"))
-    rows = rows.withColumn("_m", entities(F.col("text")))
-    put = replaced(key, parts(key, F.col("_m")), F.col("_attempts"))
+        rows = rows.withColumn(later_of, F.lit(None).cast("map<string,int>"))
+    rows = rows.withColumn(m, entities(F.col("text")))
+    put = replaced(key, parts(key, F.col(m)), F.col(later_of))
     gaps = F.split("text", ENTITY, -1)
-    text = F.when(F.size("_m") > 0, F.array_join(F.zip_with(gaps, put, lambda g, s: F.concat(g, F.coalesce(s, F.lit("")))), "")) \
+    text = F.when(F.size(m) > 0, F.array_join(F.zip_with(gaps, put, lambda g, s: F.concat(g, F.coalesce(s, F.lit("")))), "")) \
         .otherwise(F.col("text"))
     changed = {"text": text}
     rows = rows.withColumn("text", text)
     if "n_chars" in docs.columns:
         changed["n_chars"] = F.length("text").cast(docs.schema["n_chars"].dataType)
-        rows = rows.withColumn("n_chars", F.when(F.size("_m") > 0, changed["n_chars"]).otherwise(F.col("n_chars")))
-    extra = [F.greatest(F.size("_m"), F.lit(0)).alias(count_col)] if count_col else []
+        rows = rows.withColumn("n_chars", F.when(F.size(m) > 0, changed["n_chars"]).otherwise(F.col("n_chars")))
+    extra = [F.greatest(F.size(m), F.lit(0)).alias(count_col)] if count_col else []
     return rows.select(*[F.col(f"`{c}`") for c in docs.columns], *extra)
 
 

@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quern.llm.common import crc32_of_id, prepare, table
+from quern.llm.common import crc32_of_id, prepare, table, unused
 
 SAMPLE = 4000                  # labelled rows that the fit uses at most
 BUCKETS = 1 << 14
@@ -225,4 +225,5 @@ def keep_good(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD)
     """Rows of ``docs`` that the classifier does not reject; all their columns."""
     prepare(docs.sparkSession)
     fm = fit_quality(docs, labels, crc32_of_id("doc_id") % 4 != 2)
-    return add_scores(docs, fm, score="_score").where(F.col("_score") >= threshold).drop("_score")
+    score = unused(docs, "_score")
+    return add_scores(docs, fm, score=score).where(F.col(score) >= threshold).drop(score)

@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quern.llm.common import prepare, staged, table
+from quern.llm.common import prepare, staged, table, unused
 
 SEED = 42
 
@@ -147,6 +147,7 @@ def drop_near_copies(docs: DataFrame, words: int = 3, max_bits: int = 3) -> Data
         .agg(F.min(F.struct(F.col("doc_id").isNull().alias("n"), "doc_id", "text_hash")).alias("k")) \
         .select(F.col("k.doc_id").alias("_id"), F.col("k.text_hash").alias("_th"))
     first = staged(first, "kept").distinct()
-    out = docs.withColumn("_th0", F.xxhash64("text"))
-    kept = out.join(first, out["doc_id"].eqNullSafe(first["_id"]) & (out["_th0"] == first["_th"]), "left_semi")
-    return kept.dropDuplicates(["doc_id", "_th0"]).drop("_th0")
+    th = unused(docs, "_th0")
+    out = docs.withColumn(th, F.xxhash64("text"))
+    kept = out.join(first, out["doc_id"].eqNullSafe(first["_id"]) & (out[th] == first["_th"]), "left_semi")
+    return kept.dropDuplicates(["doc_id", th]).drop(th)

@@ -201,7 +201,9 @@ def test_merkle(spark, odd_docs):
     assert len(cmp.select(merkle.differing_sections("x", "y").alias("d")).first().d) == 1
 
 
-def test_nearest_is_exact_on_small_tables(spark):
+@pytest.mark.parametrize("blocks_a_job", [1, 16])
+def test_nearest_is_exact_on_small_tables(spark, monkeypatch, blocks_a_job):
+    monkeypatch.setattr(ann, "BLOCKS_A_JOB", blocks_a_job)
     r = random.Random(3)
     data = [(i, [r.gauss(0, 1) for _ in range(6)]) for i in range(300)] + [(300 + i, [1.0] * 6) for i in range(60)] + \
         [(7, [0.5] * 6), (400, None), (401, [0.0] * 6), (402, [1.0, 2.0]), (None, [1.0] * 6)]
@@ -217,6 +219,19 @@ def test_nearest_is_exact_on_small_tables(spark):
             assert [s for _, _, s in mine] == pytest.approx([d for d, _ in want])
 
 
+def test_clashing_columns_keep_their_values(odd_docs, labels):
+    docs = odd_docs
+    for name in ("_id", "_h", "_m", "_attempts", "_th0", "_score", "_text", "text_hash", "fp", "size"):
+        docs = docs.withColumn(name, F.concat(F.lit(name), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))))
+    want = {c for c in docs.columns if c != "text"}
+    rows = {(r.doc_id, r._th, r._id, r._h, r._m, r._attempts, r._th0, r._score, r._text, r.fp, r.size) for r in docs.collect()}
+    for out in (quality.keep_good(docs, labels, 0.0), simhash.drop_near_copies(docs), pii.replace_pii(docs),
+                mixing.mix_documents(docs), bpe.token_digests(docs, _word())):
+        assert want <= set(out.columns)
+        got = out.collect()
+        assert got and {(r.doc_id, r._th, r._id, r._h, r._m, r._attempts, r._th0, r._score, r._text, r.fp, r.size) for r in got} <= rows
+
+
 def test_pipeline_runs_its_stages(spark, odd_docs, labels, tmp_path):
     odd_docs.drop("copies", "_th").write.parquet(f"{tmp_path}/documents.parquet")
     labels.write.parquet(f"{tmp_path}/labels.parquet")

@@ -9,11 +9,15 @@ the negative part is estimated from unlabelled text less the positives in it, an
 kept from falling below zero (where the step undoes the over-fit instead); l is the
 sigmoid loss. The
 classifier is linear over the distinct words of a text and their first letters, hashed.
-Only features take part that positives hold significantly more often than negatives do,
-whose rate is corrected by the prior too: (rate_u - pi rate_p) / (1 - pi). Without that
-screen, chance weights of common words add up in long texts.
-
-The fit uses bounded samples (``POSITIVES``, ``UNLABELLED``: smallest id hash). Labels of
+Every feature that positives hold more often than unlabelled texts do takes part, its weight
+shrunk by its evidence: the posterior of a true difference (likelihood ratio of the two rates
+against prior odds of 1 to ``ODDS``) times the part of its positives that is above the rate of
+negatives, which the prior corrects: (rate_u - pi rate_p) / (1 - pi). At full weight, chance
+differences of common words add up in long texts. The rates are counts over all confirmed
+positives and all texts that may be used (one per row), so a rare kind gains evidence as the
+data grow.
+
+The steps draw from bounded samples (``POSITIVES``, ``UNLABELLED``: smallest id hash). Labels of
 held-out rows are never read, nor are held-out texts in the unlabelled sample. The prior
 is the share of toxic among the labels that may be used.
 
@@ -35,11 +39,11 @@ from pyspark.sql import functions as F
 from quern.llm.common import crc32_of_id, prepare, table
 from quern.llm.quality import THRESHOLD, add_scores, labelled_sample
 
-POSITIVES = 2000               # confirmed toxic rows that the fit uses at most
-UNLABELLED = 6000              # unlabelled rows that the fit uses at most
+POSITIVES = 20_000             # confirmed toxic rows that the steps draw from at most
+UNLABELLED = 6000              # unlabelled rows that the steps draw from at most
 BUCKETS = 1 << 18
 STEPS, BATCH, RATE, L1 = 1000, 256, 0.3, 1e-5
-SCREEN = 4.0                   # standard errors by which a feature's rates must differ
+ODDS = 1000.0                  # chance differences to a true one, before the rates are seen
 EDGES = re.compile(r"^\W+|\W+$")
 _WORDS: dict[str, tuple[int, ...]] = {}
 
@@ -64,6 +68,25 @@ def features(text: str | None) -> np.ndarray:
     return np.fromiter(found, np.int32, len(found))
 
 
+def feature_counts(rows: list[np.ndarray]) -> tuple[np.ndarray, int]:
+    """How many rows hold each feature, and how many rows there are."""
+    held = np.concatenate(rows) if rows else np.zeros(0, np.int32)
+    return np.bincount(held, minlength=BUCKETS), len(rows)
+
+
+def evidence(in_p: tuple[np.ndarray, int], in_u: tuple[np.ndarray, int], prior: float, odds: float = ODDS) -> np.ndarray:
+    """Share of its weight that each feature keeps, 0 to 1; ``in_p`` and ``in_u`` are feature counts."""
+    def loglik(k: np.ndarray, n: int, rate: np.ndarray) -> np.ndarray:
+        return k * np.log(np.maximum(rate, 1e-300)) + (n - k) * np.log(np.maximum(1 - rate, 1e-300))
+
+    (kp, n_p), (ku, n_u) = in_p, in_u
+    p, u, both = kp / n_p, ku / n_u, (kp + ku) / (n_p + n_u)
+    ratio = loglik(kp, n_p, p) + loglik(ku, n_u, u) - loglik(kp, n_p, both) - loglik(ku, n_u, both)
+    negative = np.clip((u - prior * p) / (1 - prior), 0, 1)
+    above = np.clip(p - negative, 0, 1) / np.maximum(p, 1e-300)
+    return np.where(p > u, above / (1 + odds * np.exp(-np.clip(ratio, 0, 60))), 0)
+
+
 class PuClassifier:
     """Linear classifier fitted on the non-negative positive-unlabelled risk."""
 
@@ -80,40 +103,42 @@ class PuClassifier:
             out[some] += np.add.reduceat(self.w[np.concatenate([r for r in rows if len(r)])].astype(np.float64), starts)
         return out
 
-    def fit(self, positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float, steps: int = STEPS,
-            batch: int = BATCH, rate: float = RATE, l1: float = L1, screen: float = SCREEN, seed: int = 11) -> None:
+    def fit(self, positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float, counts: tuple | None = None,
+            steps: int = STEPS, batch: int = BATCH, rate: float = RATE, l1: float = L1, seed: int = 11) -> None:
+        """``counts``: feature counts of the positives and of the unlabelled; without them, those of the rows."""
         if not positive or not unlabelled:
             return
         rng = np.random.default_rng(seed)
         self.bias = float(np.log(prior / (1 - prior)))
-        total = np.full(BUCKETS, 1e-8)
-        in_p, in_u = (np.bincount(np.concatenate(x), minlength=BUCKETS) / len(x) for x in (positive, unlabelled))
-        in_n = np.clip((in_u - prior * in_p) / (1 - prior), 0, 1)
-        spread = np.sqrt(in_p * (1 - in_p) / len(positive) + in_u * (1 - in_u) / len(unlabelled) / (1 - prior) ** 2)
-        kept = (in_p - in_n) > screen * spread + 1e-12
-        positive = [r[kept[r]] for r in positive]
-        unlabelled = [r[kept[r]] for r in unlabelled]
+        share = evidence(*(counts or map(feature_counts, (positive, unlabelled))), prior)
+        kept = np.flatnonzero(share)
+        number = np.full(BUCKETS, -1, np.int32)
+        number[kept] = np.arange(len(kept))
+        share, w, total = share[kept], np.zeros(len(kept)), np.full(len(kept), 1e-8)
+        positive, unlabelled = ([x[x >= 0] for x in (number[r] for r in rows)] for rows in (positive, unlabelled))
         gb = 1e-8
         for _ in range(steps):
-            p = [positive[i] for i in rng.integers(0, len(positive), batch)]
-            u = [unlabelled[i] for i in rng.integers(0, len(unlabelled), 2 * batch)]
-            sp, su = (1 / (1 + np.exp(-np.clip(self.margins(x), -30, 30))) for x in (p, u))
+            rows = [positive[i] for i in rng.integers(0, len(positive), batch)] + \
+                [unlabelled[i] for i in rng.integers(0, len(unlabelled), 2 * batch)]
+            idx, of = np.concatenate(rows), np.repeat(np.arange(len(rows)), [len(r) for r in rows])
+            m = self.bias + np.bincount(of, w[idx], minlength=len(rows))
+            score = 1 / (1 + np.exp(-np.clip(m, -30, 30)))
+            sp, su = score[:batch], score[batch:]
             # Sigmoid loss l(g) = sigmoid(-g), bounded, so a few sure positives in u weigh little.
-            dp, du = sp * (1 - sp) / len(p), su * (1 - su) / len(u)
+            dp, du = sp * (1 - sp) / len(sp), su * (1 - su) / len(su)
             if su.mean() - prior * sp.mean() >= 0:
                 gp, gu = -2 * prior * dp, du
             else:
                 gp, gu = prior * dp, -du
-            rows, g = p + u, np.concatenate([gp, gu])
-            idx = np.concatenate(rows)
-            used, back = np.unique(idx, return_inverse=True)
-            d = np.bincount(back, np.repeat(g, [len(r) for r in rows]))
-            total[used] += d * d
-            step = rate / np.sqrt(total[used])
-            w = self.w[used] - step * d
-            self.w[used] = np.sign(w) * np.maximum(np.abs(w) - step * l1, 0)
+            g = np.concatenate([gp, gu])
+            d = np.bincount(idx, g[of], minlength=len(kept))
+            total += d * d
+            step = rate / np.sqrt(total) * share
+            moved = w - step * d
+            w = np.where(d != 0, np.sign(moved) * np.maximum(np.abs(moved) - step * l1, 0), w)
             gb += g.sum() ** 2
             self.bias -= rate * g.sum() / np.sqrt(gb)
+        self.w[kept] = w
 
     def scores(self, texts: list[str | None]) -> np.ndarray:
         m = np.concatenate([self.margins([features(t) for t in texts[k:k + 64]]) for k in range(0, len(texts), 64)]) \
@@ -132,9 +157,27 @@ def _features_of(rows: DataFrame) -> list[np.ndarray]:
     return [np.frombuffer(r["idx"], np.int32) for r in sorted(got, key=lambda r: r["doc_id"])]
 
 
+def _counts_of(rows: DataFrame) -> tuple[np.ndarray, int]:
+    """``feature_counts`` of all rows, added up by Spark; the driver gets one number a feature at most."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, n = np.zeros(BUCKETS + 1, np.int64), 0
+        for rb in batches:
+            for text in rb.column("text").to_pylist():
+                held[features(text)] += 1
+                n += 1
+        held[BUCKETS] = n
+        some = np.flatnonzero(held)
+        yield pa.record_batch([pa.array(some, pa.int64()), pa.array(held[some], pa.int64())], names=["f", "n"])
+
+    got = rows.select("text").mapInArrow(run, "f long, n long").groupBy("f").agg(F.sum("n").alias("n")).toArrow()
+    held = np.zeros(BUCKETS + 1, np.int64)
+    held[got["f"].to_numpy()] = got["n"].to_numpy()
+    return held[:BUCKETS], int(held[BUCKETS])
+
+
 def fit_toxicity(docs: DataFrame, labels: DataFrame, used: Column, positives: int = POSITIVES,
                  unlabelled: int = UNLABELLED) -> PuClassifier:
-    """Classifier from confirmed toxic rows and unlabelled text; only feature numbers reach the driver."""
+    """Classifier from confirmed toxic rows and unlabelled text; only feature numbers and counts reach the driver."""
     known = labels.where(F.col("doc_id").isNotNull() & F.col("toxic").isNotNull() & used)
     n, toxic = known.agg(F.count("*"), F.sum((F.col("toxic") == 1).cast("long"))).first()
     model = PuClassifier()
@@ -144,9 +187,12 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, used: Column, positives: in
     confirmed = labels.where("toxic = 1")
     p = _features_of(labelled_sample(docs, confirmed, "toxic", used, positives))
     # Unlabelled: any text, labels unread. Ids stand in for the labels table.
-    ids = docs.where(F.col("doc_id").isNotNull() & used).select("doc_id", F.lit(0).alias("toxic"))
+    texts = docs.where(F.col("doc_id").isNotNull() & used)
+    ids = texts.select("doc_id", F.lit(0).alias("toxic"))
     u = _features_of(labelled_sample(docs, ids, "toxic", F.lit(True), unlabelled))
-    model.fit(p, u, prior)
+    if p and u:
+        toxic_texts = texts.join(known.where("toxic = 1").select("doc_id").distinct(), "doc_id", "left_semi")
+        model.fit(p, u, prior, (_counts_of(toxic_texts), _counts_of(texts)))
     return model
 
 

@@ -74,6 +74,19 @@ def test_pu_classifier_finds_marker_words():
     assert (s[:20] >= 0.7).all() and (s[20:] < 0.7).all()
 
 
+def test_pu_classifier_keeps_a_rare_kind_of_toxic_text():
+    """Two kinds; the rarer is 4 of 100 positives, too few for four standard errors of its marker's rate."""
+    r = random.Random(6)
+    word = lambda: "w%d" % r.randrange(300)
+    text = lambda *marker: " ".join([word() for _ in range(29)] + list(marker))
+    clean, vile, rare = [text() for _ in range(2000)], [text("vile") for _ in range(308)], [text("rarus") for _ in range(32)]
+    model = toxicity.PuClassifier()
+    model.fit([toxicity.features(t) for t in vile[:288] + rare[:12]],
+              [toxicity.features(t) for t in clean[:1700] + vile[:190] + rare[:8]], 0.1)
+    s = model.scores([*rare[12:], *vile[288:], *clean[1700:]])
+    assert (s[:40] >= 0.7).all() and (s[40:] < 0.7).all()
+
+
 def test_forest_recall_and_route():
     x = np.random.default_rng(2).normal(size=(2000, 16)).astype(np.float32)
     f = ann.Forest(x, 8, 32)

@@ -46,6 +46,13 @@ def test_quality_and_toxicity_on_odd_rows(odd_docs, labels):
     assert quality.keep_good(odd_docs, labels, 0.0).columns == odd_docs.columns
 
 
+def test_toxicity_counts_all_rows(odd_docs):
+    rows = odd_docs.select("text").collect()
+    held, n = toxicity._counts_of(odd_docs)
+    want, m = toxicity.feature_counts([toxicity.features(r.text) for r in rows])
+    assert n == m == 37 and (held == want).all()
+
+
 def test_empty_tables(spark, odd_docs, labels):
     none = odd_docs.where("false")
     assert quality.quality_scores(none, labels.where("false")).count() == 0

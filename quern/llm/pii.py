@@ -226,7 +226,7 @@ def replaced(key: str, found: Column, attempts: Column) -> Column:
         return (F.when(k.isin(*SCRIPTS), F.when((F.length(m) > 1) & (F.upper(m) == m), F.upper(s)).otherwise(F.initcap(s)))
                 .when(k.isin("ssn", "phone", "card"), laid(m, s, r"\d"))
                 .when(k == "iban", laid(m, s, r"\S"))
-                .when(k == "secret", F.concat(F.regexp_extract(m, rf'^(.*?){VALUE}"?$', 1), s, F.regexp_extract(m, r'("?)$', 1)))
+                .when(k == "secret", F.concat(F.regexp_extract(m, rf'(?s)^(.*?){VALUE}"?$', 1), s, F.regexp_extract(m, r'("?)$', 1)))
                 .otherwise(s))
 
     return F.transform(made(hashed(numbered(found))), lambda ps: F.array_join(F.transform(ps, put), ""))

@@ -158,6 +158,13 @@ def test_pii_surrogates(spark):
     assert (sum(digits[::2]) + sum(sum(divmod(2 * d, 10)) for d in digits[1::2])) % 10 == 0
 
 
+def test_pii_secret_on_the_next_line_keeps_its_name(spark):
+    texts = ["a key:\nUnderstanding the plan", "token =\n \n9f14a7029c8514dfe98aba92 end", "secret\n= abcdefghijklmnop"]
+    out = [r.text for r in pii.replace_pii(docs_of(spark, texts), "k").orderBy("doc_id").collect()]
+    for text, got, start, end in zip(texts, out, ("a key:\n", "token =\n \n", "secret\n= "), (" the plan", " end", "")):
+        assert got.startswith(start) and got.endswith(end) and len(got) == len(text) and got != text
+
+
 def test_pii_collisions_are_resolved(spark, monkeypatch):
     few = lambda key, k, c, h, attempt: F.substring(h, 1, 1)  # noqa: E731  16 surrogates only
     monkeypatch.setattr(pii, "surrogate", few)

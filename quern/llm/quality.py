@@ -12,7 +12,8 @@ rows with the smallest id hash. Scoring reads every whole text.
 
 Defined results: a null text is the empty text and is scored by its statistics. Labels
 that are null or have no doc_id are not used; several labels of a doc_id count as the
-largest. Without any label every score is 0.5. Repeated rows score alike.
+largest. Without any usable label every score is 0.5, and ``keep_good`` keeps every row, as
+nothing is known against any. Repeated rows score alike.
 """
 
 from __future__ import annotations
@@ -103,6 +104,7 @@ class FactorisationMachine:
         self.w = np.zeros(size, np.float32)
         self.v = np.random.default_rng(seed).normal(0, 0.01, (size, factors)).astype(np.float32)
         self.shift, self.scale = np.zeros(STATS, np.float32), np.ones(STATS, np.float32)
+        self.fitted = False
 
     def margin(self, idx, val, starts):
         vx = self.v[idx] * val[:, None]
@@ -122,6 +124,7 @@ class FactorisationMachine:
             batch: int = 64, rate: float = 0.05, decay: float = 1e-5, seed: int = 7) -> None:
         if not len(y):
             return
+        self.fitted = True
         stats = np.stack([v[-STATS:] for _, v in rows])
         self.shift, self.scale = stats.mean(axis=0), stats.std(axis=0) + 1e-3
         rows = [(i, self.scaled(i, v)) for i, v in rows]
@@ -222,8 +225,10 @@ def op1_quality_fm(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """Rows of ``docs`` that the classifier does not reject; all their columns."""
+    """Rows of ``docs`` that the classifier does not reject (without any usable label: all); all their columns."""
     prepare(docs.sparkSession)
     fm = fit_quality(docs, labels, crc32_of_id("doc_id") % 4 != 2)
+    if not fm.fitted:
+        return docs
     score = unused(docs, "_score")
     return add_scores(docs, fm, score=score).where(F.col(score) >= threshold).drop(score)

@@ -71,6 +71,12 @@ def test_empty_tables(spark, odd_docs, labels):
     assert ann.nearest(vectors, vectors).count() == 0
 
 
+def test_documents_without_usable_labels_are_kept(odd_docs, labels):
+    want = Counter(map(tuple, odd_docs.collect()))
+    for unusable in (labels.where("false"), labels.where("doc_id is null"), labels.withColumn("quality", F.lit(None).cast("int"))):
+        assert Counter(map(tuple, quality.keep_good(odd_docs, unusable).collect())) == want
+
+
 def _word():
     import public_tokenizers
     return public_tokenizers.path("word_bpe_49k.json")

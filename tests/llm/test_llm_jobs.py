@@ -239,6 +239,19 @@ def test_nearest_is_exact_on_small_tables(spark, monkeypatch, blocks_a_job):
             assert [s for _, _, s in mine] == pytest.approx([d for d, _ in want])
 
 
+def test_query_blocks_are_cut_without_an_exact_quantile(spark, monkeypatch):
+    errors, sizes = [], []
+    frame, block = type(spark.range(1)), ann._block
+    exact = frame.approxQuantile
+    monkeypatch.setattr(frame, "approxQuantile", lambda self, c, p, e: errors.append((len(p) + 1, e)) or exact(self, c, p, e))
+    monkeypatch.setattr(ann, "_block", lambda rows, part, *a: sizes.append(part.count()) or block(rows, part, *a))
+    r = random.Random(8)
+    vectors = spark.createDataFrame([(i * i, [r.gauss(0, 1) for _ in range(4)]) for i in range(200)], "vec_id long, embedding array<double>")
+    assert ann.nearest(vectors, vectors, k=1, block=50).count() == 200
+    assert len(errors) == 1 and all(0 < e <= 0.1 / blocks for blocks, e in errors)
+    assert sum(sizes) == 200 and max(sizes) <= 56
+
+
 def test_clashing_columns_keep_their_values(odd_docs, labels):
     docs = odd_docs
     for name in ("_id", "_h", "_m", "_attempts", "_th0", "_score", "_text", "text_hash", "fp", "size"):

@@ -54,7 +54,13 @@ HEX = "0123456789abcdef"
 
 # Patterns. Each begins where no letter or digit stands before.
 OCTET = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
-NAME = r" \p{Lu}[\p{L}'’\-]++"
+# A name after one white space: initials and particles before a capitalised word, or an initial alone.
+GAP = r"(?:\r\n|[\s\u00a0])"
+INITIAL = r"(?:\p{Lu}\.)++"
+BEFORE = rf"(?:{INITIAL}{GAP}?){{0,3}}(?:(?:van|von|der|den|de|del|della|di|da|dos|du|la|le|zu|zur|ten|ter|bin|ibn|al|el){GAP}){{0,3}}"
+NAME = rf"{GAP}(?:{BEFORE}\p{{Lu}}[\p{{L}}\p{{M}}'’\-]++|{INITIAL})"
+CAPITALS = rf"{GAP}(?:{BEFORE}\p{{Lu}}[\p{{Lu}}'’\-]++(?!\p{{Ll}})|{INITIAL})"
+UNCASED = rf"{GAP}\p{{Lo}}[\p{{Lo}}\p{{M}}]*+"
 EMAIL = r"[\p{L}\p{N}][\p{L}\p{N}._%+\-]*+@[A-Za-z0-9](?:[A-Za-z0-9\-]*[A-Za-z0-9])?(?:\.[A-Za-z0-9\-]+)*\.[A-Za-z]{2,}"
 IP = rf"(?<!\d\.)(?:{OCTET}\.){{3}}{OCTET}(?!\d|\.\d)"
 SSN = r"\d{3}-\d{2}-\d{4}(?!\d)"
@@ -65,9 +71,11 @@ IBAN = r"[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?\d{1,3})?(?![A-Za-z0-9])"
 VALUE = r"[A-Za-z0-9+/_\-]{12,}"
 SECRET = (r"AKIA[0-9A-Z]{16}(?![0-9A-Za-z])"
           rf"|(?i:token|secret|password|passwd|api[_\-]?key|access[_\-]?key|key)\s{{0,3}}[=:]\s{{0,3}}\"?{VALUE}\"?")
-PERSON = rf"(?:{'|'.join(TITLES)})\.?(?:{NAME}){{1,3}}|(?:{'|'.join(n for g in GIVEN for n in g)})(?:{NAME}){{1,2}}"
+PERSON = (rf"(?:{'|'.join(TITLES)})\.?(?:{NAME}|{UNCASED}){{1,3}}|(?:{'|'.join(n for g in GIVEN for n in g)})(?:{NAME}){{1,2}}"
+          rf"|(?:{'|'.join(t.upper() for t in TITLES)})\.?(?:{CAPITALS}){{1,3}}"
+          rf"|(?:{'|'.join(n.upper() for g in GIVEN for n in g)})(?:{CAPITALS}){{1,2}}")
 ENTITY = rf"(?<![\p{{L}}\p{{N}}])(?:{'|'.join((IP, SSN, PHONE, CARD, IBAN, SECRET, EMAIL, PERSON))})"
-TOKEN = r"[\p{L}'’\-]+|[^\p{L}'’\-]+"
+TOKEN = r"[\p{L}\p{M}'’\-]+|[^\p{L}\p{M}'’\-]+"
 
 
 def entities(text: Column) -> Column:
@@ -116,7 +124,7 @@ def given_names(key: str) -> dict[str, str]:
 def is_name(token: Column) -> Column:
     """A person's token that becomes a made name: neither title nor given name."""
     known = [*TITLES, *(n for g in GIVEN for n in g)]
-    return token.rlike(r"^\p{Lu}") & ~token.isin(*known)
+    return token.rlike(r"^[\p{Lu}\p{Lo}]") & ~token.isin(*known, *(n.upper() for n in known))
 
 
 def parts(key: str, found: Column) -> Column:
@@ -125,7 +133,7 @@ def parts(key: str, found: Column) -> Column:
     An entity is one part, but for persons: there every name is one, and given names
     (already replaced), titles and blanks are parts of type ``text``.
     """
-    given = F.create_map(*[F.lit(x) for pair in given_names(key).items() for x in pair])
+    given = F.create_map(*[F.lit(x) for n, m in given_names(key).items() for x in (n, m, n.upper(), m.upper())])
 
     def token(t: Column) -> Column:
         made = is_name(t)
@@ -223,7 +231,8 @@ def replaced(key: str, found: Column, attempts: Column) -> Column:
 
     def put(e: Column) -> Column:
         m, k, s = e["m"], e["k"], e["s"]
-        return (F.when(k.isin(*SCRIPTS), F.when((F.length(m) > 1) & (F.upper(m) == m), F.upper(s)).otherwise(F.initcap(s)))
+        return (F.when(k.isin(*SCRIPTS), F.when(m.rlike(r"^\p{Lu}$"), F.upper(F.substring(s, 1, 1)))
+                        .when(m.rlike(r"\p{Lu}") & (F.upper(m) == m), F.upper(s)).otherwise(F.initcap(s)))
                 .when(k.isin("ssn", "phone", "card"), laid(m, s, r"\d"))
                 .when(k == "iban", laid(m, s, r"\S"))
                 .when(k == "secret", F.concat(F.regexp_extract(m, rf'(?s)^(.*?){VALUE}"?$', 1), s, F.regexp_extract(m, r'("?)$', 1)))

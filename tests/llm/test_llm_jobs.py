@@ -171,6 +171,19 @@ def test_pii_secret_on_the_next_line_keeps_its_name(spark):
         assert got.startswith(start) and got.endswith(end) and len(got) == len(text) and got != text
 
 
+def test_pii_names_in_other_forms(spark):
+    texts = ["so John F. Kennedy said", "so Dr J. Smith said", "so Mr van Dyke said", "so JOHN SMITH said", "so John\nSmith said",
+             "so Mr. 王伟 said", "so Dr Ludwig van Beethoven said", "so MR SMITH said", "so John Smith said", "so john smith said"]
+    hidden = ["Kennedy", "Smith", "Dyke", "SMITH", "Smith", "王", "Beethoven", "SMITH", "Smith", None]
+    rows = pii.replace_pii(docs_of(spark, texts), "k", "n").orderBy("doc_id").collect()
+    for text, name, r in zip(texts, hidden, rows):
+        assert r.n == (1 if name else 0) and (name is None or name not in r.text), (text, r.text)
+        assert r.text.startswith("so ") and r.text.endswith(" said")
+    assert " van " in rows[2].text and " van " in rows[6].text and "." in rows[0].text
+    surname = rows[8].text.split()[2]
+    assert surname in rows[4].text and surname.upper() in rows[3].text and surname.upper() in rows[7].text
+
+
 def test_pii_collisions_are_resolved(spark, monkeypatch):
     few = lambda key, k, c, h, attempt: F.substring(h, 1, 1)  # noqa: E731  16 surrogates only
     monkeypatch.setattr(pii, "surrogate", few)

@@ -20,17 +20,23 @@ columns of the items are kept; ``pack_best_fit`` replaces ``sequence_id`` and ``
 
 from __future__ import annotations
 
+import json
+import os
+import string
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
+import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from tokenizers import Tokenizer
+from tokenizers import Tokenizer, normalizers, pre_tokenizers
 
 from quern.llm.bpe import PLAIN
 from quern.llm.common import prepare, staged, table, unused
+from quern.llm.wordwise import batched, ids_of_lists, runs
 
 CAPACITY = 2048
 LOCAL_ITEMS = 8192
@@ -38,17 +44,20 @@ FAN_IN = 16
 CARRIED = 512
 SLACK = 1 / 128
 CACHE_CHUNKS = 400_000           # distinct chunks in the newer half of a Python worker's cache
-DOCS_AT_ONCE = 200
+DOCS_AT_ONCE = 1000
+CHUNKS_AT_ONCE = 200
+MARKS = "".join(c for c in string.punctuation if c != "'")     # a run of these at a word's end is a word of its own
 
 
 # --- tokens -----------------------------------------------------------------------------
 class ChunkEncoder:
     """Ids of whole texts by the library, each distinct run between white space encoded once.
 
-    Where the vocabulary's ids of two words are those of each word (white space is dropped),
-    a text is lower-cased, cut at white space and looked up; unknown runs go to the library
-    in one call. Texts with characters outside the plain range or with a special token's
-    opening, and all texts of other vocabularies, are encoded whole.
+    Where the vocabulary drops white space and marks word ends, a text is lower-cased, cut at
+    white space and looked up, a block's distinct runs at a time. Unknown runs are parted into words
+    by the vocabulary's own pattern and go to its merges many to a text; as many word ends as a
+    run has words close its ids. Texts with characters outside the plain range or with a
+    special token's string, and all texts of other vocabularies, are encoded whole.
     """
 
     def __init__(self, path: str):
@@ -56,8 +65,23 @@ class ChunkEncoder:
         self.library.no_truncation()
         self.library.no_padding()
         self.special = [t.content for t in self.library.get_added_tokens_decoder().values()]
+        with open(path, encoding="utf-8") as f:
+            spec = json.load(f)
+        end = spec["model"].get("end_of_word_suffix")
         a, b, both, upper = self.ids(["abc", "de", "abc de", "ABC"])
-        self.by_chunk = both == a + b and upper == a
+        layers = [p["type"] for p in (spec["pre_tokenizer"] or {}).get("pretokenizers", [])]
+        self.by_chunk = bool(end) and layers == ["Split", "ByteLevel"] and both == a + b and upper == a
+        if self.by_chunk:
+            vocabulary = self.library.get_vocab()
+            self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+            self.ends[[i for t, i in vocabulary.items() if t.endswith(end)]] = True
+            self.word = regex.compile(next(p["pattern"]["Regex"] for p in spec["pre_tokenizer"]["pretokenizers"]
+                                           if p["type"] == "Split"))
+            # For words that are lower-cased, composed and parted by blanks already.
+            self.words_only = Tokenizer.from_str(self.library.to_str())
+            self.words_only.normalizer = normalizers.Sequence([])
+            self.words_only.pre_tokenizer = pre_tokenizers.Sequence(
+                [pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
         self.known: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
 
@@ -65,37 +89,61 @@ class ChunkEncoder:
         return [np.array(e.ids, "<u4").tobytes()
                 for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
 
+    def ids_of_chunks(self, chunks: list[str]) -> list[bytes]:
+        """Ids of runs without white space, ``CHUNKS_AT_ONCE`` to a text."""
+        out: list[bytes] = []
+        spaced, counts = [], []
+        for c in chunks:
+            if c.isalpha():
+                spaced.append(c)
+                counts.append(1)
+            elif (stem := c.rstrip(MARKS)).isalpha():
+                spaced.append(f"{stem} {c[len(stem):]}")
+                counts.append(2)
+            else:
+                words = self.word.findall(c)
+                spaced.append(" ".join(words))
+                counts.append(len(words))
+        texts = [" ".join(spaced[k:k + CHUNKS_AT_ONCE]) for k in range(0, len(spaced), CHUNKS_AT_ONCE)]
+        for k, text_ids in zip(range(0, len(chunks), CHUNKS_AT_ONCE), batched(self.words_only, texts)):
+            ids = np.array(text_ids, "<u4")
+            ends = np.flatnonzero(self.ends[ids]) + 1
+            last = np.cumsum(counts[k:k + CHUNKS_AT_ONCE]) - 1
+            if len(ends) == last[-1] + 1:
+                cuts, data = (4 * ends[last]).tolist(), ids.tobytes()
+                out += [data[i:j] for i, j in zip([0, *cuts], cuts)]
+            else:
+                out += self.ids(chunks[k:k + CHUNKS_AT_ONCE])
+        return out
+
     def look_up(self, chunks: list[str]) -> list[bytes]:
-        got = list(map(self.known.get, chunks))
-        if None in got:
-            gaps = [i for i, g in enumerate(got) if g is None]
-            ids = {chunks[i]: self.older.get(chunks[i]) for i in gaps}
-            new = [c for c, g in ids.items() if g is None]
-            ids.update(zip(new, self.ids(new)))
-            if len(self.known) + len(ids) > CACHE_CHUNKS:
+        """Ids of a block's distinct runs."""
+        known, older = self.known.get, self.older.get
+        got = [b"" if not c else known(c) for c in chunks]
+        new = []
+        for i in [i for i, g in enumerate(got) if g is None]:
+            if (g := older(chunks[i])) is None:
+                new.append(i)
+            else:
+                got[i] = self.known[chunks[i]] = g
+        if new:
+            for i, g in zip(new, self.ids_of_chunks([chunks[i] for i in new])):
+                got[i] = g
+                if len(g) <= 256:
+                    self.known[chunks[i]] = g
+            if len(self.known) > CACHE_CHUNKS:
                 self.older, self.known = self.known, {}
-            self.known.update((c, g) for c, g in ids.items() if len(c) <= 64)
-            for i in gaps:
-                got[i] = ids[chunks[i]]
         return got
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        out: list[bytes | None] = [None] * len(texts)
-        plain = [self.by_chunk and not PLAIN.search(t) and not any(s in t for s in self.special) for t in texts]
-        whole = [i for i, p in enumerate(plain) if not p]
-        for i, ids in zip(whole, self.ids([texts[i] for i in whole])):
-            out[i] = ids
-        chunks: list[str] = []
-        ends = []
-        for t, p in zip(texts, plain):
-            if p:
-                chunks += t.lower().split()
-            ends.append(len(chunks))
-        got, at = self.look_up(chunks), 0
-        for i, end in enumerate(ends):
-            if plain[i]:
-                out[i] = b"".join(got[at:end])
-            at = end
+        out: list[bytes] = []
+        for start, end in runs(texts):
+            some = texts[start:end]
+            plain = [self.by_chunk and not PLAIN.search(t) and not any(s in t for s in self.special) for t in some]
+            whole = iter(self.ids([t for t, p in zip(some, plain) if not p]))
+            chunks = pc.utf8_split_whitespace(pa.array([t.lower() for t, p in zip(some, plain) if p], pa.large_string()))
+            parts = iter(ids_of_lists(chunks, self.look_up))
+            out += [next(parts if p else whole) for p in plain]
         return out
 
 
@@ -105,6 +153,7 @@ _LOADED: dict[str, ChunkEncoder] = {}
 def load(path: str) -> ChunkEncoder:
     """The encoder of a file, kept per Python worker."""
     if path not in _LOADED:
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")    # a task has one core
         _LOADED[path] = ChunkEncoder(path)
     return _LOADED[path]
 

@@ -38,10 +38,12 @@ from pyspark.sql import functions as F
 
 from quern.llm.common import crc32_of_id, prepare, table
 from quern.llm.quality import THRESHOLD, add_scores, labelled_sample
+from quern.operators.joins import BROADCAST_BYTES, value_bytes
 
 POSITIVES = 20_000             # confirmed toxic rows that the steps draw from at most
 UNLABELLED = 6000              # unlabelled rows that the steps draw from at most
 BUCKETS = 1 << 18
+ID_BITS = 1 << 26              # bitmap of confirmed ids, where they are too many to broadcast: 16 MB
 STEPS, BATCH, RATE, L1 = 1000, 256, 0.3, 1e-5
 ODDS = 1000.0                  # chance differences to a true one, before the rates are seen
 EDGES = re.compile(r"^\W+|\W+$")
@@ -157,28 +159,61 @@ def _features_of(rows: DataFrame) -> list[np.ndarray]:
     return [np.frombuffer(r["idx"], np.int32) for r in sorted(got, key=lambda r: r["doc_id"])]
 
 
-def _counts_of(rows: DataFrame) -> tuple[np.ndarray, int]:
-    """``feature_counts`` of all rows, added up by Spark; the driver gets one number a feature at most."""
+def _counts_by(rows: DataFrame, flag: Column) -> tuple[tuple[np.ndarray, int], tuple[np.ndarray, int]]:
+    """``feature_counts`` of all rows and of the flagged ones in one pass, added up by Spark;
+    the driver gets two numbers a feature at most."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, n = np.zeros(BUCKETS + 1, np.int64), 0
+        held = np.zeros((2, BUCKETS + 1), np.int64)
         for rb in batches:
-            for text in rb.column("text").to_pylist():
-                held[features(text)] += 1
-                n += 1
-        held[BUCKETS] = n
-        some = np.flatnonzero(held)
-        yield pa.record_batch([pa.array(some, pa.int64()), pa.array(held[some], pa.int64())], names=["f", "n"])
+            for text, flagged in zip(rb.column("text").to_pylist(), rb.column("flag").to_pylist()):
+                idx = features(text)
+                for h in held[:2 if flagged else 1]:
+                    h[idx] += 1
+                    h[BUCKETS] += 1
+        some = np.flatnonzero(held[0])
+        yield pa.record_batch([pa.array(some, pa.int64()), pa.array(held[0, some]), pa.array(held[1, some])],
+                              names=["f", "n", "flagged"])
+
+    got = rows.select("text", flag.alias("flag")).mapInArrow(run, "f long, n long, flagged long") \
+        .groupBy("f").agg(F.sum("n").alias("n"), F.sum("flagged").alias("flagged")).toArrow()
+    held = np.zeros((2, BUCKETS + 1), np.int64)
+    for h, c in zip(held, ("n", "flagged")):
+        h[got["f"].to_numpy()] = got[c].to_numpy()
+    return (held[0, :BUCKETS], int(held[0, BUCKETS])), (held[1, :BUCKETS], int(held[1, BUCKETS]))
+
+
+def _counts_of(rows: DataFrame) -> tuple[np.ndarray, int]:
+    """``feature_counts`` of all rows."""
+    return _counts_by(rows, F.lit(False))[0]
+
+
+def rows_with_ids(texts: DataFrame, ids: DataFrame, bits: int = ID_BITS) -> DataFrame:
+    """Rows of ``texts`` whose doc_id is in ``ids``; only rows that pass a bitmap of the ids' hashes are shuffled.
+
+    The bitmap is broadcast: ``bits / 64`` rows at most, whatever the number of ids. Its false
+    hits go out in the exact join behind it.
+    """
+    place = F.pmod(F.xxhash64("doc_id"), F.lit(bits))
+    word, bit = F.floor(place / 64), F.call_function("shiftleft", F.lit(1).cast("long"), (place % 64).cast("int"))
+    bitmap = ids.select(word.alias("_word"), bit.alias("_bit")).groupBy("_word").agg(F.bit_or("_bit").alias("_set"))
+    some = texts.join(F.broadcast(bitmap), (word == F.col("_word")) & (F.col("_set").bitwiseAND(bit) != 0)).drop("_word", "_set")
+    return some.join(ids.select("doc_id").distinct().hint("shuffle_merge"), "doc_id", "left_semi")
+
 
-    got = rows.select("text").mapInArrow(run, "f long, n long").groupBy("f").agg(F.sum("n").alias("n")).toArrow()
-    held = np.zeros(BUCKETS + 1, np.int64)
-    held[got["f"].to_numpy()] = got["n"].to_numpy()
-    return held[:BUCKETS], int(held[BUCKETS])
+def group_counts(texts: DataFrame, ids: DataFrame, small: bool) -> tuple[tuple[np.ndarray, int], tuple[np.ndarray, int]]:
+    """Feature counts of the texts whose doc_id is in ``ids``, and of all; no text outside ``ids`` is shuffled."""
+    if not small:
+        return _counts_of(rows_with_ids(texts, ids)), _counts_of(texts)
+    marked = ids.select("doc_id").distinct().withColumn("flag", F.lit(True))
+    every, of_ids = _counts_by(texts.select("doc_id", "text").join(F.broadcast(marked), "doc_id", "left"), F.coalesce("flag", F.lit(False)))
+    return of_ids, every
 
 
 def fit_toxicity(docs: DataFrame, labels: DataFrame, used: Column, positives: int = POSITIVES,
                  unlabelled: int = UNLABELLED) -> PuClassifier:
     """Classifier from confirmed toxic rows and unlabelled text; only feature numbers and counts reach the driver."""
     known = labels.where(F.col("doc_id").isNotNull() & F.col("toxic").isNotNull() & used)
+    ids = known.where("toxic = 1").select("doc_id")
     n, toxic = known.agg(F.count("*"), F.sum((F.col("toxic") == 1).cast("long"))).first()
     model = PuClassifier()
     if not toxic:
@@ -188,11 +223,11 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, used: Column, positives: in
     p = _features_of(labelled_sample(docs, confirmed, "toxic", used, positives))
     # Unlabelled: any text, labels unread. Ids stand in for the labels table.
     texts = docs.where(F.col("doc_id").isNotNull() & used)
-    ids = texts.select("doc_id", F.lit(0).alias("toxic"))
-    u = _features_of(labelled_sample(docs, ids, "toxic", F.lit(True), unlabelled))
+    every = texts.select("doc_id", F.lit(0).alias("toxic"))
+    u = _features_of(labelled_sample(docs, every, "toxic", F.lit(True), unlabelled))
     if p and u:
-        toxic_texts = texts.join(known.where("toxic = 1").select("doc_id").distinct(), "doc_id", "left_semi")
-        model.fit(p, u, prior, (_counts_of(toxic_texts), _counts_of(texts)))
+        size = ids.agg(F.sum(value_bytes(ids))).first()[0]
+        model.fit(p, u, prior, group_counts(texts, ids, size <= BROADCAST_BYTES))
     return model
 
 

@@ -53,6 +53,18 @@ def test_toxicity_counts_all_rows(odd_docs):
     assert n == m == 37 and (held == want).all()
 
 
+def test_toxicity_counts_of_confirmed_rows_in_both_forms(spark, odd_docs):
+    # a repeated id, one without a text row, and many ids for a small bitmap
+    ids = spark.createDataFrame([(5,), (5,), (8,), (20,), (9_999,)] + [(i,) for i in range(50_000, 50_600)], "doc_id long")
+    rows = [r.text for r in odd_docs.select("doc_id", "text").collect() if r.doc_id in (5, 8, 20)]
+    want = toxicity.feature_counts([toxicity.features(t) for t in rows])
+    for small in (True, False):
+        (held, n), (_, every) = toxicity.group_counts(odd_docs, ids, small)
+        assert (n, every) == (len(rows), 37) and (held == want[0]).all()
+    got = toxicity.rows_with_ids(odd_docs, ids, bits=128)
+    assert sorted(r.doc_id for r in got.collect()) == [5, 5, 8, 20] and got.columns == odd_docs.columns
+
+
 def test_empty_tables(spark, odd_docs, labels):
     none = odd_docs.where("false")
     assert quality.quality_scores(none, labels.where("false")).count() == 0

@@ -15,6 +15,7 @@ stored once each, side by side. An empty table gives no file and no row.
 
 from __future__ import annotations
 
+import os
 import re
 import struct
 import zlib
@@ -22,16 +23,20 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from tokenizers import Tokenizer
+from tokenizers import Tokenizer, pre_tokenizers
 
 from quern.llm.common import TempFile, commit, file_rows, open_fs, prepare, read_manifest, scratch_path, table
+from quern.llm.wordwise import batched, ids_of_lists, runs
 
 MAGIC = b"QTOK1\0"
 BLOCK_IDS = 1 << 16
 FILE_IDS = 1 << 26                 # ids after which a task begins its next file
-CACHE_WORDS = 1_000_000          # distinct words a Python worker keeps: about 200 MB
+CACHE_WORDS = 500_000            # distinct words in the newer half of a worker's cache: about 100 MB a half
+WORDS_AT_ONCE = 200
+BLANK_MARKS = "ĠĊ"               # fixed values: how byte-level vocabularies write a blank and a line feed
 
 
 # --- bit packing ------------------------------------------------------------------------
@@ -144,7 +149,8 @@ class ByteEncoder:
     two characters that are not white space, nor across such a line feed. So a text
     without two adjacent white-space characters is cut there, and the pieces' ids
     (kept per worker) are concatenated. Other texts, and texts that hold a special
-    token's string, are encoded whole.
+    token's string, are encoded whole. New words go to the library many to a text, as a
+    token that starts with the mark of a blank or a line feed starts the next word.
     """
 
     def __init__(self, path: str):
@@ -153,49 +159,79 @@ class ByteEncoder:
         self.library.no_padding()
         self.special = [t.content for t in self.library.get_added_tokens_decoder().values()]
         self.known: dict[str, bytes] = {}                   # ids of " word", and of "\nword"
+        self.older: dict[str, bytes] = {}                   # those learnt before, looked up in turn
+        vocabulary = self.library.get_vocab()
+        self.begins = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.begins[[i for t, i in vocabulary.items() if t[:1] in BLANK_MARKS]] = True
+        # Runs of letters with a blank before them are words of the library's pattern already.
+        self.letters = Tokenizer.from_str(self.library.to_str())
+        self.letters.pre_tokenizer = pre_tokenizers.Sequence(
+            [pre_tokenizers.Split(" ", "merged_with_next"), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
         self.marks = dict(zip(".,;:", self.ids(list(".,;:"))))
 
     def ids(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, "<u4").tobytes()
                 for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
 
+    def ids_of_words(self, words: list[str]) -> list[bytes]:
+        """Ids of words with the blank or line feed before each, ``WORDS_AT_ONCE`` to a text."""
+        letters = [w for w in words if w.isalpha()]
+        other = [w for w in words if not w.isalpha()]
+        ids = dict(zip(letters, self._joined(self.letters, [" " + w for w in letters])))
+        # White space at a word's end would meet the next word's.
+        last = [w for w in other if not w or w[-1].isspace()]
+        ids.update(zip(last, self.ids([w if w[:1] == "\n" else " " + w for w in last])))
+        other = [w for w in other if w not in ids]
+        ids.update(zip(other, self._joined(self.library, [w if w[:1] == "\n" else " " + w for w in other])))
+        return [ids[w] for w in words]
+
+    def _joined(self, library: Tokenizer, words: list[str]) -> Iterator[bytes]:
+        texts = ["".join(words[k:k + WORDS_AT_ONCE]) for k in range(0, len(words), WORDS_AT_ONCE)]
+        for k, text_ids in zip(range(0, len(words), WORDS_AT_ONCE), batched(library, texts)):
+            some, ids = words[k:k + WORDS_AT_ONCE], np.array(text_ids, "<u4")
+            cuts = (4 * np.flatnonzero(self.begins[ids])).tolist()
+            data = ids.tobytes()
+            yield from (data[i:j] for i, j in zip(cuts, [*cuts[1:], None])) if len(cuts) == len(some) else self.ids(some)
+
     def _look_up(self, words: list[str]) -> list[bytes]:
-        known = self.known
-        got = list(map(known.get, words))
-        if None in got:
-            gaps = [i for i, g in enumerate(got) if g is None]
-            new = {words[i] for i in gaps}
-            # A mark after a letter is a token of its own, so the word before it is learnt once.
-            marked = [w for w in new if w[-1:] in self.marks and w[-2:-1].isalpha()]
-            ids = {c: known.get(c) for c in (w[:-1] for w in marked)}
-            bare = list({c for c, g in ids.items() if g is None} | new.difference(marked))
-            ids.update(zip(bare, self.ids([w if w[:1] == "\n" else " " + w for w in bare])))
-            ids.update((w, ids[w[:-1]] + self.marks[w[-1]]) for w in marked)
-            if len(known) + len(ids) > CACHE_WORDS:
-                known.clear()
-            known.update(ids)
-            for i in gaps:
-                got[i] = ids[words[i]]
-        return got
+        """Ids of distinct words, each with the blank or line feed before it."""
+        known, older = self.known.get, self.older.get
+        got = list(map(known, words))
+        ids: dict[str, bytes | None] = {}
+        marked = []
+        for i in [i for i, g in enumerate(got) if g is None]:
+            w = words[i]
+            if (g := older(w)) is None and w[-1:] in self.marks and w[-2:-1].isalpha():
+                # A mark after a letter is a token of its own, so the word before it is learnt once.
+                marked.append(w)
+                w = w[:-1]
+                g = known(w) or older(w)
+            ids[w] = g or ids.get(w)
+        bare = [w for w, g in ids.items() if g is None]
+        ids.update(zip(bare, self.ids_of_words(bare)))
+        ids.update((w, ids[w[:-1]] + self.marks[w[-1]]) for w in marked)
+        if len(self.known) + len(ids) > CACHE_WORDS:
+            self.older, self.known = self.known, {}
+        self.known.update(ids)
+        return [ids[w] if g is None else g for w, g in zip(words, got)]
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        out: list[bytes | None] = [None] * len(texts)
-        cut, whole = [], []
-        for i, t in enumerate(texts):
-            (whole if ADJACENT.search(t) or any(s in t for s in self.special) else cut).append(i)
-        for i, ids in zip(whole, self.ids([texts[i] for i in whole])):
-            out[i] = ids
-        words: list[str] = []
-        first, ends = [], []
-        for i in cut:
-            doc = texts[i].replace("\n", " \n").split(" ")
-            first.append(doc[0])
-            words += doc[1:]
-            ends.append(len(words))
-        got, at = self._look_up(words), 0
-        for i, head, end in zip(cut, self.ids(first), ends):
-            out[i] = head + b"".join(got[at:end])
-            at = end
+        out: list[bytes] = []
+        for start, end in runs(texts):
+            some = texts[start:end]
+            whole = [bool(ADJACENT.search(t)) or any(s in t for s in self.special) for t in some]
+            cut = pa.array([t for t, w in zip(some, whole) if not w], pa.large_string())
+            rest = pc.split_pattern(pc.replace_substring(cut, "\n", " \n"), " ")
+            # The first word of a text has no blank before it.
+            heads = rest.offsets.to_numpy()[:-1]
+            flat = rest.flatten()
+            first = self.ids(flat.take(pa.array(heads)).to_pylist())
+            kept = np.ones(len(flat), bool)
+            kept[heads] = False
+            lists = pa.LargeListArray.from_arrays(pa.array(rest.offsets.to_numpy() - np.arange(len(rest) + 1)), flat.filter(pa.array(kept)))
+            texts_ids = iter([a + b for a, b in zip(first, ids_of_lists(lists, self._look_up))])
+            whole_ids = iter(self.ids([t for t, w in zip(some, whole) if w]))
+            out += [next(whole_ids if w else texts_ids) for w in whole]
         return out
 
 
@@ -206,6 +242,7 @@ _LOADED: dict[str, ByteEncoder] = {}
 
 def load(path: str) -> ByteEncoder:
     if path not in _LOADED:
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")    # a task has one core
         _LOADED[path] = ByteEncoder(path)
     return _LOADED[path]
 
@@ -227,15 +264,13 @@ def write_token_files(docs: DataFrame, tokenizer: str, folder: str, end_id: int
             files.append((part, len(files), writer.out.name, len(writer.docs), writer.n_ids))
 
         for rb in batches:
-            for k in range(0, rb.num_rows, 200):
-                texts = [t or "" for t in rb.column("text").slice(k, 200).to_pylist()]
-                for doc_id, ids in zip(rb.column("doc_id").slice(k, 200).to_pylist(), encoder.encode(texts)):
-                    if writer is None:
-                        writer = TokenWriter(TempFile(folder), bits)
-                    writer.add(doc_id, ids + end)
-                    if writer.n_ids >= FILE_IDS:
-                        close()
-                        writer = None
+            for doc_id, ids in zip(rb.column("doc_id").to_pylist(), encoder.encode([t or "" for t in rb.column("text").to_pylist()])):
+                if writer is None:
+                    writer = TokenWriter(TempFile(folder), bits)
+                writer.add(doc_id, ids + end)
+                if writer.n_ids >= FILE_IDS:
+                    close()
+                    writer = None
         if writer is not None:
             close()
         cols = list(zip(*files)) or [()] * 5

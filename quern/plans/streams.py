@@ -20,7 +20,9 @@ from quern.functions.columns import not_every_nth
 from quern.sources.readers import read_stream, write_parquet
 from quern.sources import fixtures as fx
 from quern.streaming import jobs
-from quern.streaming.runner import drain, fixture_stream, new_run, run_to_table, sentinel_stream, state_buckets
+from quern.streaming.pairing import waiting_ids
+from quern.streaming.runner import (drain, fixture_stream, new_run, run_to_table, run_to_tables, sentinel_stream,
+                                    state_buckets)
 
 # Fixed parameters of the registered stream queries.
 BOX = (-0.1, 0.1, -0.1, 0.1)            # west, east, south, north
@@ -124,12 +126,7 @@ def _ride_stream(spark, sf, drop_every: int | None = None):
 
 # Ids that a status row may lack, as text: a missing integer has no one form in client frames.
 def _ids() -> list[F.Column]:
-    return [F.col(c).cast("string").alias(c) for c in ("customer_id", "driver_id")]
-
-
-def _with_columns(out: DataFrame) -> DataFrame:
-    """The sink's rows with the columns of ride and fare."""
-    return jobs.with_bodies(out, "customer_id long", "driver_id long, tip double")
+    return [F.col(c).cast("string").alias(c.split(".")[1]) for c in ("ride.customer_id", "fare.driver_id")]
 
 
 def _staged_fares(spark, sf, run):
@@ -146,8 +143,7 @@ def ride_fare_pairs(spark: SparkSession, sf: str) -> DataFrame:
     pairs = jobs.pair_rides_fares(_ride_stream(spark, sf), _staged_fares(spark, sf, run),
                                   buckets=state_buckets(spark, run))
     out = run_to_table(spark, pairs, run, query_name=None)
-    return _with_columns(out.filter(F.col("status") == "matched")).select(
-        "ride_id", _ntz("ride_time"), _ntz("fare_time"), "customer_id", "driver_id", "tip")
+    return out.select("ride_id", _ntz("ride_time"), _ntz("fare_time"), "ride.customer_id", "fare.driver_id", "fare.tip")
 
 
 def _expiring_inputs(spark, sf, run):
@@ -159,25 +155,29 @@ def _expiring_inputs(spark, sf, run):
 
 
 def expiring_pairs(spark: SparkSession, sf: str) -> DataFrame:
-    """FIL-11 + FIL-12 + JOIN-8a: matched / unmatched_ride / unmatched_fare
-    within a 60-day bound."""
+    """FIL-11 + FIL-12 + JOIN-8a + STR-8: pairs, unmatched rides and unmatched fares
+    within a 60-day bound, each from its own table."""
     run = new_run(spark, "expiring")
     rides, fares = _expiring_inputs(spark, sf, run)
-    out = run_to_table(spark, jobs.expiring_join(rides, fares, PAIRING_BOUND), run)
-    return _with_columns(out.filter(F.col("ride_id") >= 0)).select("ride_id", "status", *_ids(), "tip")
+    tables = run_to_tables(spark, jobs.expiring_join(rides, fares, PAIRING_BOUND), run, jobs.side_outputs())
+    out = tables["matched"].unionByName(tables["unmatched_rides"]).unionByName(tables["unmatched_fares"])
+    return out.filter(F.col("ride_id") >= 0).select("ride_id", "status", *_ids(), "fare.tip")
 
 
 def unmatched_fares(spark: SparkSession, sf: str) -> DataFrame:
-    """JOIN-9: the side output the reference prints — fares without a ride."""
-    return expiring_pairs(spark, sf).filter(F.col("status") == "unmatched_fare").select("ride_id", "driver_id", "tip")
+    """JOIN-9: the side output the reference prints — fares without a ride, the only rows this run stores."""
+    run = new_run(spark, "unmatched-fares")
+    rides, fares = _expiring_inputs(spark, sf, run)
+    out = run_to_table(spark, jobs.unmatched_fares(rides, fares, PAIRING_BOUND), run)
+    return out.filter(F.col("ride_id") >= 0).select("ride_id", "fare.driver_id", "fare.tip")
 
 
 def expiring_pairs_keyed(spark: SparkSession, sf: str) -> DataFrame:
-    """JOIN-8b: arrival-order pairing with event-time timers (keyed state)."""
+    """JOIN-8b: arrival-order pairing with a state row and an event-time timer per ride id."""
     run = new_run(spark, "expiring-keyed")
     rides, fares = _expiring_inputs(spark, sf, run)
     out = run_to_table(spark, jobs.pair_with_expiry(rides, fares, buckets=state_buckets(spark, run)), run)
-    return _with_columns(out.filter(F.col("ride_id") >= 0)).select("ride_id", "status", *_ids(), "tip")
+    return out.filter(F.col("ride_id") >= 0).select("ride_id", "status", *_ids(), "fare.tip")
 
 
 def waiting_rides(spark: SparkSession, sf: str) -> DataFrame:
@@ -186,4 +186,4 @@ def waiting_rides(spark: SparkSession, sf: str) -> DataFrame:
     pairs = jobs.pair_rides_fares(_ride_stream(spark, sf), _staged_fares(spark, sf, run),
                                   buckets=state_buckets(spark, run))
     run_to_table(spark, pairs, run, query_name=None)
-    return jobs.waiting_ids(jobs.read_state(spark, run.checkpoint))
+    return waiting_ids(jobs.read_state(spark, run.checkpoint, variable="slots"))

@@ -8,18 +8,12 @@ tasks and grows with the number of open keys, not with the input.
 
 from __future__ import annotations
 
-import warnings
-from collections.abc import Iterator
+import json
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-# PySpark's state serializer concatenates empty frames; pandas warns on every
-# micro-batch about a future dtype rule that does not affect these columns.
-warnings.filterwarnings("ignore", category=FutureWarning, module=r"pyspark\.sql\.pandas")
+from quern.streaming.pairing import pair_by_slots, payload, tagged_union
 
 # Fixed values of the reference's stream jobs.
 MAX_EVENT_DELAY = "60 seconds"
@@ -65,135 +59,20 @@ def hourly_max(hourly: DataFrame) -> DataFrame:
                     F.col("best.tips").alias("tips")))
 
 
-def _body(df: DataFrame) -> Column:
-    """The columns beside id and time, as one JSON text (null: there are none)."""
-    rest = [c for c in df.columns if c not in ("ride_id", "event_time")]
-    return F.to_json(F.struct(*[F.col(f"`{c}`") for c in rest])) if rest else F.lit(None).cast("string")
-
-
-def with_bodies(pairs: DataFrame, ride_schema: str, fare_schema: str) -> DataFrame:
-    """Pairs with ``ride_body`` and ``fare_body`` as the columns of their schemas again."""
-    return pairs.withColumns({"ride": F.from_json("ride_body", ride_schema), "fare": F.from_json("fare_body", fare_schema)}) \
-        .drop("ride_body", "fare_body").select("*", "ride.*", "fare.*").drop("ride", "fare")
-
-
-def tagged_union(rides: DataFrame, fares: DataFrame) -> DataFrame:
-    """STR-9: connect two streams of different type as one keyed stream."""
-    r = rides.select("ride_id", F.lit("ride").alias("kind"), "event_time", _body(rides).alias("body"))
-    f = fares.select("ride_id", F.lit("fare").alias("kind"), "event_time", _body(fares).alias("body"))
-    return r.unionByName(f)
-
-
-_PAIR_OUT = "ride_id long, status string, ride_time timestamp, fare_time timestamp, ride_body string, fare_body string"
-# Per-bucket state: one entry per waiting ride id (-1 = empty slot, times in µs,
-# due = expiry time in ms).
-_BUCKET_STATE = ("ids array<long>, ride_us array<long>, fare_us array<long>, due_ms array<long>, "
-                 "ride_body array<string>, fare_body array<string>")
-_EMPTY = -1
 # The bucket is the state's key, so the count must not change between runs on one
 # checkpoint: it is a constant or the caller's, never taken from a session setting
 # (see ``runner.state_buckets`` for a count stored with the run).
 STATE_BUCKETS = 1024
 
 
-_NAT = np.iinfo(np.int64).min
-
-
-def _to_us(series: pd.Series) -> np.ndarray:
-    return series.to_numpy().astype("datetime64[us]").astype("int64")
+def _payload_struct(df: DataFrame, name: str) -> list[Column]:
+    """The columns beside id and time as one struct (none: no column)."""
+    rest = payload(df)
+    return [F.struct(*[F.col(f"`{c}`") for c in rest]).alias(name)] if rest else []
 
 
-def _us_to_datetime(values: list) -> np.ndarray:
-    """Microseconds (None = missing) → ``datetime64[us]`` without a float detour."""
-    ints = np.array([_NAT if v is None else v for v in values], dtype="int64")
-    return ints.view("datetime64[us]")
-
-
-def _slot_pairing(expire: bool):
-    """Two-slot state machine per ride id (Pairing / Expiring, traps T11, T13).
-
-    One slot per side; a second row of a side overwrites the first ("latest
-    wins"); a row meeting the other side's slot emits the pair and clears it.
-    With ``expire``, a waiting row is due at its own event time (or just after
-    the watermark when set, as a timer may not lie behind it) and comes out as
-    ``unmatched_ride`` / ``unmatched_fare`` once the watermark passes it.
-
-    Spark calls this once per *state bucket* (a hash of the ride id), not per
-    ride id: a bucket holds the slots of all its waiting rides in one state row,
-    its event-time timeout is the earliest due time among them, and a call
-    handles every ride of the bucket that has input in the micro-batch. The
-    per-ride semantics are unchanged; only the Python call count drops.
-    """
-    def fn(key, pdfs: Iterator[pd.DataFrame], state: GroupState):
-        slots: dict[int, list[int]] = {}
-        if state.exists:
-            for i, r, f, d, rb, fb in zip(*state.get):
-                slots[int(i)] = [int(r), int(f), int(d), rb, fb]
-        wm = state.getCurrentWatermarkMs() if expire else None
-        out: list[tuple] = []
-
-        def expire_due():
-            for rid in [k for k, v in slots.items() if v[2] < wm]:
-                r, f, _, rb, fb = slots.pop(rid)
-                if f != _EMPTY:
-                    out.append((rid, "unmatched_fare", None, f, None, fb))
-                if r != _EMPTY:
-                    out.append((rid, "unmatched_ride", r, None, rb, None))
-
-        if expire:
-            expire_due()                      # timers the watermark already passed
-        if not state.hasTimedOut:
-            frames = [pdf for pdf in pdfs if len(pdf)]
-            if frames:
-                rows = frames[0] if len(frames) == 1 else pd.concat(frames, ignore_index=True)
-                rid_a = rows["ride_id"].to_numpy()
-                is_ride = (rows["kind"] == "ride").to_numpy()
-                t_a = _to_us(rows["event_time"])
-                body_a = rows["body"].to_numpy()
-                # arrival order inside a micro-batch: event time, rides first
-                order = np.lexsort((~is_ride, t_a, rid_a))
-                for k in order:
-                    rid, t, ride = int(rid_a[k]), int(t_a[k]), bool(is_ride[k])
-                    body = body_a[k]
-                    slot = slots.get(rid)
-                    if slot is None:
-                        slot = slots[rid] = [_EMPTY, _EMPTY, 0, None, None]
-                    if ride:
-                        if slot[1] != _EMPTY:
-                            out.append((rid, "matched", t, slot[1], body, slot[4]))
-                            slot[1], slot[4] = _EMPTY, None
-                        else:
-                            slot[0], slot[3] = t, body
-                    else:
-                        if slot[0] != _EMPTY:
-                            out.append((rid, "matched", slot[0], t, slot[3], body))
-                            slot[0], slot[3] = _EMPTY, None
-                        else:
-                            slot[1], slot[4] = t, body
-                    if slot[0] == _EMPTY and slot[1] == _EMPTY:
-                        del slots[rid]
-                    elif expire:
-                        waiting = slot[0] if slot[0] != _EMPTY else slot[1]
-                        slot[2] = max(waiting // 1000, wm + 1)
-        if slots:
-            columns = [list(c) for c in zip(*slots.values())]
-            state.update((list(slots), *columns))
-            if expire:
-                state.setTimeoutTimestamp(min(columns[2]))
-        elif state.exists:
-            state.remove()
-        if out:
-            yield pd.DataFrame({
-                "ride_id": np.array([o[0] for o in out], dtype="int64"),
-                "status": [o[1] for o in out],
-                "ride_time": _us_to_datetime([o[2] for o in out]),
-                "fare_time": _us_to_datetime([o[3] for o in out]),
-                "ride_body": [o[4] for o in out], "fare_body": [o[5] for o in out]})
-    return fn
-
-
-def _bucketed(u: DataFrame, buckets: int) -> DataFrame:
-    return u.withColumn("_bucket", F.pmod(F.xxhash64("ride_id"), F.lit(buckets)))
+def _kept(*sides: tuple[DataFrame, str]) -> list[str]:
+    return [name for df, name in sides if payload(df)]
 
 
 def pair_rides_fares(rides: DataFrame, fares: DataFrame, method: str = "state",
@@ -201,77 +80,93 @@ def pair_rides_fares(rides: DataFrame, fares: DataFrame, method: str = "state",
     """JOIN-7 / STR-6 / UDF-8: one-to-one pairing by ride id, either side first,
     state kept until matched (trap T12: unmatched keys stay forever, as in the
     reference). Only ``matched`` rows are produced. The other columns of ride and fare come
-    out as ``ride_body`` and ``fare_body`` (see ``with_bodies``).
+    out as the structs ``ride`` and ``fare``, where there are any. Rows without a ride id pair with nothing.
 
-    ``state``: exact slot semantics ("latest wins" on a repeated side, T11) in
-    keyed state. ``join``: a stream-stream inner join (JVM only), the same
+    ``state``: exact slot semantics ("latest wins" on a repeated side, T11) with one
+    state row per waiting ride id. ``join``: a stream-stream inner join (JVM only), the same
     result when each side has at most one row per ride id.
     """
     if method == "join":
-        r = rides.select("ride_id", F.col("event_time").alias("ride_time"), _body(rides).alias("ride_body"))
+        r = rides.select("ride_id", F.col("event_time").alias("ride_time"), *_payload_struct(rides, "ride"))
         f = fares.select(F.col("ride_id").alias("f_id"), F.col("event_time").alias("fare_time"),
-                         _body(fares).alias("fare_body"))
+                         *_payload_struct(fares, "fare"))
         j = r.join(f, F.col("ride_id") == F.col("f_id"), "inner")
-        return j.select("ride_id", F.lit("matched").alias("status"), "ride_time", "fare_time", "ride_body",
-                        "fare_body")
-    u = _bucketed(tagged_union(rides, fares), buckets)
-    return u.groupBy("_bucket").applyInPandasWithState(
-        _slot_pairing(expire=False), _PAIR_OUT, _BUCKET_STATE, "append",
-        GroupStateTimeout.NoTimeout)
+        return j.select("ride_id", F.lit("matched").alias("status"), "ride_time", "fare_time",
+                        *_kept((rides, "ride"), (fares, "fare")))
+    return pair_by_slots(tagged_union(rides, fares), buckets, expire=False)
 
 
 def pair_with_expiry(rides: DataFrame, fares: DataFrame, delay: str = MAX_EVENT_DELAY,
                      buckets: int = STATE_BUCKETS) -> DataFrame:
-    """JOIN-8b / STR-7 / STR-8: arrival-order pairing with event-time timers.
+    """JOIN-8b / STR-7 / STR-8: arrival-order pairing with an event-time timer per ride id.
 
     A waiting row expires when the watermark passes its own event time; it
     is then emitted as ``unmatched_ride`` / ``unmatched_fare``. Rows older than
     the watermark are dropped before the function sees them, so ``delay`` is
     also the pairing horizon. Expiry has micro-batch granularity.
     """
-    u = tagged_union(rides, fares).withWatermark("event_time", delay)
-    u = _bucketed(u, buckets)
-    return u.groupBy("_bucket").applyInPandasWithState(
-        _slot_pairing(expire=True), _PAIR_OUT, _BUCKET_STATE, "append",
-        GroupStateTimeout.EventTimeTimeout)
+    return pair_by_slots(tagged_union(rides, fares).withWatermark("event_time", delay), buckets, expire=True)
+
+
+def _timed(df: DataFrame, name: str, delay: str) -> DataFrame:
+    s = name[0]
+    return df.select(F.col("ride_id").alias(f"{s}_id"), F.col("event_time").alias(f"{s}_time"),
+                     *_payload_struct(df, name)).withWatermark(f"{s}_time", delay)
+
+
+def _within(bound: str) -> Column:
+    return ((F.col("r_id") == F.col("f_id"))
+            & (F.col("f_time") >= F.col("r_time") - F.expr(f"INTERVAL {bound}"))
+            & (F.col("f_time") <= F.col("r_time") + F.expr(f"INTERVAL {bound}")))
 
 
 def expiring_join(rides: DataFrame, fares: DataFrame, bound: str = "60 days",
                   delay: str = MAX_EVENT_DELAY) -> DataFrame:
-    """JOIN-8a / JOIN-9: deterministic expiring pairing as a full outer
+    """JOIN-8a: deterministic expiring pairing as a full outer
     stream-stream join: matched iff the fare lies within ``bound`` of the ride.
 
     State on both sides is evicted by the watermark plus the time bound; rows
     that found no partner by then come out as ``unmatched_ride`` /
-    ``unmatched_fare`` (the side outputs, here a ``status`` column).
+    ``unmatched_fare``. ``side_outputs`` cuts the result into the tables of the three statuses.
     """
-    r = rides.select(F.col("ride_id").alias("r_id"), F.col("event_time").alias("r_time"),
-                     _body(rides).alias("ride_body")) \
-             .withWatermark("r_time", delay)
-    f = fares.select(F.col("ride_id").alias("f_id"), F.col("event_time").alias("f_time"),
-                     _body(fares).alias("fare_body")) \
-             .withWatermark("f_time", delay)
-    cond = ((F.col("r_id") == F.col("f_id"))
-            & (F.col("f_time") >= F.col("r_time") - F.expr(f"INTERVAL {bound}"))
-            & (F.col("f_time") <= F.col("r_time") + F.expr(f"INTERVAL {bound}")))
-    j = r.join(f, cond, "full_outer")
+    j = _timed(rides, "ride", delay).join(_timed(fares, "fare", delay), _within(bound), "full_outer")
     status = (F.when(F.col("r_id").isNotNull() & F.col("f_id").isNotNull(), "matched")
               .when(F.col("r_id").isNotNull(), "unmatched_ride").otherwise("unmatched_fare"))
     return j.select(F.coalesce("r_id", "f_id").alias("ride_id"), status.alias("status"),
-                    F.col("r_time").alias("ride_time"), F.col("f_time").alias("fare_time"), "ride_body", "fare_body")
+                    F.col("r_time").alias("ride_time"), F.col("f_time").alias("fare_time"),
+                    *_kept((rides, "ride"), (fares, "fare")))
+
 
+def unmatched_fares(rides: DataFrame, fares: DataFrame, bound: str = "60 days",
+                    delay: str = MAX_EVENT_DELAY) -> DataFrame:
+    """JOIN-9: the fares that no ride within ``bound`` met, as an outer join from their side alone.
+
+    Pairs leave the plan where the join makes them, and rides without a fare are never emitted.
+    """
+    j = _timed(fares, "fare", delay).join(_timed(rides, "ride", delay), _within(bound), "left_outer")
+    return j.where(F.col("r_id").isNull()).select(F.col("f_id").alias("ride_id"), F.col("f_time").alias("fare_time"),
+                                                  *_kept((fares, "fare")))
 
-def read_state(spark, checkpoint: str, operator_id: int = 0, join_side: str | None = None) -> DataFrame:
-    """STR-11: read a stateful operator's state from its checkpoint (batch)."""
+
+def side_outputs() -> dict[str, Column]:
+    """STR-8: a table for each status of a pairing, as ``runner.run_to_tables`` takes them."""
+    return {"matched": F.col("status") == "matched", "unmatched_rides": F.col("status") == "unmatched_ride",
+            "unmatched_fares": F.col("status") == "unmatched_fare"}
+
+
+def read_state(spark, checkpoint: str, operator_id: int = 0, join_side: str | None = None,
+               variable: str | None = None) -> DataFrame:
+    """STR-11: read a stateful operator's state from its checkpoint (batch).
+
+    Of an operator with state variables, one is read: ``variable``, else the first.
+    """
+    if variable is None:
+        stores = spark.read.format("state-metadata").load(checkpoint).where(F.col("operatorId") == operator_id)
+        held = json.loads(stores.first()["operatorProperties"] or "{}").get("stateVariables")
+        variable = held[0]["stateName"] if held else None
     reader = spark.read.format("statestore").option("operatorId", str(operator_id))
     if join_side:
         reader = reader.option("joinSide", join_side)
+    if variable:
+        reader = reader.option("stateVarName", variable)
     return reader.load(checkpoint)
-
-
-def waiting_ids(state: DataFrame) -> DataFrame:
-    """STR-11: ``(ride_id, side)`` of every slot that waits in the keyed pairing's state."""
-    s = state.select(F.explode(F.arrays_zip(*[F.col(f"value.groupState.{c}").alias(c)
-                                              for c in ("ids", "ride_us", "fare_us")])).alias("w"))
-    return s.select(F.col("w.ids").alias("ride_id"),
-                    F.when(F.col("w.ride_us") != _EMPTY, "ride").otherwise("fare").alias("side"))

@@ -1,16 +1,18 @@
 """Running Structured Streaming jobs over file sources (SRC-11/12, SNK-2, STR-10).
 
 A job is a streaming DataFrame built by the caller; ``run_to_table`` drives it
-with the ``availableNow`` trigger into a Parquet sink with a checkpoint under
-the shared checkpoint folder, then returns the sink as a batch DataFrame.
+into a Parquet sink with a checkpoint under the shared checkpoint folder, then returns the
+sink as a batch DataFrame; ``run_to_tables`` does so with several tables.
 Restarting on the same checkpoint continues where the last run stopped.
 """
 
 from __future__ import annotations
 
+import threading
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import StreamingQueryException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -32,13 +34,13 @@ def new_run(spark: SparkSession, name: str) -> StreamRun:
     return StreamRun(sink=f"{base}/sink", checkpoint=f"{base}/checkpoint")
 
 
-def state_buckets(spark: SparkSession, run: StreamRun, per_partition: int = 16) -> int:
+def state_buckets(spark: SparkSession, run: StreamRun, per_partition: int = 4) -> int:
     """State buckets of a run: set at its first start from the shuffle parallelism, stored
     beside the checkpoint, and read from there whenever the run starts again."""
     path = f"{run.checkpoint}-buckets"
     hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
     if not hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hadoop):
-        n = max(64, int(spark.conf.get("spark.sql.shuffle.partitions")) * per_partition)
+        n = max(16, int(spark.conf.get("spark.sql.shuffle.partitions")) * per_partition)
         spark.range(n, n + 1).write.mode("overwrite").parquet(path)
     return spark.read.parquet(path).first()[0]
 
@@ -95,35 +97,100 @@ def start_stream(stream: DataFrame, run: StreamRun, output_mode: str = "append",
               .option("checkpointLocation", run.checkpoint))
     if fmt == "parquet":
         writer = writer.option("path", run.sink)
+    return _start(stream, writer, processing_time, query_name)
+
+
+# State variables with timers live in Spark's RocksDB provider only.
+_PROVIDER = "spark.sql.streaming.stateStore.providerClass"
+_ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
+def _start(stream: DataFrame, writer, processing_time: str | None = None, query_name: str | None = None):
+    """Start a writer; a query takes the session's settings with it, so the provider is set for this one only."""
     if query_name:
         writer = writer.queryName(query_name)
     writer = writer.trigger(processingTime=processing_time) if processing_time \
         else writer.trigger(availableNow=True)
-    return writer.start()
+    conf, before = stream.sparkSession.conf, stream.sparkSession.conf.get(_PROVIDER)
+    if "TransformWithState" in stream._jdf.queryExecution().analyzed().toString():
+        conf.set(_PROVIDER, _ROCKSDB)
+    try:
+        return writer.start()
+    finally:
+        conf.set(_PROVIDER, before)
 
 
 def run_to_table(spark: SparkSession, stream: DataFrame, run: StreamRun,
                  output_mode: str = "append", query_name: str | None = None,
                  timeout_s: int | None = None) -> DataFrame:
-    """Drive ``stream`` with ``availableNow`` into Parquet; return the sink table.
+    """Drive ``stream`` into Parquet until its input is drained; return the sink table.
 
-    Markers of the run are written once the input is drained, and the stream runs again
-    on the same checkpoint. With ``timeout_s`` a run that takes longer raises
+    With markers in the run, the query stays up when the input is drained, the markers are
+    written, and it goes on until they have closed the last state. With ``timeout_s`` a run that takes longer raises
     ``TimeoutError``; a half-written sink is never returned.
     """
-    drain(stream, run, output_mode, query_name, timeout_s)
-    if run.ends:
-        for directory, schema, row in run.ends:
-            spark.createDataFrame([row], schema).write.mode("append").parquet(directory)
-        run.ends.clear()
-        drain(stream, run, output_mode, query_name, timeout_s)
+    _run(spark, stream, run, lambda continuous: start_stream(
+        stream, run, output_mode, "parquet", "0 seconds" if continuous else None, query_name), query_name, timeout_s)
     return spark.read.parquet(run.sink)
 
 
+def run_to_tables(spark: SparkSession, stream: DataFrame, run: StreamRun, tables: dict[str, Column],
+                  timeout_s: int | None = None) -> dict[str, DataFrame]:
+    """STR-8 / SNK-2: drive ``stream`` into one table per condition (side outputs), as ``run_to_table`` does.
+
+    Every micro-batch writes its rows of each table to a folder named by the batch's number and
+    replaces what is there. A batch that is repeated after a fault, between two tables
+    or inside one, has the number and the rows it had, so no row is lost or stored twice.
+    """
+    def write(batch: DataFrame, batch_id: int) -> None:
+        held = batch.persist() if len(tables) > 1 else batch
+        try:
+            for name, condition in tables.items():
+                held.where(condition).write.mode("overwrite").parquet(f"{run.sink}/{name}/batch_id={batch_id}")
+        finally:
+            if len(tables) > 1:
+                held.unpersist()
+
+    def start(continuous: bool):
+        writer = stream.writeStream.foreachBatch(write).outputMode("append").option("checkpointLocation", run.checkpoint)
+        return _start(stream, writer, "0 seconds" if continuous else None)
+
+    _run(spark, stream, run, start, "", timeout_s)
+    return {name: spark.read.parquet(f"{run.sink}/{name}").drop("batch_id") for name in tables}
+
+
 def drain(stream: DataFrame, run: StreamRun, output_mode: str = "append", query_name: str | None = None,
           timeout_s: int | None = None) -> None:
     """STR-10: run what is available into the sink; a later call goes on from the checkpoint."""
-    q = start_stream(stream, run, output_mode, "parquet", None, query_name)
+    _await(start_stream(stream, run, output_mode, "parquet", None, query_name), query_name, timeout_s)
+
+
+def _run(spark: SparkSession, stream: DataFrame, run: StreamRun, start, query_name: str | None, timeout_s: int | None) -> None:
+    if not run.ends:
+        _await(start(False), query_name, timeout_s)
+        return
+    q, late = start(True), []
+    timer = threading.Timer(timeout_s, lambda: (late.append(True), q.stop())) if timeout_s is not None else None
+    try:
+        if timer:
+            timer.start()
+        q.processAllAvailable()
+        if not late:
+            for directory, schema, row in run.ends:
+                spark.createDataFrame([row], schema).write.mode("append").parquet(directory)
+            run.ends.clear()
+            q.processAllAvailable()
+    except StreamingQueryException as e:
+        raise RuntimeError(f"stream {query_name or ''} failed: {e}") from e
+    finally:
+        if timer:
+            timer.cancel()
+        q.stop()
+    if late:
+        raise TimeoutError(f"stream {query_name or ''} took more than {timeout_s} s")
+
+
+def _await(q, query_name: str | None, timeout_s: int | None) -> None:
     try:
         ended = q.awaitTermination(timeout_s) if timeout_s is not None else q.awaitTermination() or True
     finally:

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quern.functions.columns import col_, exact_mean
+from quern.operators.ordering import number_rows
 
 
 def select_rows(df: DataFrame, predicate: Column) -> DataFrame:
@@ -138,6 +139,19 @@ def grouped_bag(df: DataFrame, key: str, value: str, num_partitions: int | None
     return out.sortWithinPartitions(*order).drop("_tie")
 
 
+def grouped_lists(df: DataFrame, key: str, value: str, block_rows: int = 10_000) -> DataFrame:
+    """AGG-4: group-by-key into lists: ``(key, block_no, values)`` with the values in order, nulls first.
+
+    A key's list comes in blocks of ``block_rows`` values, the last one shorter, so a hot key is many bounded rows;
+    its blocks one after another are the whole list, repeated values included.
+    """
+    rows = number_rows(df.select(F.col(key).alias("key"), F.col(value).alias("value")), ["value"], ["key"])
+    block = F.floor(F.col("row_no") / F.lit(block_rows))
+    listed = F.array_sort(F.collect_list(F.struct("row_no", "value")))
+    return rows.groupBy("key", block.alias("block_no")).agg(listed.alias("_l")) \
+        .select("key", "block_no", F.col("_l.value").alias("values"))
+
+
 def group_count_mean(df: DataFrame, key: str, value: str, exact: bool = True,
                      order: bool = True) -> DataFrame:
     """AGG-5: group by key (by sorting in the reference) then mean per key.

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quern.functions.columns import tag_tokens, words
+from quern.operators.relational import grouped_lists
 
 
 def _explode_split(c):
@@ -58,6 +59,21 @@ def inverted_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     return postings.distinct().orderBy("word", "doc_id")
 
 
+def inverted_index_blocks(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                          block_ids: int = 10_000) -> DataFrame:
+    """TXT-3: ``(word, block_no, doc_ids)``: a word's posting list as blocks of ``block_ids`` ids.
+
+    The blocks of a word, one after another, are its sorted list of distinct ids (text order). A posting's place comes
+    from the counts of its range and of those before it, so no task ever holds more of a word
+    than one block, and a block is the only thing that is built as a value.
+    """
+    d = docs.filter(F.col(text_col).isNotNull()).select(
+        F.col(id_col).cast("string").alias("doc_id"), F.array_distinct(words(F.col(text_col))).alias("ws"))
+    postings = d.select(_explode_split("ws").alias("word"), "doc_id").distinct()
+    return grouped_lists(postings, "word", "doc_id", block_ids) \
+        .select(F.col("key").alias("word"), "block_no", F.col("values").alias("doc_ids"))
+
+
 def first_listed_match(items: DataFrame, tags_col: str, vocab: DataFrame,
                        name_col: str = "name", ordinal_col: str = "ordinal",
                        default: str | None = "No", out: str = "language") -> DataFrame:

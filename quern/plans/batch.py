@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from quern.functions.columns import distinct_sorted, event_year, format_line, to_long, words
 from quern.functions.udf import vectorized
+from quern.operators.accumulate import aggregate_by_key
 from quern.operators import geo, keyed, matrix, ordering, relational, text
 from quern.sources import fixtures as fx
 from quern.sources.readers import FEW_SPLITS, document_lines, documents, moments, profile, read_table, spread
@@ -18,6 +19,8 @@ from quern.sources.readers import FEW_SPLITS, document_lines, documents, moments
 # Parameters of the registered queries (fixed values of the test queries).
 FLAGSHIP_SEGMENT = "BUILDING"
 SELECTION_MIN_CONTACTS = 5000.0
+LIST_BLOCK = 1000          # values of one block of a list
+CHUNKS = 16                # input splits
 TERASORT_BUCKETS = 8
 TRIP_THRESHOLD = 900
 POSTS_FROM, POSTS_TO = "1995-01-01", "2000-12-31"
@@ -128,7 +131,7 @@ def group_by_key(spark: SparkSession, sf: str) -> DataFrame:
 
 def group_by_key_sorted(spark: SparkSession, sf: str) -> DataFrame:
     """AGG-5: count and mean per user, ordered by key."""
-    return relational.group_count_mean(read_table(spark, sf, "events"), "user_id", "value", 2)
+    return relational.group_count_mean(read_table(spark, sf, "events"), "user_id", "value")
 
 
 def profile_orders(spark: SparkSession, sf: str) -> DataFrame:
@@ -136,6 +139,24 @@ def profile_orders(spark: SparkSession, sf: str) -> DataFrame:
     return profile(read_table(spark, sf, "orders"), ["o_orderkey", "o_custkey", "o_totalprice"])
 
 
+def profile_quartiles(spark: SparkSession, sf: str) -> DataFrame:
+    """SNK-5: the exact 25, 50 and 75 % of orders' numeric columns (interpolated, rounded to 6 places)."""
+    q = ordering.order_statistics(read_table(spark, sf, "orders"), ["o_orderkey", "o_custkey", "o_totalprice"], [0.25, 0.5, 0.75])
+    return q.select("column_name", "share", F.round("value", 6).alias("value"))
+
+
+def group_lists(spark: SparkSession, sf: str) -> DataFrame:
+    """AGG-4: the events of each user as sorted lists of ids, in blocks, each as text."""
+    lists = relational.grouped_lists(read_table(spark, sf, "events"), "user_id", "event_id", LIST_BLOCK)
+    return lists.select("key", "block_no", F.size("values").cast("long").alias("n"),
+                        F.array_join(F.transform("values", lambda v: v.cast("string")), ",").alias("ids"))
+
+
+def order_chunks(spark: SparkSession, sf: str) -> DataFrame:
+    """PAR-3: orders in contiguous chunks of ``ceil(rows / CHUNKS)`` by key."""
+    return ordering.even_chunks(read_table(spark, sf, "orders").select("o_orderkey"), ["o_orderkey"], CHUNKS)
+
+
 def profile_moments(spark: SparkSession, sf: str) -> DataFrame:
     """SNK-5: count, mean and standard deviation of orders' numeric columns in one scan.
 
@@ -166,6 +187,12 @@ def inverted_index(spark: SparkSession, sf: str) -> DataFrame:
     return text.inverted_index(_docs(spark, sf))
 
 
+def inverted_index_lists(spark: SparkSession, sf: str) -> DataFrame:
+    """TXT-3: posting lists as blocks, each as text in list order."""
+    blocks = text.inverted_index_blocks(_docs(spark, sf), block_ids=LIST_BLOCK)
+    return blocks.select("word", "block_no", F.array_join("doc_ids", ",").alias("doc_ids"))
+
+
 def lines_of_documents(spark: SparkSession, sf: str) -> DataFrame:
     """SRC-3: every line of every document under its ``docid:lineid`` key."""
     return document_lines(_docs(spark, sf)).select("key", "line")
@@ -420,6 +447,13 @@ def mapreduce_chain(spark: SparkSession, sf: str) -> DataFrame:
                                   reduce_fn, "n long, n_words long", combine_fn=add)
 
 
+def count_languages_by_key(spark: SparkSession, sf: str) -> DataFrame:
+    """AGG-9 / AGG-10: posts per language by the user's ``zero``, ``seq`` and ``comb``, merged in salted steps."""
+    posts = _post_languages(spark, sf, POSTS_FROM, POSTS_TO, default=None)
+    return aggregate_by_key(posts.select("language", "creation_date"), "language", "creation_date", (0,),
+                            lambda acc, posts: (acc[0] + len(posts),), lambda a, b: (a[0] + b[0],), "n_posts long")
+
+
 def row_function_totals(spark: SparkSession, sf: str) -> DataFrame:
     """UDF-4: a user row function as a vectorised column: discounted cents per line, summed by flag."""
     cents = vectorized(_discounted_cents, "long")

@@ -137,6 +137,9 @@ WHERE rn <= {B.TOP_LANGUAGES}""",
 }
 
 ORACLE_SQL.update({
+    "count_languages_by_key": f"""{_POSTS}
+SELECT language, count(*) AS n_posts FROM p JOIN m ON p.pid = m.pid
+WHERE creation_date BETWEEN TIMESTAMP '{B.POSTS_FROM}' AND TIMESTAMP '{B.POSTS_TO}' GROUP BY language""",
     "natural_join_orders": """
 SELECT l_partkey AS a, l_orderkey AS b, o_custkey AS c FROM lineitem JOIN orders ON l_orderkey = o_orderkey""",
     "typed_events": """
@@ -149,6 +152,22 @@ WHERE id IS NOT NULL AND kind IS NOT NULL AND k IS NOT NULL""",
 SELECT '{c}' AS column_name, count({c}) AS count,
        {_EXACT_MEAN.format(c=c)} AS mean,
        round(stddev_samp({c}), 4) AS stddev FROM orders""" for c in ("o_orderkey", "o_custkey", "o_totalprice")),
+    "profile_quartiles": " UNION ALL ".join(f"""
+SELECT '{c}' AS column_name, {q} AS share, round(CAST(quantile_cont(CAST({c} AS DOUBLE), {q}) AS DOUBLE), 6) AS value
+FROM orders""" for c in ("o_orderkey", "o_custkey", "o_totalprice") for q in ("CAST(0.25 AS DOUBLE)", "CAST(0.5 AS DOUBLE)",
+                                                                            "CAST(0.75 AS DOUBLE)")),
+    "group_lists": """
+SELECT key, block_no, count(*) AS n, string_agg(CAST(event_id AS VARCHAR), ',' ORDER BY event_id) AS ids FROM (
+  SELECT user_id AS key, event_id, (row_number() OVER (PARTITION BY user_id ORDER BY event_id) - 1) // 1000 AS block_no
+  FROM events) GROUP BY key, block_no""",
+    "order_chunks": """
+SELECT o_orderkey, CAST((row_number() OVER (ORDER BY o_orderkey) - 1) // CAST(ceil(count(*) OVER () / 16.0) AS BIGINT) AS INTEGER)
+  AS chunk FROM orders""",
+    "inverted_index_lists": """
+SELECT word, block_no, string_agg(doc_id, ',' ORDER BY doc_id) AS doc_ids FROM (
+  SELECT word, doc_id, (row_number() OVER (PARTITION BY word ORDER BY doc_id) - 1) // 1000 AS block_no FROM (
+    SELECT DISTINCT unnest(string_split(text, ' ')) AS word, CAST(doc_id AS VARCHAR) AS doc_id FROM documents))
+GROUP BY word, block_no""",
     "lines_of_documents": """
 SELECT CAST(doc_id AS VARCHAR) || ':' || CAST(pos - 1 AS VARCHAR) AS key, line FROM (
   SELECT doc_id, unnest(l) AS line, generate_subscripts(l, 1) AS pos

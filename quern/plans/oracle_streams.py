@@ -40,6 +40,7 @@ SELECT * FROM (
 WHERE start_lon BETWEEN {_W} AND {_E} AND start_lat BETWEEN {_SO} AND {_N}
   AND end_lon BETWEEN {_W} AND {_E} AND end_lat BETWEEN {_SO} AND {_N}""",
     "hourly_tips": _HOURLY,
+    "hourly_tips_user_window": _HOURLY,
     "hourly_max_tip": f"""WITH h AS ({_HOURLY})
 SELECT window_end, driver_id, tips FROM (
   SELECT *, row_number() OVER (PARTITION BY window_end ORDER BY tips DESC, driver_id) AS rn FROM h)

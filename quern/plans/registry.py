@@ -56,11 +56,16 @@ def batch_queries() -> dict[str, QueryFn]:
         "typed_events": B.typed_events,
         "largest_order": B.largest_order,
         "profile_moments": B.profile_moments,
+        "profile_quartiles": B.profile_quartiles,
+        "group_lists": B.group_lists,
+        "order_chunks": B.order_chunks,
+        "inverted_index_lists": B.inverted_index_lists,
         "lines_of_documents": B.lines_of_documents,
         "distinct_words_of_documents": B.distinct_words_of_documents,
         "bikes_by_total": B.bikes_by_total,
         "top_languages_report": B.top_languages_report,
         "mapreduce_chain": B.mapreduce_chain,
+        "count_languages_by_key": B.count_languages_by_key,
         "row_function_totals": B.row_function_totals,
     }
 
@@ -70,6 +75,7 @@ def stream_queries() -> dict[str, QueryFn]:
     return {
         "ride_cleansing": S.ride_cleansing,
         "hourly_tips": S.hourly_tips,
+        "hourly_tips_user_window": S.hourly_tips_user_window,
         "hourly_max_tip": S.hourly_max_tip,
         "ride_fare_pairs": S.ride_fare_pairs,
         "expiring_pairs": S.expiring_pairs,

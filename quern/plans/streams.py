@@ -11,6 +11,7 @@ the tables.
 from __future__ import annotations
 
 import datetime as dt
+from decimal import Context, Decimal
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,10 +22,12 @@ from quern.sources.readers import read_stream, write_parquet
 from quern.sources import fixtures as fx
 from quern.streaming import jobs
 from quern.streaming.pairing import waiting_ids
+from quern.streaming.windows import WindowFunction, window_aggregate
 from quern.streaming.runner import (drain, fixture_stream, new_run, run_to_table, run_to_tables, sentinel_stream,
                                     state_buckets)
 
 # Fixed parameters of the registered stream queries.
+_EXACT = Context(prec=60)                # sums of decimal(38,18) without rounding
 BOX = (-0.1, 0.1, -0.1, 0.1)            # west, east, south, north
 PAIRING_BOUND = "60 days"
 END_OF_INPUT = dt.datetime(2100, 1, 1)
@@ -79,6 +82,35 @@ def hourly_max_tip(spark: SparkSession, sf: str) -> DataFrame:
         _ntz("window_end"), "driver_id", F.col("tips").cast("double").alias("tips"))
 
 
+class TipTotal(WindowFunction):
+    """The tips of a driver's window, added up exactly."""
+
+    accumulator = "total decimal(38,18)"
+    output = "tips decimal(38,18)"
+
+    def zero(self) -> tuple:
+        return (Decimal(0),)
+
+    def add(self, acc: tuple, row) -> tuple:
+        return acc if row["tip"] is None else self.merge(acc, (row["tip"],))
+
+    def merge(self, a: tuple, b: tuple) -> tuple:
+        return (_EXACT.add(a[0], b[0]),)
+
+    def result(self, key, start_ms: int, end_ms: int, acc: tuple) -> tuple:
+        return acc
+
+
+def hourly_tips_user_window(spark: SparkSession, sf: str) -> DataFrame:
+    """UDF-7 + STR-3: tips per driver and hour through a user's window function, closed by the watermark."""
+    run = new_run(spark, "hourly-user")
+    fares = _fare_stream(spark, sf, run).withColumn("tip", F.col("tip").try_cast("decimal(38,18)"))
+    h = window_aggregate(fares, "driver_id", TipTotal(), "1 hour", jobs.MAX_EVENT_DELAY, state_buckets(spark, run))
+    out = run_to_table(spark, h, run)
+    return out.filter(F.col("driver_id") >= 0).select(
+        _ntz("window_end"), "driver_id", F.col("tips").cast("double").alias("tips"))
+
+
 def _tips_of_halves(spark, sf, name: str, early_first: bool) -> DataFrame:
     """Hourly tips of a stream whose first half is drained before the second arrives.
 

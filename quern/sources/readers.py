@@ -71,6 +71,22 @@ def document_lines(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                         "doc_id", "line_no", "line")
 
 
+def file_lines(spark: SparkSession, path: str, glob: str | None = None) -> DataFrame:
+    """SRC-3: the lines of text files, ``(key, file, line_no, line)``, keyed ``"file:lineid"``.
+
+    A file of many splits is read by many tasks; a line's number is counted over the splits before its own
+    (see ``ordering.number_rows``). Empty lines count; an empty file has no lines. ``file`` is the
+    file's whole path.
+    """
+    from quern.operators.ordering import number_rows
+    reader = spark.read.option("pathGlobFilter", glob) if glob else spark.read
+    # Lines of a split come in order in one partition, so their place in it orders them.
+    lines = reader.text(path).select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("_split"),
+                                     F.monotonically_increasing_id().alias("_place"), F.col("value").alias("line"))
+    out = number_rows(lines, ["_split", "_place"], ["file"], number="line_no", size="_lines")
+    return out.select(F.concat_ws(":", "file", F.col("line_no").cast("string")).alias("key"), "file", "line_no", "line")
+
+
 def coo_from_arrays(df: DataFrame, row_col: str, array_col: str,
                     value: Column | None = None) -> DataFrame:
     """SRC-4 / SRC-5: a row-per-vector table as a COO matrix ``(i, j, v)``.

@@ -13,6 +13,7 @@ import json
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quern.functions.columns import exact_sum
 from quern.streaming.pairing import pair_by_slots, payload, tagged_union
 
 # Fixed values of the reference's stream jobs.
@@ -37,11 +38,11 @@ def hourly_tips(fares: DataFrame, delay: str = MAX_EVENT_DELAY) -> DataFrame:
 
     Watermark = max event time − ``delay``; a window is emitted once (append)
     when the watermark passes its end, and later rows for it are dropped
-    (no allowed lateness, as in the reference). Sums are exact decimals.
+    (no allowed lateness, as in the reference). Sums do not depend on order (``exact_sum``).
     """
     return (fares.withWatermark("event_time", delay)
             .groupBy(F.window("event_time", "1 hour"), "driver_id")
-            .agg(F.sum(F.col("tip").cast("decimal(38,18)")).alias("tips")))
+            .agg(exact_sum("tip").alias("tips")))
 
 
 def hourly_max(hourly: DataFrame) -> DataFrame:

@@ -184,7 +184,7 @@ def test_a_hot_key_reaches_a_task_as_bounded_partials(spark, monkeypatch):
     finally:
         for k, v in before.items():
             spark.conf.set(k, v)
-    assert most.value <= 20 and seen.value == 48             # 40 partials dealt by salt, then one for each salt
+    assert most.value <= 20 and 40 < seen.value <= 48        # 40 partials dealt by salt, then at most one for each salt
 
 
 class _Max:

@@ -9,6 +9,7 @@ import pytest
 
 import __spark_entry__ as E
 from conftest import SF_SMALL
+from quern.plans.registry import all_queries
 
 TABLES = ("region nation customer supplier part orders lineitem events documents "
           "embeddings pages benchmark labels conversations").split()
@@ -40,7 +41,6 @@ def duck():
 
 
 def test_every_query_has_an_oracle():
-    from quern.plans.registry import all_queries
     assert set(all_queries()) <= set(E.oracle_sql()) <= set(E.queries())
 
 
@@ -49,7 +49,7 @@ def test_entry_smoke(spark):
     assert df.columns == ["age", "avg_contacts"] and df.count() > 0
 
 
-@pytest.mark.parametrize("name", sorted(E.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(all_queries()))
 def test_query_matches_oracle(spark, duck, name):
     got = E.queries()[name](spark, SF_SMALL).toPandas()
     want = duck.sql(E.oracle_sql()[name]).df()

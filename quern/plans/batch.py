@@ -8,13 +8,16 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from quern.functions.columns import distinct_sorted, event_year, format_line, to_long, words
-from quern.functions.udf import vectorized
+from quern.functions.udf import flat_map, vectorized
 from quern.operators.accumulate import aggregate_by_key
 from quern.operators import geo, keyed, matrix, ordering, relational, text
 from quern.sources import fixtures as fx
-from quern.sources.readers import FEW_SPLITS, document_lines, documents, moments, profile, read_table, spread
+from quern.session import scratch_path
+from quern.sources.readers import (FEW_SPLITS, document_lines, documents, moments, profile, read_csv, read_table,
+                                   read_xml_rows, split_malformed, spread, write_csv, write_xml_rows)
 
 # Parameters of the registered queries (fixed values of the test queries).
 FLAGSHIP_SEGMENT = "BUILDING"
@@ -182,6 +185,35 @@ def word_count(spark: SparkSession, sf: str) -> DataFrame:
     return text.word_count(_docs(spark, sf))
 
 
+def word_count_table_function(spark: SparkSession, sf: str) -> DataFrame:
+    """UDF-5 + TXT-1: word count whose words come from a user's table function."""
+    return flat_map(_docs(spark, sf), words_of_lines, ["text"], "word string").groupBy("word").agg(F.count("*").alias("n"))
+
+
+def words_of_lines(text: str | None):
+    """The words of each line of a text, empty ones included."""
+    for line in text.split("\n") if text is not None else ():
+        for word in line.split(" "):
+            yield (word,)
+
+
+def orders_through_csv(spark: SparkSession, sf: str) -> DataFrame:
+    """SRC-6 / SRC-7: the orders written as CSV and read back with types, malformed rows set apart."""
+    orders, path = read_table(spark, sf, "orders"), scratch_path(spark, "orders-csv")
+    write_csv(orders, path)
+    good, _, _, _ = split_malformed(read_csv(spark, path, orders.schema, corrupt="_corrupt", null_text="\\N"), "_corrupt")
+    return good
+
+
+def orders_through_xml(spark: SparkSession, sf: str) -> DataFrame:
+    """SRC-8: the orders written as XML rows and read back with types, malformed rows set apart."""
+    orders, path = read_table(spark, sf, "orders"), scratch_path(spark, "orders-xml")
+    write_xml_rows(orders, path)
+    schema = T.StructType([T.StructField(f"_{f.name}", f.dataType) for f in orders.schema])
+    good, _, _, _ = split_malformed(read_xml_rows(spark, path, schema, corrupt="_corrupt"), "_corrupt")
+    return good.toDF(*orders.columns)
+
+
 def inverted_index(spark: SparkSession, sf: str) -> DataFrame:
     """TXT-3: posting rows (word, doc_id) in list order."""
     return text.inverted_index(_docs(spark, sf))

@@ -214,4 +214,6 @@ SELECT printf('trip %d: start station %d, end station %d, duration %d s',
 FROM ({ORACLE_SQL['bike_longest_trip']})"""
 
 ORACLE_SQL["mapreduce_group_avg"] = ORACLE_SQL["group_avg_filtered"]
+ORACLE_SQL["orders_through_csv"] = ORACLE_SQL["orders_through_xml"] = "SELECT * FROM orders"
+ORACLE_SQL["word_count_table_function"] = ORACLE_SQL["word_count"]
 ORACLE_SQL["mapreduce_word_count"] = ORACLE_SQL["word_count"]

@@ -56,6 +56,9 @@ def batch_queries() -> dict[str, QueryFn]:
         "typed_events": B.typed_events,
         "largest_order": B.largest_order,
         "profile_moments": B.profile_moments,
+        "word_count_table_function": B.word_count_table_function,
+        "orders_through_csv": B.orders_through_csv,
+        "orders_through_xml": B.orders_through_xml,
         "profile_quartiles": B.profile_quartiles,
         "group_lists": B.group_lists,
         "order_chunks": B.order_chunks,

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from quern.session import scratch_path
 from quern.functions.columns import exact_mean
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem",
@@ -103,14 +104,22 @@ def coo_from_arrays(df: DataFrame, row_col: str, array_col: str,
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType | str | None = None,
              drop_nulls: bool = False, infer_schema: bool = False,
-             timestamp_format: str | None = None) -> DataFrame:
+             timestamp_format: str | None = None, corrupt: str | None = None, multi_line: bool = False,
+             null_text: str = "") -> DataFrame:
     """SRC-6 / SRC-7: CSV with a header.
 
     Without a schema every column is a string (SRC-6, the reference's mode);
     with one, values are typed at read, and with ``infer_schema`` types come from one more
-    pass over the file. ``drop_nulls`` is ``na.drop()`` (FIL-9).
+    pass over the file. ``drop_nulls`` is ``na.drop()`` (FIL-9). With ``corrupt``, a row that does not
+    fit the schema keeps its text in the column of that name (see ``split_malformed``). ``multi_line`` reads line
+    feeds inside quotes, at the price of one task a file. ``null_text`` stands for null; while it is empty,
+    empty texts are null as well.
     """
-    reader = spark.read.option("header", "true").option("inferSchema", infer_schema and schema is None)
+    reader = spark.read.option("header", "true").option("inferSchema", infer_schema and schema is None) \
+        .option("escape", '"').option("multiLine", multi_line).option("nullValue", null_text)
+    if corrupt:
+        schema = with_corrupt(schema, corrupt)
+        reader = reader.option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", corrupt)
     if timestamp_format:
         reader = reader.option("timestampFormat", timestamp_format)
     if schema is not None:
@@ -120,16 +129,63 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType | str | None =
 
 
 def read_xml_rows(spark: SparkSession, path: str, schema: T.StructType | str,
-                  row_tag: str = "row", timestamp_format: str | None = None) -> DataFrame:
+                  row_tag: str = "row", timestamp_format: str | None = None, corrupt: str | None = None) -> DataFrame:
     """SRC-8: XML rows with attributes as ``_Name`` columns (built-in source).
 
     The schema is required: inference with a ``timestampFormat`` that does not
-    fit the data turns dates into strings (trap T8).
+    fit the data turns dates into strings (trap T8). With ``corrupt``, attributes are read as text and
+    cast; a row with an attribute that does not fit, or that is no XML, keeps its text (its attributes as JSON)
+    in the column of that name.
     """
-    reader = spark.read.format("xml").option("rowTag", row_tag).schema(schema)
+    reader = spark.read.format("xml").option("rowTag", row_tag)
     if timestamp_format:
         reader = reader.option("timestampFormat", timestamp_format)
-    return reader.load(path)
+    if not corrupt:
+        return reader.schema(schema).load(path)
+    fields = with_corrupt(schema, corrupt).fields[:-1]
+    raw = reader.schema(T.StructType([*[T.StructField(f.name, T.StringType()) for f in fields], T.StructField(corrupt, T.StringType())])) \
+        .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", corrupt).load(path)
+
+    def typed(f: T.StructField) -> Column:
+        if timestamp_format and f.dataType.typeName().startswith("timestamp"):
+            return F.try_to_timestamp(f"`{f.name}`", F.lit(timestamp_format)).cast(f.dataType)
+        return F.col(f"`{f.name}`").try_cast(f.dataType)
+    wrong = [F.col(f"`{f.name}`").isNotNull() & typed(f).isNull() for f in fields]
+    text = F.when(F.array_contains(F.array(*wrong), True), F.to_json(F.struct(*[F.col(f"`{f.name}`") for f in fields])))
+    return raw.select(*[typed(f).alias(f.name) for f in fields], F.coalesce(F.col(f"`{corrupt}`"), text).alias(corrupt))
+
+
+def with_corrupt(schema: T.StructType | str | None, corrupt: str) -> T.StructType:
+    if schema is None:
+        raise ValueError("rows can be malformed only against a schema")
+    fields = (T.StructType.fromDDL(schema) if isinstance(schema, str) else schema).fields
+    return T.StructType([*fields, T.StructField(corrupt, T.StringType())])
+
+
+def split_malformed(df: DataFrame, corrupt: str) -> tuple[DataFrame, DataFrame, int, int]:
+    """Rows that fit, the texts of those that do not, and the number of each.
+
+    The rows are written to the shared folder once, with all columns parsed: a reader that is
+    asked for some columns only does not see what is wrong with the others.
+    """
+    path = scratch_path(df.sparkSession, "parsed")
+    df.write.parquet(path)
+    held = df.sparkSession.read.schema(df.schema).parquet(path)
+    rows, bad = held.agg(F.count("*"), F.count(F.col(f"`{corrupt}`"))).first()
+    return held.where(F.col(f"`{corrupt}`").isNull()).drop(corrupt), \
+        held.where(F.col(f"`{corrupt}`").isNotNull()).select(corrupt), rows - bad, bad
+
+
+def write_csv(df: DataFrame, path: str, mode: str = "overwrite", null_text: str = "\\N") -> None:
+    """CSV with a header; ``read_csv`` with the same ``null_text`` gives the rows back, blanks at the ends included."""
+    df.write.mode(mode).option("header", "true").option("escape", '"').option("nullValue", null_text) \
+        .option("ignoreLeadingWhiteSpace", "false").option("ignoreTrailingWhiteSpace", "false").csv(path)
+
+
+def write_xml_rows(df: DataFrame, path: str, row_tag: str = "row", root_tag: str = "rows", mode: str = "overwrite") -> None:
+    """XML rows, each column an attribute as text, as ``read_xml_rows`` reads them; nulls are left out."""
+    df.select(*[F.col(f"`{c}`").cast("string").alias(f"_{c}") for c in df.columns]).write.format("xml").mode(mode) \
+        .option("rowTag", row_tag).option("rootTag", root_tag).save(path)
 
 
 def read_stream(spark: SparkSession, directory: str, schema: T.StructType,

@@ -62,3 +62,49 @@ def test_parquet_sink_and_profile(spark, tmp_path):
     prof = {r.column_name: r for r in readers.profile(back).collect()}
     assert (prof["a"]["count"], prof["a"]["min"], prof["a"]["max"]) == (3, 1.0, 3.0)
     assert (prof["b"]["count"], prof["b"]["min"], prof["b"]["max"]) == (2, 0.5, 2.5)
+
+
+def test_malformed_csv_rows_are_kept_and_counted(spark, tmp_path):
+    # SRC-6, SRC-7
+    p = tmp_path / "trip.csv"
+    p.write_text('id,bike_id,note\n1,535,"a, ""b"""\nx,7,bad id\n3,8,c,one too many\n4,,""\n5\n')
+    df = readers.read_csv(spark, str(p), "id long, bike_id long, note string", corrupt="_bad")
+    good, bad, n_good, n_bad = readers.split_malformed(df, "_bad")
+    assert [tuple(r) for r in good.orderBy("id").collect()] == [(1, 535, 'a, "b"'), (4, None, None)]
+    assert {r._bad for r in bad.collect()} == {"x,7,bad id", "3,8,c,one too many", "5"} and (n_good, n_bad) == (2, 3)
+    with pytest.raises(ValueError):
+        readers.read_csv(spark, str(p), corrupt="_bad")
+
+
+def test_malformed_xml_rows_are_kept_and_counted(spark, tmp_path):
+    # SRC-8
+    p = tmp_path / "posts.xml"
+    p.write_text('<posts>\n<row Id="1" Tags="&lt;a&gt;"/>\n<row Id="one" Tags="b"/>\n<row Tags="c"/>\n</posts>\n')
+    good, bad, n_good, n_bad = readers.split_malformed(readers.read_xml_rows(spark, str(p), "_Id long, _Tags string", corrupt="_bad"), "_bad")
+    assert sorted((r._Id or 0, r._Tags) for r in good.collect()) == [(0, "c"), (1, "<a>")]
+    assert (n_good, n_bad) == (2, 1) and '"_Id":"one"' in bad.first()._bad
+
+
+def test_csv_and_xml_writers_give_back_odd_texts(spark, tmp_path):
+    rows = [(1, 'say "hi", you', 0.1 + 0.2), (2, "", None), (3, None, 1e-300), (4, "<&>'é", -0.0), (5, " edge ", 5e300)]
+    df = spark.createDataFrame(rows, "id long, text string, v double")
+    readers.write_csv(df, str(tmp_path / "csv"))
+    assert sorted(map(tuple, readers.read_csv(spark, str(tmp_path / "csv"), df.schema, null_text="\\N").collect())) == rows
+    readers.write_csv(spark.createDataFrame([(1, "two\nlines")], "id long, text string"), str(tmp_path / "lines"))
+    assert readers.read_csv(spark, str(tmp_path / "lines"), "id long, text string", multi_line=True).first().text == "two\nlines"
+    readers.write_xml_rows(df.where("id <> 5"), str(tmp_path / "xml"))
+    back = readers.read_xml_rows(spark, str(tmp_path / "xml"), "_id long, _text string, _v double").collect()
+    assert sorted((r._id, r._text, r._v) for r in back) == rows[:4]
+
+
+def test_user_table_functions(spark):
+    # UDF-5
+    from quern.functions.udf import flat_map
+    df = spark.createDataFrame([(1, "a b"), (2, None), (3, ""), (1, "a b")], "id long, text string")
+
+    def pieces(i, t):
+        for k, w in enumerate(t.split() if t else []):
+            yield w, k * i
+    out = flat_map(df, pieces, ["id", "text"], "word string, id long", keep=["id"])
+    assert out.columns == ["id", "word", "id"]
+    assert sorted(map(tuple, out.collect())) == [(1, "a", 0), (1, "a", 0), (1, "b", 1), (1, "b", 1)]

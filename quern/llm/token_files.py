@@ -7,7 +7,8 @@ index (id, null flag, first id, number of ids) as arrays, and a footer with thei
 positions. A block unpacks by numpy alone, and a document is read by its blocks.
 
 Rows are range-sorted by doc_id (nulls first; equal ids by text hash), encoded and
-written by one task per range, and committed through temporary names and a manifest.
+written by one task per range, and committed through temporary names and a manifest. The ranges
+follow from the rows alone, so equal rows give equal files.
 
 Defined results: a null text is the empty text, one end id long. Repeated rows are
 stored once each, side by side. An empty table gives no file and no row.
@@ -28,7 +29,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer, pre_tokenizers
 
-from quern.llm.common import TempFile, commit, file_rows, open_fs, prepare, read_manifest, scratch_path, table
+from quern.llm.common import (SHARD_BYTES, TempFile, commit, file_rows, open_fs, prepare, qualified, ranges, read_manifest,
+                              scratch_path, staged, table)
 from quern.llm.wordwise import batched, ids_of_lists, runs
 
 MAGIC = b"QTOK1\0"
@@ -248,8 +250,10 @@ def load(path: str) -> ByteEncoder:
 
 
 # --- jobs -------------------------------------------------------------------------------
-def write_token_files(docs: DataFrame, tokenizer: str, folder: str, end_id: int = 0) -> list[dict]:
+def write_token_files(docs: DataFrame, tokenizer: str, folder: str, end_id: int = 0,
+                      shard_bytes: int = SHARD_BYTES) -> list[dict]:
     """Encode ``docs(doc_id, text)`` and write them in ascending doc_id order; the manifest's rows."""
+    folder = qualified(docs.sparkSession, folder)
     library = Tokenizer.from_file(tokenizer)
     bits = bits_for(max(library.get_vocab_size(), end_id + 1))
     end = np.array([end_id], "<u4").tobytes()
@@ -277,9 +281,12 @@ def write_token_files(docs: DataFrame, tokenizer: str, folder: str, end_id: int
         yield pa.record_batch([pa.array(c, t) for c, t in zip(cols, (pa.int32(), pa.int32(), pa.string(), pa.int64(), pa.int64()))],
                               names=["part", "seq", "temp", "docs", "ids"])
 
+    sizes = staged(docs.select(F.col("doc_id").cast("long").alias("key"), F.xxhash64("text").alias("tie"),
+                               F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("bytes")), "sizes")
+    shards = ranges(sizes, nulls_first=True, shard_bytes=shard_bytes)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("_th")) \
-        .repartitionByRange(F.col("doc_id").asc_nulls_first(), "_th") \
-        .sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "_th").select("doc_id", "text")
+        .withColumn("_shard", shards.number("doc_id", "_th")).repartitionById(shards.count, "_shard") \
+        .sortWithinPartitions("_shard", F.col("doc_id").asc_nulls_first(), "_th", "text").select("doc_id", "text")
     # One row per file: as many as there are tasks, plus one for every FILE_IDS ids.
     files = rows.mapInArrow(run, "part int, seq int, temp string, docs long, ids long").collect()
     return commit(folder, [f.asDict() for f in sorted(files, key=lambda f: (f["part"], f["seq"]))], ".qtok")
@@ -287,6 +294,7 @@ def write_token_files(docs: DataFrame, tokenizer: str, folder: str, end_id: int
 
 def read_token_files(spark: SparkSession, folder: str) -> DataFrame:
     """``(doc_id, start, n_tokens, ids)`` of every stored document; ids as packed unsigned 32-bit."""
+    folder = qualified(spark, folder)
     rows, base = [], 0
     for f in read_manifest(folder):
         rows.append((f"{folder}/{f['file']}", base))

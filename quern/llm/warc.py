@@ -3,7 +3,8 @@
 Records are range-sorted by page_id, written by one task per range as gzip members,
 rolled into a new file when the compressed size passes ``roll_bytes``, and committed
 through temporary names and a manifest. Headers, record ids and digests are made anew
-from the rows, so equal input gives equal files.
+from the rows. The ranges (about ``shard_bytes`` of payload each) come from a sample by hash, so equal rows give
+equal files, whatever the session's settings and the number and order of input files.
 
 A payload that occurs more than once is stored with its smallest page_id; the others
 become ``revisit`` records that carry the full payload's digest and length.
@@ -25,8 +26,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quern.llm.common import (TempFile, commit, file_rows, open_fs, prepare, read_manifest, scratch_path,
-                              small_side, staged, table)
+from quern.llm.common import (SHARD_BYTES, TempFile, commit, file_rows, open_fs, prepare, qualified, ranges, read_manifest,
+                              scratch_path, small_side, staged, table)
 
 ROLL_BYTES = 64 << 20
 LEVEL = 6
@@ -92,26 +93,36 @@ def warcinfo() -> bytes:
                    ("Content-Type", "application/warc-fields")], block)
 
 
-def first_pages(pages: DataFrame, min_bytes: int = 0) -> DataFrame:
-    """``(digest, first_id)`` of payloads that several rows hold; moves digests and ids only."""
+def page_sizes(pages: DataFrame) -> DataFrame:
+    """``(key, tie, digest, bytes)`` of every page, written: ids, digests and lengths only."""
     payload = F.coalesce("html", F.lit("")).cast("binary")
-    return pages.where(F.octet_length(payload) >= min_bytes) \
-        .select(F.unhex(F.sha2(payload, 256)).alias("digest"), "page_id") \
-        .groupBy("digest").agg(F.count("*").alias("n"), F.min("page_id").alias("first_id")) \
+    digest = F.unhex(F.sha2(payload, 256))
+    return staged(pages.select(F.col("page_id").cast("long").alias("key"), F.xxhash64(digest).alias("tie"), digest.alias("digest"),
+                               F.octet_length(payload).cast("long").alias("bytes")), "pages")
+
+
+def first_pages(sizes: DataFrame, min_bytes: int) -> DataFrame:
+    """``(digest, first_id)`` of payloads that several rows hold; moves digests and ids only."""
+    return sizes.where(F.col("bytes") >= min_bytes) \
+        .groupBy("digest").agg(F.count("*").alias("n"), F.min("key").alias("first_id")) \
         .where("n > 1").select("digest", "first_id")
 
 
 def write_warc(pages: DataFrame, folder: str, roll_bytes: int = ROLL_BYTES, min_bytes: int = 0,
-               max_broadcast_rows: int = MAX_BROADCAST_ROWS) -> list[dict]:
+               max_broadcast_rows: int = MAX_BROADCAST_ROWS, shard_bytes: int = SHARD_BYTES) -> list[dict]:
     """Write ``pages(page_id, url, html)`` as ``folder/part-*.warc.gz``; the manifest's rows."""
-    firsts = staged(first_pages(pages, min_bytes), "payloads")
+    folder = qualified(pages.sparkSession, folder)
+    sizes = page_sizes(pages)
+    firsts = staged(first_pages(sizes, min_bytes), "payloads")
+    shards = ranges(sizes, nulls_first=False, shard_bytes=shard_bytes)
     payload = F.coalesce("html", F.lit("")).cast("binary")
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url"), payload.alias("payload")) \
         .withColumn("digest", F.unhex(F.sha2("payload", 256))) \
         .join(small_side(firsts.withColumn("repeats", F.lit(True)), firsts.count(), max_broadcast_rows),
               "digest", "left") \
-        .repartitionByRange(F.col("page_id").asc_nulls_last(), "digest") \
-        .sortWithinPartitions(F.col("page_id").asc_nulls_last(), "digest", "url") \
+        .withColumn("tie", F.xxhash64("digest")).withColumn("shard", shards.number("page_id", "tie")) \
+        .repartitionById(shards.count, "shard") \
+        .sortWithinPartitions("shard", F.col("page_id").asc_nulls_last(), "tie", "digest", "url") \
         .select("page_id", "url", "payload", "digest", "first_id", "repeats")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -174,6 +185,7 @@ def parse(record: bytes) -> tuple[dict[str, str], bytes]:
 
 def read_warc(spark: SparkSession, folder: str) -> DataFrame:
     """Every page record of the archives, digests verified; payload is null for revisits."""
+    folder = qualified(spark, folder)
     rows = [(f"{folder}/{f['file']}",) for f in read_manifest(folder)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -44,20 +44,20 @@ def haversine(lat1, lon1, lat2, lon2, radius: float = EARTH_RADIUS_KM) -> Column
 def exact_sum(c) -> Column:
     """Sum of a column as a double that does not depend on the order of summation.
 
-    Three decimal sums of 18 places: values below 1e19, what their 18 places leave over (times 1e18,
-    so 36 places in all), and larger values divided by 2 ** 60. Digits behind those places are cut; the three sums are rounded
-    to doubles and added. Where a value is not finite, is 1e38 or more, or a sum does not fit, it is the plain sum of doubles.
+    Three decimal sums: values below 1e19 with 18 places, what those places leave over (times 1e18, so 36 places
+    in all), and larger values without places. Digits behind them are rounded; the three sums become
+    doubles and are added. Where a value is not finite, is 1e38 or more, or a sum does not fit, it is the plain sum of doubles.
     """
     x, d = col_(c).cast("double"), "decimal(38,18)"
     small = F.abs(x) < 1e19
     m = F.when(small, col_(c)).try_cast(d)
-    big = F.when(~small, x / F.lit(2.0 ** 60)).try_cast(d)
+    big = F.when(~small, col_(c)).try_cast("decimal(38,0)")
     rest = ((F.when(small, x) - m.cast("double")) * F.lit(1e18)).try_cast(d)
 
     def part(v, scale):
         return F.when(F.count(v) == 0, 0.0).otherwise(F.try_sum(v).cast("double") * F.lit(scale))
     whole = (F.count(x) > 0) & (F.count(m) + F.count(big) == F.count(x))
-    exact = F.when(whole, part(m, 1.0) + part(big, 2.0 ** 60) + part(rest, 1e-18))
+    exact = F.when(whole, part(m, 1.0) + part(big, 1.0) + part(rest, 1e-18))
     return F.coalesce(exact, F.sum(x))
 
 

@@ -52,7 +52,8 @@ def exact_sum(c) -> Column:
     small = F.abs(x) < 1e19
     m = F.when(small, col_(c)).try_cast(d)
     big = F.when(~small, col_(c)).try_cast("decimal(38,0)")
-    rest = ((F.when(small, x) - m.cast("double")) * F.lit(1e18)).try_cast(d)
+    # From 0.1 on, a double's shortest digits end within 18 places.
+    rest = F.when(F.abs(x) < 0.1, (x - m.cast("double")) * F.lit(1e18)).try_cast(d)
 
     def part(v, scale):
         return F.when(F.count(v) == 0, 0.0).otherwise(F.try_sum(v).cast("double") * F.lit(scale))

@@ -4,7 +4,7 @@
 ``MapReduceDistributed(..., PARTITIONER, COMBINER)`` re-expressed on Spark:
 
 * map      → ``mapInPandas`` (Arrow batches, vectorised user code),
-* combine  → the same task folds its batches into one partial row set per key
+* combine  → the same task folds its batches into partial rows per key
              before the shuffle (map-side combine),
 * shuffle  → ``repartition(key)`` (hash, the default) or ``repartitionByRange``,
 * reduce   → ``groupBy(key).applyInPandas``, on the shuffle above. For very many small
@@ -22,35 +22,55 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 
 BatchFn = Callable[[pd.DataFrame], pd.DataFrame]
 ReduceFn = Callable[..., pd.DataFrame]
-# Rows of a task's partial before it is handed to the shuffle.
-PARTIAL_ROWS = 500_000
+# Rows of a task's partials before they are combined, and handed to the shuffle if half of them stay.
+PARTIAL_ROWS = 400_000
+# Characters (list entries) of the rows of one call of a map function; a longer row goes alone.
+MAP_CHARS = 1_000_000
+
+
+def _slices(pdf: pd.DataFrame) -> Iterator[pd.DataFrame]:
+    """The rows of an Arrow batch in runs of about ``MAP_CHARS``: what a map function makes of long texts stays bounded."""
+    size = np.zeros(len(pdf))
+    for i, dtype in enumerate(pdf.dtypes):
+        if dtype == object:
+            size += pdf.iloc[:, i].map(lambda v: len(v) if hasattr(v, "__len__") else 0).to_numpy()
+    run = np.cumsum(size) // MAP_CHARS
+    cuts = [0, *(np.flatnonzero(np.diff(run)) + 1), len(pdf)]
+    if len(cuts) == 2:
+        yield pdf
+        return
+    for a, b in zip(cuts, cuts[1:]):
+        yield pdf.iloc[a:b].reset_index(drop=True)
 
 
 def _map_and_combine(map_fn: BatchFn, combine_fn: BatchFn | None):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        mapped = (map_fn(rows) for pdf in batches for rows in _slices(pdf))
         if combine_fn is None:
-            for pdf in batches:
-                out = map_fn(pdf)
-                if len(out):
-                    yield out
+            yield from (out for out in mapped if len(out))
             return
-        partial = None
-        for pdf in batches:
-            out = map_fn(pdf)
+        pile, rows = [], 0
+        for out in mapped:
             if not len(out):
                 continue
-            partial = combine_fn(out if partial is None else pd.concat([partial, out],
-                                                                       ignore_index=True))
-            if len(partial) >= PARTIAL_ROWS:      # a wide vocabulary: pass it on, the reducer adds up
+            pile.append(combine_fn(out))
+            rows += len(pile[-1])
+            if rows >= PARTIAL_ROWS:
+                pile = [combine_fn(pd.concat(pile, ignore_index=True))]
+                rows = len(pile[0])
+                if rows >= PARTIAL_ROWS // 2:     # a wide vocabulary: pass it on, the reducer adds up
+                    yield pile.pop()
+                    rows = 0
+        if pile:
+            partial = combine_fn(pd.concat(pile, ignore_index=True))
+            if len(partial):
                 yield partial
-                partial = None
-        if partial is not None and len(partial):
-            yield partial
     return run
 
 

@@ -224,3 +224,40 @@ def test_a_huge_tip_does_not_stop_the_stream(spark, tmp_path):
     s = read_stream(spark, src, spark.read.parquet(src).schema)
     out = run_to_table(spark, jobs.hourly_tips(s).select("driver_id", "tips"), new_run(spark, "huge")).collect()
     assert {x.driver_id: x.tips for x in out} == {1: 1e21, 2: 0.5}
+
+
+def test_map_calls_see_a_bounded_length_of_text_and_every_row():
+    import pandas as pd
+
+    from quern.operators import keyed
+    seen = []
+
+    def map_fn(pdf):
+        seen.append(int(pdf["text"].dropna().str.len().sum()))
+        return pd.DataFrame({"word": pdf["text"].dropna().str.split(" ").explode().to_numpy(), "n": 1})
+
+    def add(pdf):
+        return pdf.groupby("word", as_index=False, sort=False)["n"].sum()
+
+    texts = ["a bb " + "c" * 95] * 30_000 + [None, "", "d" * 3_000_000] + ["a e"] * 5
+    batches = [pd.DataFrame({"text": texts}), pd.DataFrame({"text": texts[:0]})]
+    out = list(keyed._map_and_combine(map_fn, add)(iter(batches)))
+    whole = add(pd.concat(out)).set_index("word")["n"].to_dict()
+    assert whole == {"a": 30_005, "bb": 30_000, "c" * 95: 30_000, "": 1, "d" * 3_000_000: 1, "e": 5}
+    # A call takes a million characters and the row that passes them.
+    assert max(n for n in seen if n < 3_000_000) <= keyed.MAP_CHARS + 100 and len(seen) > 3
+
+
+def test_partials_are_handed_on_before_they_grow(monkeypatch):
+    import pandas as pd
+
+    from quern.operators import keyed
+    monkeypatch.setattr(keyed, "PARTIAL_ROWS", 1000)
+
+    def add(pdf):
+        return pdf.groupby("word", as_index=False, sort=False)["n"].sum()
+
+    batches = [pd.DataFrame({"word": [f"w{i}" for i in range(k, k + 300)], "n": 1}) for k in range(0, 6000, 150)]
+    out = list(keyed._map_and_combine(lambda pdf: pdf, add)(iter(batches)))
+    assert max(len(p) for p in out) < 1300 and len(out) > 3
+    assert pd.concat(out)["n"].sum() == 300 * len(batches) and pd.concat(out)["word"].nunique() == 6150

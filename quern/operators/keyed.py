@@ -39,7 +39,7 @@ def _slices(pdf: pd.DataFrame) -> Iterator[pd.DataFrame]:
     size = np.zeros(len(pdf))
     for i, dtype in enumerate(pdf.dtypes):
         if dtype == object:
-            size += pdf.iloc[:, i].map(lambda v: len(v) if hasattr(v, "__len__") else 0).to_numpy()
+            size += pdf.iloc[:, i].map(lambda v: len(v) if hasattr(v, "__len__") else 0).to_numpy(dtype=float)
     run = np.cumsum(size) // MAP_CHARS
     cuts = [0, *(np.flatnonzero(np.diff(run)) + 1), len(pdf)]
     if len(cuts) == 2:

@@ -240,7 +240,7 @@ def test_map_calls_see_a_bounded_length_of_text_and_every_row():
         return pdf.groupby("word", as_index=False, sort=False)["n"].sum()
 
     texts = ["a bb " + "c" * 95] * 30_000 + [None, "", "d" * 3_000_000] + ["a e"] * 5
-    batches = [pd.DataFrame({"text": texts}), pd.DataFrame({"text": texts[:0]})]
+    batches = [pd.DataFrame({"text": texts}), pd.DataFrame({"text": texts[:0]}, dtype=object)]
     out = list(keyed._map_and_combine(map_fn, add)(iter(batches)))
     whole = add(pd.concat(out)).set_index("word")["n"].to_dict()
     assert whole == {"a": 30_005, "bb": 30_000, "c" * 95: 30_000, "": 1, "d" * 3_000_000: 1, "e": 5}
@@ -261,3 +261,34 @@ def test_partials_are_handed_on_before_they_grow(monkeypatch):
     out = list(keyed._map_and_combine(lambda pdf: pdf, add)(iter(batches)))
     assert max(len(p) for p in out) < 1300 and len(out) > 3
     assert pd.concat(out)["n"].sum() == 300 * len(batches) and pd.concat(out)["word"].nunique() == 6150
+
+
+def test_posting_lists_over_many_ranges_with_repeated_and_null_ids(spark):
+    """Words that span ranges, blocks that span Arrow batches, ids that repeat or are missing."""
+    rows = [(i % 2900 if i % 7 else None, f"hot warm{i % 3} w{i} \n") for i in range(3000)] + [(5, None), (6, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    want = defaultdict(set)
+    for i, t in rows:
+        for w in (t.split(" ") if t is not None else []):
+            want[w].add(None if i is None else str(i))
+    order = {w: sorted(ids, key=lambda v: (v is not None, v or "")) for w, ids in want.items()}
+    conf = {"spark.sql.shuffle.partitions": "13", "spark.sql.execution.arrow.maxRecordsPerBatch": "100"}
+    before = {k: spark.conf.get(k) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        flat = [(r.word, r.doc_id) for r in text.inverted_index(docs).collect()]
+        blocks = text.inverted_index_blocks(docs, block_ids=250).collect()
+        plan = text.inverted_index(docs)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert flat == [(w, i) for w in sorted(order, key=lambda w: w.encode()) for i in order[w]]
+    got = defaultdict(dict)
+    for b in blocks:
+        assert b.block_no not in got[b.word]
+        got[b.word][b.block_no] = b.doc_ids
+    assert {w: [i for k in sorted(bs) for i in bs[k]] for w, bs in got.items()} == order
+    assert all(sorted(bs) == list(range(-(-len(order[w]) // 250))) and all(len(bs[k]) == 250 for k in sorted(bs)[:-1])
+               for w, bs in got.items())
+    assert plan.count("rangepartitioning") == 1 and "hashpartitioning" not in plan     # the postings move once

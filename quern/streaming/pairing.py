@@ -68,6 +68,7 @@ class SlotPairing(StatefulProcessor):
         self.slots = handle.getMapState("slots", self.id_type, self.slot_type)
         if self.expire:
             self.due = handle.getMapState("due", self.due_type, self.ids_type)
+            self.fired: dict[tuple, bool] = {}        # buckets with a timer in this micro-batch; True: none waits in it any more
 
     def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
         watermark = timerValues.getCurrentWatermarkInMs() if self.expire else 0
@@ -116,6 +117,17 @@ class SlotPairing(StatefulProcessor):
                 self.handle.deleteTimer(due_ms)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        bucket = tuple(key)
+        if bucket not in self.fired:
+            watermark = timerValues.getCurrentWatermarkInMs()
+            self.fired[bucket] = all(due[0] < watermark for due in self.due.keys())
+            if self.fired[bucket]:                    # all that waits is due: read at once, not id by id
+                for (ride_id,), slot in self.slots.iterator():
+                    yield self.lone(ride_id, slot)
+                self.slots.clear()
+                self.due.clear()
+        if self.fired[bucket]:
+            return
         due_ms = expiredTimerInfo.getExpiryTimeInMs()
         for ride_id in (self.due.getValue((due_ms,)) or ([],))[0]:
             yield self.lone(ride_id, self.slots.getValue((ride_id,)))

@@ -182,3 +182,38 @@ print("ROWS", E.queries()["ride_fare_pairs"](get_session("local[2]", shuffle_par
     env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
     out = subprocess.run([sys.executable, "-c", code], cwd="/", env=env, capture_output=True, text=True, timeout=300)
     assert "ROWS" in out.stdout and int(out.stdout.split("ROWS")[1].split()[0]) > 0, out.stderr[-2000:]
+
+
+def test_a_bucket_that_is_wholly_due_is_read_at_once():
+    """No state call per waiting id when all that waits in a bucket expires; else only the ids due are taken."""
+    from types import SimpleNamespace
+
+    from pyspark.sql import types as T
+
+    from quern.streaming.pairing import SlotPairing
+
+    class Held(dict):
+        calls = 0
+
+        def iterator(self):
+            return iter(list(self.items()))
+
+        def getValue(self, key):
+            self.calls += 1
+            return self.get(key)
+
+        def removeKey(self, key):
+            self.calls += 1
+            self.pop(key, None)
+
+    def expire(watermark):
+        slots = Held({(i,): (10 * (i % 3 + 1), ("ride", i), None) for i in range(30)})
+        due = Held({(10 * (k + 1),): ([i for i in range(30) if i % 3 == k],) for k in range(3)})
+        p = SlotPairing(T.StructType([]), T.StructType([]), True)
+        p.init(SimpleNamespace(getMapState=lambda name, *_: {"slots": slots, "due": due}[name]))
+        out = [r.ride_id for t in (10, 20, 30) if t < watermark for r in p.handleExpiredTimer(
+            (0,), SimpleNamespace(getCurrentWatermarkInMs=lambda: watermark), SimpleNamespace(getExpiryTimeInMs=lambda: t))]
+        return sorted(out), sorted(i for i, in slots), slots.calls
+
+    assert expire(31) == (list(range(30)), [], 0)
+    assert expire(25) == ([i for i in range(30) if i % 3 < 2], [i for i in range(30) if i % 3 == 2], 40)

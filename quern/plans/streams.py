@@ -103,9 +103,9 @@ class TipTotal(WindowFunction):
 
 def hourly_tips_user_window(spark: SparkSession, sf: str) -> DataFrame:
     """UDF-7 + STR-3: tips per driver and hour through a user's window function, closed by the watermark."""
-    run = new_run(spark, "hourly-user")
+    run = new_run(spark, "hourly-user", large_state=True)
     fares = _fare_stream(spark, sf, run).withColumn("tip", F.col("tip").try_cast("decimal(38,18)"))
-    h = window_aggregate(fares, "driver_id", TipTotal(), "1 hour", jobs.MAX_EVENT_DELAY, state_buckets(spark, run))
+    h = window_aggregate(fares, "driver_id", TipTotal(), "1 hour", jobs.MAX_EVENT_DELAY)
     out = run_to_table(spark, h, run)
     return out.filter(F.col("driver_id") >= 0).select(
         _ntz("window_end"), "driver_id", F.col("tips").cast("double").alias("tips"))

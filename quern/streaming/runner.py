@@ -27,11 +27,13 @@ class StreamRun:
     checkpoint: str
     # End-of-input markers still to be written: (directory, schema, row values).
     ends: list = field(default_factory=list)
+    # State is kept off the JVM's heap, whatever the session's provider.
+    large_state: bool = False
 
 
-def new_run(spark: SparkSession, name: str) -> StreamRun:
+def new_run(spark: SparkSession, name: str, large_state: bool = False) -> StreamRun:
     base = scratch_path(spark, f"stream-{name}")
-    return StreamRun(sink=f"{base}/sink", checkpoint=f"{base}/checkpoint")
+    return StreamRun(sink=f"{base}/sink", checkpoint=f"{base}/checkpoint", large_state=large_state)
 
 
 def state_buckets(spark: SparkSession, run: StreamRun, per_partition: int = 4) -> int:
@@ -97,7 +99,7 @@ def start_stream(stream: DataFrame, run: StreamRun, output_mode: str = "append",
               .option("checkpointLocation", run.checkpoint))
     if fmt == "parquet":
         writer = writer.option("path", run.sink)
-    return _start(stream, writer, processing_time, query_name)
+    return _start(stream, writer, processing_time, query_name, run.large_state)
 
 
 # State variables with timers live in Spark's RocksDB provider only.
@@ -105,14 +107,15 @@ _PROVIDER = "spark.sql.streaming.stateStore.providerClass"
 _ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
-def _start(stream: DataFrame, writer, processing_time: str | None = None, query_name: str | None = None):
+def _start(stream: DataFrame, writer, processing_time: str | None = None, query_name: str | None = None,
+           large_state: bool = False):
     """Start a writer; a query takes the session's settings with it, so the provider is set for this one only."""
     if query_name:
         writer = writer.queryName(query_name)
     writer = writer.trigger(processingTime=processing_time) if processing_time \
         else writer.trigger(availableNow=True)
     conf, before = stream.sparkSession.conf, stream.sparkSession.conf.get(_PROVIDER)
-    if "TransformWithState" in stream._jdf.queryExecution().analyzed().toString():
+    if large_state or "TransformWithState" in stream._jdf.queryExecution().analyzed().toString():
         conf.set(_PROVIDER, _ROCKSDB)
     try:
         return writer.start()
@@ -153,7 +156,7 @@ def run_to_tables(spark: SparkSession, stream: DataFrame, run: StreamRun, tables
 
     def start(continuous: bool):
         writer = stream.writeStream.foreachBatch(write).outputMode("append").option("checkpointLocation", run.checkpoint)
-        return _start(stream, writer, "0 seconds" if continuous else None)
+        return _start(stream, writer, "0 seconds" if continuous else None, large_state=run.large_state)
 
     _run(spark, stream, run, start, "", timeout_s)
     return {name: spark.read.parquet(f"{run.sink}/{name}").drop("batch_id") for name in tables}

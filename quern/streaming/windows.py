@@ -1,8 +1,10 @@
 """UDF-7: the user's own function over event-time windows of a stream.
 
 A ``WindowFunction`` has an accumulator per key and window: ``zero``, ``add`` (a row), ``merge`` (two accumulators)
-and ``result``, which is called once, when the watermark passes the window's end. Rows of a micro-batch are
-folded first and merged with the stored accumulator then; one typed state row is kept per key and window. Rows of windows that the watermark
+and ``result``, which is called once, when the watermark passes the window's end. The rows of a micro-batch are
+folded to an accumulator per key and window first; Spark's own window aggregate keeps these in one
+state row per key and window, and they are merged when it closes. So state is read and written by the JVM alone, and its size
+follows the micro-batches that had rows of a window, not its rows. Rows of windows that the watermark
 has closed are dropped, rows of open windows are taken however late (the rule of Spark's own window aggregates).
 """
 
@@ -10,16 +12,20 @@ from __future__ import annotations
 
 from abc import ABC, abstractmethod
 from collections.abc import Iterator
+from functools import reduce
 from typing import Any
 
+import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.streaming.stateful_processor import StatefulProcessor
+from pyspark.sql.conversion import LocalDataToArrowConversion
 
 cloudpickle.register_pickle_by_value(__import__(__name__, fromlist=["*"]))
 
+WINDOWS_AT_ONCE = 50_000         # keys and windows that a task holds before it passes their accumulators on
+
 
 class WindowFunction(ABC):
     """A user's window function; ``accumulator`` and ``output`` are DDL strings of their columns."""
@@ -44,69 +50,50 @@ class WindowFunction(ABC):
         """Values of ``output`` of a closed window."""
 
 
-class _Windows(StatefulProcessor):
-    """All windows of the keys of one bucket: accumulators by (end, key), and the keys of each end with its timer."""
-
-    def __init__(self, fn: WindowFunction, key_type: T.DataType, length_ms: int):
-        self.fn, self.length_ms = fn, length_ms
-        self.slot_type = T.StructType([T.StructField("end_ms", T.LongType()), T.StructField("key", key_type)])
-        self.end_type = T.StructType([T.StructField("end_ms", T.LongType())])
-        self.acc_type = T.StructType.fromDDL(fn.accumulator)
-        self.keys_type = T.StructType([T.StructField("keys", T.ArrayType(key_type))])
-        self.names = [f.name for f in T.StructType.fromDDL(fn.output)]
-
-    def init(self, handle) -> None:
-        self.handle = handle
-        self.held = handle.getMapState("accumulators", self.slot_type, self.acc_type)
-        self.ends = handle.getMapState("ends", self.end_type, self.keys_type)
-
-    def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
-        partial: dict[int, dict[Any, tuple]] = {}
-        for r in rows:
-            accs = partial.setdefault(r["_end_ms"], {})
-            accs[r["_key"]] = self.fn.add(accs.get(r["_key"]) or self.fn.zero(), r["_row"])
-        known = self.ends.exists()
-        for end_ms, accs in partial.items():
-            stored = self.ends.getValue((end_ms,)) if known else None
-            before = set(stored[0]) if stored else set()
-            for k, acc in accs.items():
-                if k in before:
-                    acc = self.fn.merge(tuple(self.held.getValue((end_ms, k))), acc)
-                self.held.updateValue((end_ms, k), tuple(acc))
-            if not before.issuperset(accs):
-                self.ends.updateValue((end_ms,), (list(before.union(accs)),))
-            if not stored:
-                self.handle.registerTimer(end_ms)
-        return iter(())
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        end_ms = expiredTimerInfo.getExpiryTimeInMs()
-        for k in (self.ends.getValue((end_ms,)) or ([],))[0]:
-            values = self.fn.result(k, end_ms - self.length_ms, end_ms, tuple(self.held.getValue((end_ms, k))))
-            yield Row(_end_ms=end_ms, _key=k, _out=Row(*self.names)(*values))
-            self.held.removeKey((end_ms, k))
-        self.ends.removeKey((end_ms,))
-
-    def close(self) -> None:
-        pass
-
-
-def window_aggregate(stream: DataFrame, key: str, fn: WindowFunction, length: str, delay: str, buckets: int,
+def _fold(batches: Iterator[pa.RecordBatch], fn: WindowFunction, out: T.StructType) -> Iterator[pa.RecordBatch]:
+    """An accumulator per key and window of the task's rows, and the latest time among them."""
+    held: dict[tuple, list] = {}
+
+    def folded() -> list[pa.RecordBatch]:
+        rows = [(k, us, tuple(acc)) for (k, _), (us, acc) in held.items()]
+        held.clear()
+        return LocalDataToArrowConversion.convert(rows, out, False).to_batches()
+
+    for rb in batches:
+        names = [f.name for f in rb.schema.field("row").type]
+        values = zip(*(c.to_pylist() for c in rb.column("row").flatten()))
+        for k, end, us, row in zip(*(rb.column(c).to_pylist() for c in ("key", "end", "us")), values):
+            last = held.get((k, end))
+            if last is None:
+                held[k, end] = [us, fn.add(fn.zero(), dict(zip(names, row)))]
+            else:
+                last[0], last[1] = max(last[0], us), fn.add(last[1], dict(zip(names, row)))
+        if len(held) >= WINDOWS_AT_ONCE:
+            yield from folded()
+    if held:
+        yield from folded()
+
+
+def window_aggregate(stream: DataFrame, key: str, fn: WindowFunction, length: str, delay: str, buckets: int | None = None,
                      time: str = "event_time") -> DataFrame:
     """``(window_start, window_end, key, fn's output)``: each closed tumbling window of each key, once (append).
 
-    ``buckets`` hash buckets of the key share calls; the count must stay the same on one checkpoint. Null keys are left out.
+    Null keys are left out. ``buckets`` has no effect any more: state is spread over the shuffle's partitions by key and window.
     """
-    rows = stream.where(F.col(key).isNotNull()).withWatermark(time, delay)
-    length_ms = stream.sparkSession.sql(f"SELECT unix_millis(timestamp_millis(0) + INTERVAL {length})").first()[0]
-    key_type = stream.schema[key].dataType
-    # Lateness is judged by the window's end, as the row's own time is not carried along.
-    windowed = rows.select(F.window(time, length).alias("_window"), F.col(key).alias("_key"),
-                           F.struct(*[F.col(f"`{c}`") for c in stream.columns if c != time]).alias("_row")) \
-        .withColumn("_end_ms", F.unix_millis("_window.end")) \
-        .withColumn("_bucket", F.pmod(F.xxhash64("_key"), F.lit(buckets)))
-    out = T.StructType([T.StructField("_end_ms", T.LongType()), T.StructField("_key", key_type),
-                        T.StructField("_out", T.StructType.fromDDL(fn.output))])
-    closed = windowed.groupBy("_bucket").transformWithState(_Windows(fn, key_type, length_ms), out, "append", "EventTime")
-    return closed.select(F.timestamp_millis(F.col("_end_ms") - length_ms).alias("window_start"),
-                         F.timestamp_millis("_end_ms").alias("window_end"), F.col("_key").alias(key), "_out.*")
+    partial = T.StructType([T.StructField("key", stream.schema[key].dataType), T.StructField("us", T.LongType()),
+                            T.StructField("acc", T.StructType.fromDDL(fn.accumulator))])
+
+    def result(k, start_ms: int, end_ms: int, accs: list[Row]) -> tuple:
+        return fn.result(k, start_ms, end_ms, reduce(fn.merge, map(tuple, accs)))
+
+    rows = stream.where(F.col(key).isNotNull() & F.col(time).isNotNull()).select(
+        F.col(key).alias("key"), F.unix_micros(F.window(time, length)["end"]).alias("end"), F.unix_micros(time).alias("us"),
+        F.struct(*[F.col(f"`{c}`") for c in stream.columns if c != time]).alias("row"))
+    # The latest time of a window's rows lies in the window and carries the watermark on.
+    held = rows.repartition("key", "end").mapInArrow(lambda batches: _fold(batches, fn, partial), partial) \
+        .withColumn("time", F.timestamp_micros("us")).withWatermark("time", delay) \
+        .groupBy(F.window("time", length), "key").agg(F.collect_list("acc").alias("accs"))
+    closed = held.withColumn("out", F.udf(result, T.StructType.fromDDL(fn.output), useArrow=True)(
+        "key", F.unix_millis("window.start"), F.unix_millis("window.end"), "accs"))
+    return closed.select(F.col("window.start").alias("window_start"), F.col("window.end").alias("window_end"),
+                         F.col("key").alias(key), "out.*")

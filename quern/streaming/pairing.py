@@ -5,12 +5,18 @@ slot). Slots are entries of a map state, so Spark stores one row per waiting rid
 columns of ride or fare in their own types, and a micro-batch reads and writes the rows of the
 ids that it touches. The map's own key is a hash bucket of the ride id: Spark calls the
 processor once per bucket and micro-batch, and not once per id.
+
+Without expiry a bucket's rows reach the processor as Arrow blocks (``BlockPairing``): what Python does for each row by itself
+is the state call of an id that waits, or that finds a waiting one.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
@@ -21,6 +27,8 @@ from pyspark.sql.streaming.stateful_processor import StatefulProcessor
 cloudpickle.register_pickle_by_value(__import__(__name__, fromlist=["*"]))
 
 MATCHED, LONE_RIDE, LONE_FARE = "matched", "unmatched_ride", "unmatched_fare"
+NO_TIME = -(1 << 62)             # rows without a time come before all others
+PACK_ROWS, PACK_BYTES = 200_000, 1 << 26     # rows that a task holds before it passes them on as blocks, one a bucket
 
 
 def payload(df: DataFrame) -> list[str]:
@@ -70,6 +78,11 @@ class SlotPairing(StatefulProcessor):
             self.due = handle.getMapState("due", self.due_type, self.ids_type)
             self.fired: dict[tuple, bool] = {}        # buckets with a timer in this micro-batch; True: none waits in it any more
 
+    @staticmethod
+    def us(r: Row) -> int:
+        us = (r.ride or r.fare)["_us"]
+        return NO_TIME if us is None else us
+
     def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
         watermark = timerValues.getCurrentWatermarkInMs() if self.expire else 0
         by_id: dict[int, list[Row]] = {}
@@ -83,9 +96,9 @@ class SlotPairing(StatefulProcessor):
                 yield self.lone(ride_id, slot)             # its timer was due before these rows came
                 slot = None
             # Arrival order inside a micro-batch: event time, rides first.
-            for r in sorted(events, key=lambda r: (r.ride or r.fare)["_us"] * 2 + (r.ride is None)):
+            for r in sorted(events, key=lambda r: self.us(r) * 2 + (r.ride is None)):
                 if slot is None or (slot[1] is None) == (r.ride is None):
-                    slot = (max((r.ride or r.fare)["_us"] // 1000, watermark + 1), r.ride, r.fare)
+                    slot = (max(self.us(r) // 1000, watermark + 1), r.ride, r.fare)
                 else:
                     yield Row(ride_id=ride_id, status=MATCHED, ride=slot[1] or r.ride, fare=slot[2] or r.fare)
                     slot = None
@@ -142,13 +155,89 @@ class SlotPairing(StatefulProcessor):
         pass
 
 
+def _block(table: pa.Table) -> bytes:
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, table.schema) as out:
+        out.write_table(table)
+    return sink.getvalue().to_pybytes()
+
+
+def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows with a ``_bucket`` as blocks of the other columns, one a bucket of each pile of rows."""
+    def packed(pile: list[pa.RecordBatch]) -> pa.RecordBatch:
+        t = pa.Table.from_batches(pile).combine_chunks()
+        t = t.take(np.argsort(t["_bucket"].to_numpy(), kind="stable"))
+        buckets, starts = np.unique(t["_bucket"].to_numpy(), return_index=True)
+        rows = t.drop_columns(["_bucket"])
+        return pa.record_batch([pa.array(buckets), pa.array([_block(rows.slice(a, b - a)) for a, b in zip(starts, [*starts[1:], len(t)])],
+                                                            pa.binary())], names=["_bucket", "block"])
+    pile, rows, size = [], 0, 0
+    for rb in batches:
+        pile.append(rb)
+        rows, size = rows + rb.num_rows, size + rb.nbytes
+        if rows >= PACK_ROWS or size >= PACK_BYTES:
+            yield packed(pile)
+            pile, rows, size = [], 0, 0
+    if rows:
+        yield packed(pile)
+
+
+def _unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The rows of blocks, and the rows that came as such."""
+    for rb in batches:
+        yield rb.filter(rb.column("block").is_null()).select(["ride_id", "ride", "fare"])
+        for block in rb.column("block").drop_null():
+            yield from pa.ipc.open_stream(block.as_buffer()).read_all().to_batches()
+
+
+class BlockPairing(SlotPairing):
+    """``SlotPairing`` without expiry over blocks of rows.
+
+    An id whose rows of the micro-batch are one ride and one fare, and an id with one row, neither with
+    a waiting row, are told apart by one sort of the bucket's rows; the rest goes the way of single rows.
+    """
+
+    def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
+        t = pa.concat_tables([pa.ipc.open_stream(r.block).read_all() for r in rows]).combine_chunks()
+        ids, is_fare = t["ride_id"].to_numpy(), t["ride"].is_null().to_numpy()
+        us = pc.fill_null(pc.coalesce(*(pc.struct_field(t[s], "_us") for s in ("ride", "fare"))), NO_TIME).to_numpy()
+        order = np.lexsort((is_fare, us, ids))
+        ids = ids[order]
+        heads = np.flatnonzero(np.concatenate([[True], ids[1:] != ids[:-1]]))
+        sizes = np.diff(np.append(heads, len(ids)))
+        free = np.ones(len(heads), bool)
+        if self.slots.exists():
+            free[:] = [self.slots.getValue((i,)) is None for i in ids[heads].tolist()]
+        one, two = order[heads], order[np.minimum(heads + 1, len(ids) - 1)]
+        pairs = free & (sizes == 2) & (is_fare[one] != is_fare[two])
+        lone = free & (sizes == 1)
+        others = t.take(order[np.repeat(~(pairs | lone), sizes)])
+        yield from super().handleInputRows(key, (Row(**r) for r in others.to_pylist()), timerValues)
+        if pairs.any():
+            a, b = one[pairs], two[pairs]
+            yield Row(block=_block(pa.table({"ride_id": t["ride_id"].take(a), "ride": t["ride"].take(np.where(is_fare[a], b, a)),
+                                             "fare": t["fare"].take(np.where(is_fare[a], a, b))})))
+        at = one[lone]
+        for kind, some in ((1, at[~is_fare[at]]), (2, at[is_fare[at]])):
+            waiting = t["ride" if kind == 1 else "fare"].take(some).combine_chunks()
+            values = zip(*(c.to_pylist() for c in waiting.flatten()))
+            for ride_id, ms, row in zip(t["ride_id"].take(some).to_pylist(), np.maximum(us[some] // 1000, 1).tolist(), values):
+                self.slots.updateValue((ride_id,), (ms, row, None) if kind == 1 else (ms, None, row))
+
+
 def pair_by_slots(union: DataFrame, buckets: int, expire: bool) -> DataFrame:
     """``(ride_id, status, ride_time, fare_time)`` and the structs ``ride`` and ``fare`` of the further columns."""
     ride, fare = union.schema["ride"].dataType, union.schema["fare"].dataType
     out = T.StructType([T.StructField("ride_id", T.LongType()), T.StructField("status", T.StringType()),
                         T.StructField("ride", ride), T.StructField("fare", fare)])
-    paired = union.withColumn("_bucket", F.pmod(F.xxhash64("ride_id"), F.lit(buckets))).groupBy("_bucket") \
-        .transformWithState(SlotPairing(ride, fare, expire), out, "append", "EventTime" if expire else "None")
+    bucketed = union.withColumn("_bucket", F.pmod(F.xxhash64("ride_id"), F.lit(buckets)))
+    if expire:
+        paired = bucketed.groupBy("_bucket").transformWithState(SlotPairing(ride, fare, True), out, "append", "EventTime")
+    else:
+        sides = T.StructType([f for f in out if f.name != "status"])
+        blocks = bucketed.drop("event_time").mapInArrow(_pack, "_bucket long, block binary").groupBy("_bucket") \
+            .transformWithState(BlockPairing(ride, fare, False), T.StructType([*sides, T.StructField("block", T.BinaryType())]), "append", "None")
+        paired = blocks.mapInArrow(_unpack, sides).withColumn("status", F.lit(MATCHED))
     return paired.select(
         "ride_id", "status", *[F.timestamp_micros(f"{s}._us").alias(f"{s}_time") for s in ("ride", "fare")],
         *[F.when(F.col(s).isNotNull(), F.struct(*[F.col(f"{s}.`{f}`") for f in t.names[1:]])).alias(s)

@@ -40,7 +40,7 @@ def ids_of_lists(words: pa.ListArray, ids_of: Callable[[list[str]], list[bytes]]
     for k in range(0, len(flat), WORDS_IN_BLOCK):
         block = flat.slice(k, WORDS_IN_BLOCK).dictionary_encode()
         which = block.indices.to_numpy()
-        found = ids_of(block.dictionary.to_pylist())
+        found = ids_of(block.dictionary.to_numpy(zero_copy_only=False).tolist())
         lens = np.fromiter(map(len, found), np.int64, len(found)) // 4
         n = lens[which]
         ends = np.cumsum(n)

@@ -189,7 +189,7 @@ def _expiring_inputs(spark, sf, run):
 def expiring_pairs(spark: SparkSession, sf: str) -> DataFrame:
     """FIL-11 + FIL-12 + JOIN-8a + STR-8: pairs, unmatched rides and unmatched fares
     within a 60-day bound, each from its own table."""
-    run = new_run(spark, "expiring")
+    run = new_run(spark, "expiring", large_state=True)
     rides, fares = _expiring_inputs(spark, sf, run)
     tables = run_to_tables(spark, jobs.expiring_join(rides, fares, PAIRING_BOUND), run, jobs.side_outputs())
     out = tables["matched"].unionByName(tables["unmatched_rides"]).unionByName(tables["unmatched_fares"])
@@ -198,7 +198,7 @@ def expiring_pairs(spark: SparkSession, sf: str) -> DataFrame:
 
 def unmatched_fares(spark: SparkSession, sf: str) -> DataFrame:
     """JOIN-9: the side output the reference prints — fares without a ride, the only rows this run stores."""
-    run = new_run(spark, "unmatched-fares")
+    run = new_run(spark, "unmatched-fares", large_state=True)
     rides, fares = _expiring_inputs(spark, sf, run)
     out = run_to_table(spark, jobs.unmatched_fares(rides, fares, PAIRING_BOUND), run)
     return out.filter(F.col("ride_id") >= 0).select("ride_id", "fare.driver_id", "fare.tip")

@@ -27,7 +27,7 @@ class StreamRun:
     checkpoint: str
     # End-of-input markers still to be written: (directory, schema, row values).
     ends: list = field(default_factory=list)
-    # State is kept off the JVM's heap, whatever the session's provider.
+    # State is kept off the JVM's heap and written in fewer calls, whatever the session's settings.
     large_state: bool = False
 
 
@@ -105,22 +105,32 @@ def start_stream(stream: DataFrame, run: StreamRun, output_mode: str = "append",
 # State variables with timers live in Spark's RocksDB provider only.
 _PROVIDER = "spark.sql.streaming.stateStore.providerClass"
 _ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+# A stream-stream join keeps one store a partition, not four that load and commit one by one; rows of the state are not
+# counted, which takes one more read for each row written or removed. A checkpoint of another layout is read on in its own.
+_LARGE_STATE = {_PROVIDER: _ROCKSDB, "spark.sql.streaming.join.stateFormatVersion": "3",
+                "spark.sql.streaming.stateStore.rocksdb.trackTotalNumberOfRows": "false"}
 
 
 def _start(stream: DataFrame, writer, processing_time: str | None = None, query_name: str | None = None,
            large_state: bool = False):
-    """Start a writer; a query takes the session's settings with it, so the provider is set for this one only."""
+    """Start a writer; a query takes the session's settings with it, so those of its state are set for this one only."""
     if query_name:
         writer = writer.queryName(query_name)
     writer = writer.trigger(processingTime=processing_time) if processing_time \
         else writer.trigger(availableNow=True)
-    conf, before = stream.sparkSession.conf, stream.sparkSession.conf.get(_PROVIDER)
-    if large_state or "TransformWithState" in stream._jdf.queryExecution().analyzed().toString():
-        conf.set(_PROVIDER, _ROCKSDB)
+    conf, settings = stream.sparkSession.conf, {}
+    if large_state:
+        settings = _LARGE_STATE
+    elif "TransformWithState" in stream._jdf.queryExecution().analyzed().toString():
+        settings = {_PROVIDER: _ROCKSDB}
+    before = {k: conf.get(k, None) for k in settings}
     try:
+        for k, v in settings.items():
+            conf.set(k, v)
         return writer.start()
     finally:
-        conf.set(_PROVIDER, before)
+        for k, v in before.items():
+            conf.set(k, v) if v is not None else conf.unset(k)
 
 
 def run_to_table(spark: SparkSession, stream: DataFrame, run: StreamRun,
